@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("retail", "marketplace")
+SECTIONS = ("retail", "marketplace", "metrics")
 
 
 def load():
