@@ -74,8 +74,7 @@ def list_items(text: Column | str) -> Column:
 
 def words(text: Column | str) -> Column:
     """Distinct lower-case words of a text."""
-    tokens = F.split(F.lower(col(text)), r"[^\p{L}\p{N}]+")
-    return F.array_distinct(F.filter(tokens, lambda t: t != ""))
+    return F.array_distinct(F.regexp_extract_all(F.lower(col(text)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -36,9 +36,10 @@ def hybrid_topk(
         .withColumn("vector_score", F.round(F.coalesce(cosine(F.col("vector"), F.col("_vector")), F.lit(0.0)), 6))
         .withColumn("keyword_score", F.round(keyword, 6))
         .withColumn("score", F.round(F.col("vector_score") * vector_weight + F.col("keyword_score") * keyword_weight, 6))
-        .where(F.col("score") >= threshold)
+        .drop("vector", "_words", "_vector")
     )
-    return scored.drop("vector", "_words", "_vector").orderBy(F.desc("score"), "chunk_id").limit(k)
+    # The threshold comes after the limit: pushed below it, every score would be computed twice.
+    return scored.orderBy(F.desc("score"), "chunk_id").limit(k).where(F.col("score") >= threshold)
 
 
 def concat_context(hits: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("retail", "marketplace", "metrics")
+SECTIONS = ("retail", "marketplace", "metrics", "sources")
 
 
 def load():

@@ -270,13 +270,12 @@ def normalized(t):
 
 
 HITS = """
-WITH question AS (SELECT list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), w -> w <> '')) AS qw,
+WITH question AS (SELECT list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS qw,
                          (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 0) AS qv
                   FROM benchmark WHERE item_id = 0),
      parts AS (SELECT doc_id AS chunk_id, text,
                       round(coalesce(list_cosine_similarity(CAST(embedding AS DOUBLE[]), qv), 0), 6) AS vector_score,
-                      round(len(list_intersect(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'),
-                            w -> w <> '')), qw)) / len(qw), 6) AS keyword_score
+                      round(len(list_intersect(list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')), qw)) / len(qw), 6) AS keyword_score
                FROM documents LEFT JOIN embeddings ON vec_id = doc_id, question),
      hits AS (SELECT chunk_id, text, vector_score, keyword_score, round(vector_score * 0.7 + keyword_score * 0.3, 6) AS score
               FROM parts WHERE round(vector_score * 0.7 + keyword_score * 0.3, 6) >= 0.3
