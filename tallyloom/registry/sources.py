@@ -10,6 +10,7 @@ from tallyloom.operators.keyed import upsert
 from tallyloom.operators.joins import number_rows
 from tallyloom.registry.base import query
 from tallyloom.registry.sql import clock
+from tallyloom.session import stored
 from tallyloom.sources import cdc, events, tables
 from pyspark.sql import types as T
 
@@ -17,7 +18,8 @@ NO_NULLS = {"ignoreNullFields": "false"}
 
 
 def as_json(df, *columns):
-    return df.select(F.to_json(F.struct(*columns)).alias("value"))
+    """The landed topic: one JSON text per row."""
+    return stored(df.select(F.to_json(F.struct(*columns)).alias("value")), "topic")
 
 
 def clock_text(column):
@@ -31,7 +33,7 @@ def raw_clicks(t):
         F.struct("event_id", "user_id", "event_type", word.alias("value"), clock_text("ts").alias("event_time"))
     )
     cut = F.when(F.col("event_type") == "error", F.substring(body, 1, 20)).otherwise(body)
-    return b.clicks(t).select("event_id", cut.alias("value"))
+    return stored(b.clicks(t).select("event_id", cut.alias("value")), "topic")
 
 
 CLICK = T.StructType.fromDDL(
@@ -57,7 +59,7 @@ def raw_messages(t):
     """Nested order messages as JSON, timestamps the ISO way."""
     iso = F.date_format("create_time", "yyyy-MM-dd'T'HH:mm:ss")
     parcels = b.parcel_messages(t).withColumn("create_time", iso)
-    return parcels.select(F.to_json(F.struct(*parcels.columns)).alias("value"))
+    return as_json(parcels, *parcels.columns)
 
 
 PARCEL_HEAD = f"""SELECT order_id, shop_id, buyer_uid, CAST(total_pay_amount AS DOUBLE) AS total_pay_amount, total_quantity,
@@ -283,7 +285,7 @@ def cdc_decode(t):
         F.when(~gone, image).alias("after"),
         F.when(gone, "d").otherwise("c").alias("op"),
     )
-    messages = log.select("event_id", F.to_json(envelope, NO_NULLS).alias("value"))
+    messages = stored(log.select("event_id", F.to_json(envelope, NO_NULLS).alias("value")), "topic")
     return cdc.decode_changes(messages, CHANGE_ROW, keep=["event_id"])
 
 

@@ -46,10 +46,19 @@ def decode(
 
     A text that is no JSON object is skipped; a field that is missing or does not
     fit its type becomes NULL.  ``keep`` names columns to carry along.
+
+    Each text is parsed once.  The parser also marks texts whose lists or structs
+    do not fit; only those are looked at again to tell a bad field from no JSON.
     """
     text = F.col(value)
-    objects = df.where(text.rlike(r"^\s*\{") & F.try_parse_json(text).isNotNull())
-    parsed = objects.select(*keep, F.from_json(text, _as_text(schema)).alias("_json"))
+    shape = T.StructType([*_as_text(schema), T.StructField("_bad", T.StringType())])
+    row = F.from_json(text, shape, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+
+    def is_object(parsed: Column) -> Column:
+        sound = parsed["_bad"].isNull() | F.try_parse_json(parsed["_bad"]).isNotNull()
+        return F.startswith(F.ltrim(text), F.lit("{")) & sound
+
+    parsed = df.select(*keep, F.explode(F.filter(F.array(row), is_object)).alias("_json"))
     return parsed.select(*keep, *[_typed(F.col(f"_json.`{f.name}`"), f.dataType, clock).alias(f.name) for f in schema])
 
 
