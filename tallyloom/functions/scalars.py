@@ -68,7 +68,7 @@ def money_text(amount: Column | str) -> Column:
 
 def list_items(text: Column | str) -> Column:
     """A comma list to an array of trimmed, non-empty items; empty for NULL."""
-    parts = F.transform(F.split(F.coalesce(col(text), F.lit("")), ","), F.trim)
+    parts = F.transform(F.split(F.coalesce(col(text), F.lit("")), ","), lambda item: F.trim(item))
     return F.filter(parts, lambda item: item != "")
 
 

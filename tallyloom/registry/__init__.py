@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("retail", "marketplace", "metrics", "sources")
+SECTIONS = ("retail", "marketplace", "metrics", "sources", "keyed")
 
 
 def load():

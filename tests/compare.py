@@ -55,8 +55,7 @@ def compare(spark, con, fn, sql, sf_dir):
     if got_columns != want_columns:
         return False, f"columns {got_columns} against {want_columns}"
     if got != want:
-        extra = [r for r in got if r not in set(want)][:2]
-        missing = [r for r in want if r not in set(got)][:2]
+        extra, missing = list(set(got) - set(want))[:2], list(set(want) - set(got))[:2]
         return False, f"{len(got)} against {len(want)} rows; only here {extra}; only there {missing}"
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
     theirs = {d[0]: str(d[1]).lower() for d in cursor.description}
