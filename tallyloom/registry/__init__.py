@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("retail", "marketplace", "metrics", "sources", "keyed")
+SECTIONS = ("retail", "marketplace", "metrics", "sources", "keyed", "streams")
 
 
 def load():

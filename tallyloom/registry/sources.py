@@ -277,6 +277,11 @@ def cdc_encode(t):
        FROM changes""",
 )
 def cdc_decode(t):
+    return cdc.decode_changes(change_messages(t), CHANGE_ROW, keep=["event_id"])
+
+
+def change_messages(t):
+    """The change rows as messages, with the number of the event they came from."""
     log = change_log(t)
     image = F.struct("id", "pay_status", "total_amount", clock_text("create_time").alias("create_time"))
     gone = F.col("op") == "d"
@@ -285,8 +290,7 @@ def cdc_decode(t):
         F.when(~gone, image).alias("after"),
         F.when(gone, "d").otherwise("c").alias("op"),
     )
-    messages = stored(log.select("event_id", F.to_json(envelope, NO_NULLS).alias("value")), "topic")
-    return cdc.decode_changes(messages, CHANGE_ROW, keep=["event_id"])
+    return stored(log.select("event_id", F.to_json(envelope, NO_NULLS).alias("value")), "topic")
 
 
 LAST_CHANGE = """SELECT id, op, pay_status, total_amount, ts FROM (
