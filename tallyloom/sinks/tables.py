@@ -5,24 +5,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.contracts import Table, apply_contract
 
 
-def layout(df: DataFrame, partition_by: Sequence[str], spread_by: Sequence[str] = (), spread: int = 1) -> DataFrame:
-    """Gather each output partition in ``spread`` tasks, so a hot day is written by several of them."""
-    if not partition_by:
-        return df
-    if spread <= 1 or not spread_by:
-        return df.repartition(*partition_by)
-    return df.repartition(*partition_by, F.pmod(F.xxhash64(*spread_by), F.lit(spread)))
+def layout(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Gather the rows of an output partition for few, well-filled files.
 
+    Adaptive execution splits a partition that turns out large over several tasks
+    and merges small ones, so neither a hot day nor many small days hurt.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
 
-def overwrite_partitions(df: DataFrame, path: str, table: Table, spread: int = 8, max_rows: int = 20_000_000) -> None:
+
+def overwrite_partitions(df: DataFrame, path: str, table: Table, max_rows: int = 20_000_000) -> None:
     """Replace the partitions that ``df`` holds; the others stay."""
-    rows = layout(apply_contract(df, table), table.partition_by, table.keys, spread)
+    rows = layout(apply_contract(df, table), table.partition_by)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_rows)
     writer.partitionBy(*table.partition_by).parquet(path)
 

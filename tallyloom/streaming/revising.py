@@ -116,6 +116,14 @@ class RevisingSummary:
         """The summary as of the last batch."""
         return self.published.current(spark).where("live").drop("live")
 
+    def fold(self, spark: SparkSession, path: str) -> "RevisingSummary":
+        """The same summary at a new path, its batches so far merged into one; the stream goes on with it."""
+        folded = RevisingSummary(self.summary, self.rows.fold(spark, f"{path}/rows"), path, self.paid)
+        net = self._net(spark.read.parquet(f"{self.path}/changes").drop("batch")).where("_rows <> 0")
+        net.write.parquet(f"{folded.path}/changes/batch=-1")
+        folded.published.open(self.published.current(spark).where("live"))
+        return folded
+
     def _amounts(self, rows: DataFrame, sign: int) -> DataFrame:
         """Rows reduced to the grain and signed amounts; each amount comes with its count of values."""
         dated = filter_paid(rows, self.paid).withColumn("stat_date", F.expr(self.summary.stat_date))
