@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom import bindings as b
-from tallyloom.contracts import MARKETPLACE, ORDER_MESSAGE
+from tallyloom.contracts import MARKETPLACE, ORDER_MESSAGE, Table
 from tallyloom.operators.keyed import upsert
 from tallyloom.operators.joins import number_rows
 from tallyloom.registry.base import query
 from tallyloom.registry.sql import clock
 from tallyloom.session import stored
 from tallyloom.sources import cdc, events, tables
-from pyspark.sql import types as T
 
 NO_NULLS = {"ignoreNullFields": "false"}
 
@@ -36,8 +35,10 @@ def raw_clicks(t):
     return stored(b.clicks(t).select("event_id", cut.alias("value")), "topic")
 
 
-CLICK = T.StructType.fromDDL(
-    "event_id bigint, user_id bigint, event_type string, value decimal(18,2), session_id string, event_time timestamp"
+CLICK = Table(
+    "clicks",
+    "event_id bigint, user_id bigint, event_type string, value decimal(18,2), session_id string, event_time timestamp",
+    ("event_id",),
 )
 
 
@@ -49,10 +50,10 @@ CLICK = T.StructType.fromDDL(
        FROM events WHERE event_type <> 'error'""",
 )
 def json_decode(t):
-    return events.decode(raw_clicks(t), CLICK)
+    return events.decode(raw_clicks(t), CLICK.schema)
 
 
-MESSAGE = T.StructType.fromDDL(ORDER_MESSAGE)
+MESSAGE = Table("messages", ORDER_MESSAGE, ("order_id",))
 
 
 def raw_messages(t):
@@ -88,13 +89,13 @@ def message_summary(df):
 
 @query("ods_json_nested", ("parcels",), PARCEL_HEAD)
 def json_nested(t):
-    return message_summary(events.decode(raw_messages(t), MESSAGE, events.ISO_CLOCK))
+    return message_summary(events.decode(raw_messages(t), MESSAGE.schema, events.ISO_CLOCK))
 
 
 @query("ods_ingest_orders", ("parcels",), PARCEL_HEAD.replace("pay_status,", "'PAID' AS pay_status,"))
 def ingest(t):
     """Messages into the keyed order table, which already holds every order unpaid."""
-    decoded = events.with_proc_time(events.decode(raw_messages(t), MESSAGE, events.ISO_CLOCK))
+    decoded = events.with_proc_time(events.decode(raw_messages(t), MESSAGE.schema, events.ISO_CLOCK))
     rows = decoded.select(*MARKETPLACE["ods_marketplace_order"].columns)
     held = rows.withColumn("pay_status", F.lit("UNPAID"))
     arriving = rows.withColumn("pay_status", F.lit("PAID"))
@@ -247,8 +248,8 @@ def inventory_events(t):
     return events.decode_event(raw, "inventory_events").select("log_id", "sku_id", "warehouse_id", "change_qty", "change_type")
 
 
+CHANGE_ROW = Table("accounts", "id bigint, total_amount decimal(16,2), pay_status string, create_time timestamp", ("id",))
 CHANGE_COLUMNS = ("id", "pay_status", "total_amount", "create_time")
-CHANGE_ROW = T.StructType([f for f in MARKETPLACE["cdc_order"].schema if f.name in CHANGE_COLUMNS])
 
 
 def change_log(t):
@@ -277,7 +278,7 @@ def cdc_encode(t):
        FROM changes""",
 )
 def cdc_decode(t):
-    return cdc.decode_changes(change_messages(t), CHANGE_ROW, keep=["event_id"])
+    return cdc.decode_changes(change_messages(t), CHANGE_ROW.schema, keep=["event_id"])
 
 
 def change_messages(t):

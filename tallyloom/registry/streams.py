@@ -36,8 +36,8 @@ def arriving(t, df, by: str, label: str):
 )
 def ingest(t):
     """JSON events decoded and written to a keyed table."""
-    table = KeyedLog(work_path(t.spark, "ods"), raw.CLICK, ["event_id"], ["event_time"]).open_empty(t.spark)
-    stream = events.decode(arriving(t, raw.raw_clicks(t), "event_id", "topic"), raw.CLICK)
+    table = KeyedLog(work_path(t.spark, "ods"), raw.CLICK.schema, ["event_id"], ["event_time"]).open_empty(t.spark)
+    stream = events.decode(arriving(t, raw.raw_clicks(t), "event_id", "topic"), raw.CLICK.schema)
     drain(each_batch(stream, table.append), work_path(t.spark, "checkpoint"))
     return table.current(t.spark)
 
@@ -121,7 +121,7 @@ def stream_changes(t):
         "event_id bigint, ts timestamp, op string, id bigint, total_amount decimal(16,2), pay_status string, create_time timestamp"
     )
     table = KeyedLog(work_path(t.spark, "accounts"), schema, ["id"], ["ts", "event_id"]).open_empty(t.spark)
-    stream = cdc.decode_changes(arriving(t, messages, "ts", "changes"), raw.CHANGE_ROW, keep=["event_id", "ts"])
+    stream = cdc.decode_changes(arriving(t, messages, "ts", "changes"), raw.CHANGE_ROW.schema, keep=["event_id", "ts"])
     drain(each_batch(stream, table.append), work_path(t.spark, "checkpoint"))
     return apply_change_log(table, t.spark).select("id", "pay_status", "total_amount")
 
