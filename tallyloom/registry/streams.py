@@ -129,16 +129,16 @@ def stream_changes(t):
 # Orders come in two versions: an open order is paid later, a finished one moves to
 # another shop, and an order on its way is called off.
 def revised_orders(t):
-    first = b.order_heads(t, "shop", "quantity")
+    heads = b.order_heads(t, "shop", "quantity").withColumn("_round", F.explode(F.array(F.lit(0), F.lit(1))))
+    again, status = F.col("_round") == 1, F.col("order_status")
     moved = ((F.col("order_id").cast("bigint") + 3) % 10).cast("string")
-    second = first.withColumns(
+    return heads.withColumns(
         {
-            "proc_time": F.col("proc_time") + F.expr("INTERVAL 400 DAYS"),
-            "shop_id": F.when(F.col("order_status") == "F", moved).otherwise(F.col("shop_id")),
-            "pay_status": F.when(F.col("order_status") == "O", "UNPAID").otherwise("PAID"),
+            "proc_time": F.col("proc_time") + F.expr("INTERVAL 400 DAYS") * F.col("_round"),
+            "shop_id": F.when(again & (status == "F"), moved).otherwise(F.col("shop_id")),
+            "pay_status": F.when(again & (status == "O"), "UNPAID").when(again, "PAID").otherwise(F.col("pay_status")),
         }
-    )
-    return first.unionByName(second)
+    ).drop("_round")
 
 
 REVISED = """(SELECT * REPLACE (CASE WHEN order_status = 'F' THEN CAST((o_orderkey + 3) % 10 AS VARCHAR) ELSE shop_id END AS shop_id)
@@ -182,9 +182,9 @@ def buyers_kept(t):
 
 # Lines of large amounts are called off in a second version.
 def revised_lines(t):
-    first = b.order_lines(t, "product").withColumn("version", F.lit(1))
-    second = first.where("item_pay_amount > 40000").withColumns({"version": F.lit(2), "pay_status": F.lit("UNPAID")})
-    return first.unionByName(second)
+    both = F.when(F.col("item_pay_amount") > 40000, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    lines = b.order_lines(t, "product").withColumn("version", F.explode(both))
+    return lines.withColumn("pay_status", F.when(F.col("version") == 2, "UNPAID").otherwise(F.col("pay_status")))
 
 
 LINE_KEYS = ["order_id", "order_item_id"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,9 @@ class KeyedLog:
     def append(self, batch: DataFrame, batch_id: int) -> None:
         self._write(latest_per_key(batch, self.keys, self.order_by) if self.order_by else batch, batch_id)
 
+    def _order(self) -> list[str]:
+        return ["batch", *self.order_by] if self.by_arrival else [*self.order_by, "batch"]
+
     def _write(self, rows: DataFrame, batch_id: int) -> None:
         rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
 
@@ -57,8 +60,27 @@ class KeyedLog:
         rows = self.history(spark, before)
         if of_keys is not None:
             rows = rows.join(of_keys.select(*self.keys), self.keys, "left_semi")
-        order = ["batch", *self.order_by] if self.by_arrival else [*self.order_by, "batch"]
-        return latest_per_key(rows, self.keys, order).drop("batch").select(*self.schema.names)
+        return latest_per_key(rows, self.keys, self._order()).drop("batch").select(*self.schema.names)
+
+    def replaced(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """What a batch changes: the rows now current with ``sign`` 1, those current before it with -1.
+
+        One pass over the history of the batch's keys.  A key has at most one row per
+        batch there, so ranking it stays small.
+        """
+        rows = self.history(spark, batch_id + 1).join(self.batch(spark, batch_id).select(*self.keys), self.keys, "left_semi")
+        newest = [F.desc_nulls_last(c) for c in self._order()]
+        is_new = F.col("batch") == batch_id
+        now = F.row_number().over(Window.partitionBy(*self.keys).orderBy(*newest))
+        before = F.row_number().over(Window.partitionBy(*self.keys, "_is_new").orderBy(*newest))
+        ranked = rows.withColumn("_is_new", is_new).withColumn("_now", now).withColumn("_before", before)
+        signs = F.array_compact(
+            F.array(
+                F.when(F.col("_now") == 1, F.lit(1).cast("bigint")),
+                F.when(~F.col("_is_new") & (F.col("_before") == 1), F.lit(-1).cast("bigint")),
+            )
+        )
+        return ranked.select(*self.schema.names, F.explode(signs).alias("sign"))
 
     def fold(self, spark: SparkSession, path: str) -> "KeyedLog":
         """A new log at ``path`` that starts from the current rows of this one."""

@@ -12,7 +12,7 @@ older batches and replaces its own output, so the result is exactly once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.contracts import MARKETPLACE, Table, apply_contract
-from tallyloom.functions.scalars import day_text, ratio
+from tallyloom.functions.scalars import ratio
 from tallyloom.operators.filters import filter_paid
 from tallyloom.streaming.keyed_log import KeyedLog
 
@@ -105,10 +105,7 @@ class RevisingSummary:
         if batch_id == 0:
             self.published.open_empty(spark)
         self.rows.append(batch, batch_id)
-        arrived = self.rows.batch(spark, batch_id)
-        before = self.rows.current(spark, before=batch_id, of_keys=arrived)
-        after = self.rows.current(spark, before=batch_id + 1, of_keys=arrived)
-        changes = self._amounts(after, 1).unionByName(self._amounts(before, -1))
+        changes = self._amounts(self.rows.replaced(spark, batch_id))
         self._net(changes).write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch_id}")
         self._publish(spark, batch_id)
 
@@ -124,14 +121,14 @@ class RevisingSummary:
         folded.published.open(self.published.current(spark).where("live"))
         return folded
 
-    def _amounts(self, rows: DataFrame, sign: int) -> DataFrame:
+    def _amounts(self, rows: DataFrame) -> DataFrame:
         """Rows reduced to the grain and signed amounts; each amount comes with its count of values."""
         dated = filter_paid(rows, self.paid).withColumn("stat_date", F.expr(self.summary.stat_date))
-        columns: list[Column | str] = [*self.summary.grain, F.lit(sign).cast("bigint").alias("_rows")]
+        columns: list[Column | str] = [*self.summary.grain, F.col("sign").alias("_rows")]
         for name, expression in self.summary.sums.items():
             value = F.expr(expression)
-            columns.append((F.coalesce(value, F.lit(0)) * sign).alias(name))
-            columns.append(F.when(value.isNull(), 0).otherwise(sign).cast("bigint").alias(f"_n_{name}"))
+            columns.append((F.coalesce(value, F.lit(0)) * F.col("sign")).alias(name))
+            columns.append(F.when(value.isNull(), 0).otherwise(F.col("sign")).alias(f"_n_{name}"))
         return dated.select(*columns)
 
     def _net(self, changes: DataFrame) -> DataFrame:
