@@ -5,36 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BANDS_PER_E = 64
-
-
-def value_band(value: Column) -> Column:
-    """An order-preserving whole number that splits a value range into narrow bands."""
-    number = value.cast("double")
-    band = F.floor(F.log1p(F.abs(number)) * BANDS_PER_E) * F.signum(number)
-    return F.coalesce(band.cast("bigint"), F.lit(-(2**62)))
-
+from tallyloom.session import stored
 
 def rank_within(df: DataFrame, group: str, value: str, tie: str, out: str = "rank_no") -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY group ORDER BY value DESC, tie)`` for groups of any size.
 
-    Each group is cut into value bands.  Rows are numbered inside their band, and
-    the rows of all higher bands of the group are added; only the band counts meet
-    in one place.  ``df`` is read twice, so pass a stored table.
+    The rows are range-partitioned by the whole order and written once with the
+    number of their range.  Ranges are of even size whatever the groups or ties are,
+    so a row's rank is its place in its range plus the rows of the group's earlier
+    ranges, and only one count per group and range meets in one place.
     """
-    banded = df.withColumn("_group", F.coalesce(F.col(group), F.lit(""))).withColumn("_band", value_band(F.col(value)))
-    above = Window.partitionBy("_group").orderBy(F.desc("_band")).rowsBetween(Window.unboundedPreceding, -1)
+    keyed = df.withColumn("_group", F.coalesce(F.col(group), F.lit("")))
+    ordered = keyed.repartitionByRange("_group", F.desc_nulls_last(value), F.asc(tie))
+    placed = stored(ordered.withColumn("_range", F.spark_partition_id()), "ranked")
+    earlier = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        banded.groupBy("_group", "_band")
+        placed.groupBy("_group", "_range")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_group", "_band", F.coalesce(F.sum("_rows").over(above), F.lit(0)).alias("_above"))
+        .select("_group", "_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
-    inside = Window.partitionBy("_group", "_band").orderBy(F.desc_nulls_last(value), F.asc(tie))
+    inside = Window.partitionBy("_group", "_range").orderBy(F.desc_nulls_last(value), F.asc(tie))
     return (
-        banded.withColumn("_inside", F.row_number().over(inside))
-        .join(offsets, ["_group", "_band"])
-        .withColumn(out, (F.col("_above") + F.col("_inside")).cast("int"))
-        .drop("_group", "_band", "_inside", "_above")
+        placed.withColumn("_inside", F.row_number().over(inside))
+        .join(offsets, ["_group", "_range"])
+        .withColumn(out, (F.col("_before") + F.col("_inside")).cast("int"))
+        .drop("_group", "_range", "_inside", "_before")
     )
 
 

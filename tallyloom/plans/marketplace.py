@@ -147,10 +147,10 @@ def ads_realtime_overview(shops: DataFrame) -> DataFrame:
 
 
 def ads_shop_rank_daily(shops: DataFrame) -> DataFrame:
-    """Every shop of a day ranked by sales; ``shops`` is the stored daily table."""
+    """Every shop of a day ranked by sales."""
     return apply_contract(rank_within(shops, "stat_date", "gmv", "shop_id"), MARKETPLACE["ads_shop_rank_daily"])
 
 
 def ads_top_spu_daily(spus: DataFrame) -> DataFrame:
-    """Every product of a day ranked by sales; ``spus`` is the stored daily table."""
+    """Every product of a day ranked by sales."""
     return apply_contract(rank_within(spus, "stat_date", "gmv", "spu_id"), MARKETPLACE["ads_top_spu_daily"])

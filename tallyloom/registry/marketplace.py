@@ -12,7 +12,6 @@ from tallyloom.operators.ranking import first_within
 from tallyloom.plans import marketplace as m
 from tallyloom.registry.base import query
 from tallyloom.registry.sql import clock, doubles
-from tallyloom.session import stored
 
 SHOP_MONEY = ("gmv", "discount_amt", "freight_amt", "net_pay_amt")
 ITEM_MONEY = ("gmv", "discount_amt")
@@ -130,12 +129,12 @@ def realtime_overview(t):
 
 @query("ads_shop_rank_daily", ("shop_rank",), doubles("shop_rank", "gmv"))
 def shop_rank(t):
-    return m.ads_shop_rank_daily(stored(m.dws_shop_daily_gmv(b.order_heads(t, "shop", "quantity"), b.PAID), "shops"))
+    return m.ads_shop_rank_daily(shops(t))
 
 
 @query("ads_top_spu_daily", ("spu_rank",), doubles("spu_rank", "gmv"))
 def spu_rank(t):
-    return m.ads_top_spu_daily(stored(spus(t), "spus"))
+    return m.ads_top_spu_daily(spus(t))
 
 
 @query(
