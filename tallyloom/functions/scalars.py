@@ -51,14 +51,19 @@ def distinct_if(condition: Column, value: Column | str) -> Column:
     return F.count_distinct(F.when(condition, col(value)))
 
 
+def strip(text: Column | str) -> Column:
+    """Without white space at both ends, line breaks and tabs included."""
+    return F.regexp_replace(col(text), r"^\s+|\s+$", "")
+
+
 def category_level(path: Column | str, level: int) -> Column:
     """Part ``level`` (1 is the top) of a ``a>b>c>d`` path, NULL when absent."""
-    return F.trim(F.get(F.split(col(path), ">"), F.lit(level - 1)))
+    return strip(F.get(F.split(col(path), ">"), F.lit(level - 1)))
 
 
 def after_last(text: Column | str, marker: str) -> Column:
     """What follows the last ``marker``; the whole text when there is none."""
-    return F.trim(F.substring_index(col(text), marker, -1))
+    return strip(F.substring_index(col(text), marker, -1))
 
 
 def money_text(amount: Column | str) -> Column:
@@ -68,7 +73,7 @@ def money_text(amount: Column | str) -> Column:
 
 def list_items(text: Column | str) -> Column:
     """A comma list to an array of trimmed, non-empty items; empty for NULL."""
-    parts = F.transform(F.split(F.coalesce(col(text), F.lit("")), ","), lambda item: F.trim(item))
+    parts = F.transform(F.split(F.coalesce(col(text), F.lit("")), ","), strip)
     return F.filter(parts, lambda item: item != "")
 
 

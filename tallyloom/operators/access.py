@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.scalars import list_items
+from tallyloom.functions.scalars import list_items, strip
 
 
 def user_grants(users: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def user_grants(users: DataFrame) -> DataFrame:
 
 
 def _granted(deny_if_empty: bool) -> Column:
-    listed = F.array_contains(F.col("_granted"), F.trim("table_name"))
+    listed = F.array_contains(F.col("_granted"), strip("table_name"))
     everything = F.lit(False) if deny_if_empty else F.size("_granted") == 0
     return listed | everything
 

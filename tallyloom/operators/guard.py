@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions.scalars import strip
+
 # How a read-only statement may begin.
 READ_PREFIXES = ("SELECT", "SHOW", "DESC", "EXPLAIN", "WITH")
 
 
 def refusal(sql: Column) -> Column:
     """Why a logged statement is refused, NULL when it passes."""
-    text = F.trim(sql)
+    text = strip(sql)
     begins = F.upper(text).rlike(f"^({'|'.join(READ_PREFIXES)})")
     return (
         F.when(sql.isNull() | (text == ""), "empty statement")

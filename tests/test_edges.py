@@ -16,7 +16,7 @@ from tallyloom.plans import metrics, terms
 from tallyloom.session import shared_folder, stored, work_path
 from tallyloom.sinks import tables as sinks
 from tallyloom.sources import cdc, events, tables
-from tallyloom.streaming import revising
+from tallyloom.streaming import revising, run
 from tallyloom.streaming.keyed_log import KeyedLog
 
 
@@ -289,6 +289,12 @@ def test_a_write_behind_with_does_not_run(spark):
         guard.readonly_sql(spark, "WITH x AS (SELECT 1 AS id) INSERT INTO numbers SELECT * FROM x")
 
 
+def test_audit_reads_past_line_breaks(spark):
+    log = frame(spark, "statement string", ("\n\tselect 1\n",), (" \n ",), ("\nDROP TABLE t",), (None,), ("SELECT 1;",))
+    reasons = [r.reason for r in guard.audit_statements(log).collect()]
+    assert reasons == [None, "empty statement", "not a read-only statement", "empty statement", "more than one statement"]
+
+
 def test_readonly_rows(spark):
     spark.range(500).createOrReplaceTempView("numbers")
     assert guard.readonly_sql(spark, "SELECT id FROM numbers ORDER BY id;").count() == 200
@@ -430,5 +436,34 @@ def test_revised_groups_equal_the_batch(spark, rows):
     assert [(r.gmv, r.buyer_uv, r.order_cnt) for r in folded.result(spark).collect()] == [(D("15.00"), 2, 2)]
 
 
+def test_a_started_stream_commits_and_stops(spark, rows):
+    path, out = work_path(spark, "in"), work_path(spark, "out")
+    spark.range(5).write.parquet(path)
+    query = run.start(run.to_files(tables.stream_table(spark, path, spark.range(1).schema), out), work_path(spark, "cp"), "1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(spark.read.parquet(out)) == [(i,) for i in range(5)]
+
+
+def test_drain_reports_a_failing_batch(spark):
+    path = work_path(spark, "in")
+    spark.range(5).write.parquet(path)
+
+    def fail(batch, number):
+        raise ValueError("no room")
+
+    stream = tables.stream_table(spark, path, spark.range(1).schema)
+    with pytest.raises(Exception, match="no room"):
+        run.drain(run.each_batch(stream, fail), work_path(spark, "cp"))
+    assert not spark.streams.active
+
+
+def test_kafka_source_names_the_missing_connector(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        events.read_kafka(spark, "orders", "broker:9092", group="loom", start="earliest")
+
+
 def test_served_tables_are_declared():
     assert set(SERVED) <= set(MARKETPLACE)
