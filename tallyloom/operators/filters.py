@@ -14,15 +14,15 @@ def filter_paid(df: DataFrame, paid: tuple[str, ...] | str, column: str = "pay_s
     return df.where(is_one_of(column, paid))
 
 
-def _as_of(df: DataFrame, as_of: str | None, column: str) -> Column:
-    """The reference day: the caller's, else the last day the table holds."""
-    if as_of:
-        return F.lit(as_of)
-    return df.agg(F.max(column)).scalar()
+def _as_of(df: DataFrame, as_of: str | Column | None, column: str) -> Column:
+    """The day to count back from: the caller's, else the last day the table holds."""
+    return df.agg(F.max(column)).scalar() if as_of is None else F.lit(as_of)
 
 
-def filter_recent_days(df: DataFrame, days: int, as_of: str | None = None, column: str = "stat_date") -> DataFrame:
-    """The last ``days`` days up to any day in the table, on a ``yyyy-MM-dd`` text column."""
+def filter_recent_days(
+    df: DataFrame, days: int, as_of: str | Column | None = None, column: str = "stat_date"
+) -> DataFrame:
+    """Counted back from ``as_of`` (a day, or ``F.current_date()``), the last ``days`` days up to any day in the table, on a ``yyyy-MM-dd`` text column."""
     last = _as_of(df, as_of, column).cast("date")
     return df.where(F.col(column) >= F.date_format(F.date_sub(last, days - 1), "yyyy-MM-dd"))
 

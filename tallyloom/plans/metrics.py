@@ -22,13 +22,13 @@ SUMMARY_CAP = 100
 ANSWER_ROWS = 10
 
 
-def metric_trend(table: DataFrame, metric: str, days: int = DEFAULT_DAYS, as_of: str | None = None) -> DataFrame:
+def metric_trend(table: DataFrame, metric: str, days: int = DEFAULT_DAYS, as_of: str | Column | None = None) -> DataFrame:
     """One metric per day, oldest first."""
     return filter_recent_days(table, days, as_of).select("stat_date", metric).orderBy("stat_date")
 
 
 def shop_trend(
-    shops: DataFrame, shop_id: str, metrics: Sequence[str], days: int = DEFAULT_DAYS, as_of: str | None = None
+    shops: DataFrame, shop_id: str, metrics: Sequence[str], days: int = DEFAULT_DAYS, as_of: str | Column | None = None
 ) -> DataFrame:
     one = filter_recent_days(shops.where(F.col("shop_id") == shop_id), days, as_of)
     return one.select("stat_date", "shop_id", *metrics).orderBy("stat_date")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import bindings as b
 from tallyloom.contracts import RETAIL, apply_contract
+from tallyloom.functions.scalars import count_if, distinct_if, sum_if
 from tallyloom.operators.joins import join_left_dim
 from tallyloom.plans import retail as r
 from tallyloom.registry.base import query
@@ -165,8 +166,6 @@ def partition_overwrite(t):
        FROM r_dwd GROUP BY dt""",
 )
 def conditional_sums(t):
-    from tallyloom.functions.scalars import count_if, sum_if
-
     status = F.col("order_status")
     return orders(t).groupBy("dt").agg(
         count_if(status == "paid").alias("paid_cnt"), sum_if(status == "refunded", "order_amount").alias("refunded_amount")
@@ -180,6 +179,4 @@ def conditional_sums(t):
        FROM r_dwd GROUP BY province""",
 )
 def conditional_distinct(t):
-    from tallyloom.functions.scalars import distinct_if
-
     return orders(t).groupBy("province").agg(distinct_if(F.col("order_status") == "paid", "user_id").alias("paid_users"))

@@ -220,6 +220,8 @@ def test_recent_days_and_ranges(spark, rows):
     df = frame(spark, "stat_date string, gmv int", ("2024-02-29", 1), ("2024-03-01", 2), ("2024-02-23", 3), ("2024-02-24", 4))
     assert len(rows(filters.filter_recent_days(df, 7))) == 3
     assert [r[0] for r in metrics.metric_trend(df, "gmv", 2, "2024-03-01").collect()] == ["2024-02-29", "2024-03-01"]
+    today = spark.range(3).select(F.date_format(F.date_sub(F.current_date(), F.col("id").cast("int")), s.DAY).alias("stat_date"))
+    assert filters.filter_recent_days(today, 2, F.current_date()).count() == 2
     compact = df.withColumn("dt", s.compact_day("stat_date"))
     assert rows(filters.filter_dt_range(compact, "2024-02-24", "20240229"), "gmv") == [(1,), (4,)]
 
@@ -460,6 +462,35 @@ def test_drain_reports_a_failing_batch(spark):
     assert not spark.streams.active
 
 
+def test_a_stream_goes_on_after_a_failure_without_doubling(spark, rows):
+    """The driver is lost after a batch was written and before it was committed."""
+    path, checkpoint = work_path(spark, "in"), work_path(spark, "cp")
+    schema = T.StructType.fromDDL(VERSIONS)
+    versions = [version(str(i % 7), "st"[i % 2], f"b{i % 3}", 10 + i, None, "PAID", i) for i in range(21)]
+    spark.createDataFrame(versions, schema).repartitionByRange(3, "proc_time").sortWithinPartitions("proc_time").write.option(
+        "maxRecordsPerFile", 7
+    ).parquet(path)
+    log = KeyedLog(work_path(spark, "rows"), schema, ["order_id"], ["proc_time"]).open_empty(spark)
+    kept = revising.RevisingSummary(revising.SHOP, log, work_path(spark, "shop"), ("PAID",))
+    failures = [1]
+
+    def work(batch, number):
+        kept.process(batch, number)
+        if number in failures:
+            failures.remove(number)
+            raise RuntimeError("driver lost")
+
+    def begin():
+        stream = tables.stream_table(spark, path, schema, files_per_batch=1)
+        run.drain(run.each_batch(stream, work), checkpoint)
+
+    with pytest.raises(Exception, match="driver lost"):
+        begin()
+    begin()
+    latest = keyed.latest_per_key(spark.createDataFrame(versions, schema), ["order_id"], ["proc_time"])
+    assert rows(kept.result(spark)) == rows(m.dws_shop_daily_gmv(latest, ("PAID",)))
+
+
 def test_kafka_source_names_the_missing_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         events.read_kafka(spark, "orders", "broker:9092", group="loom", start="earliest")
