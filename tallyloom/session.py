@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,22 +35,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@lru_cache(maxsize=1)
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tallyloom-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
+    """The folder of this application's intermediate tables, which every executor can reach.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    It lies under ``spark.checkpoint.dir``; where that is unset, as in tests, under the
+    warehouse folder, which is shared as well.  ``release`` removes it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_folder()
-    return base.rstrip("/")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.work"
+    return f"{base.rstrip('/')}/run-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every intermediate table this application has written; frames that read them end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def work_path(spark: SparkSession, label: str) -> str:

@@ -6,7 +6,9 @@ import __spark_entry__ as entry
 from compare import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# The queries of the corpus part are tested in a folder of their own.
+QUERIES = {key: fn for key, fn in entry.queries().items() if fn.__module__.startswith("tallyloom.registry")}
+ORACLES = entry.oracle_sql()
 # At this scale a filter on one day may match nothing.
 MAY_BE_EMPTY = {"filter_single_day", "top_shops_day", "metric_trend", "shop_trend"}
 
@@ -17,7 +19,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(ORACLES)
 
 
 def test_entry(spark):
