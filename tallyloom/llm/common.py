@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,12 +36,6 @@ def unit_interval(*parts: Column | str) -> Column:
     return (bits + 0.5) / float(2**52)
 
 
-def fold(columns: Iterable[Column], start: Column) -> Column:
-    for c in columns:
-        start = start + c
-    return start
-
-
 def numbered(df: DataFrame, order: list[Column], out: str) -> DataFrame:
     """Rows with their place (from 0) in a total order, sorted in ranges rather than in one task.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import mixing
+from tallyloom.llm import decontam, mixing, pii, urllists
 from tallyloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,34 @@ def op1(table):
     """All documents with the words that the mix takes of each."""
     mixed = mixing.mix(table("documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query("op4_temporal_url_lists", urllists.SQL)
+def op4(table):
+    """Every page judged by the entries active on its fetch day."""
+    pages = table("pages").select("page_id", "url")
+    judged = urllists.judge(urllists.page_captures(pages), urllists.page_entries(pages))
+    days = {c: F.col(c).cast("string") for c in ("fetched_on", "rule_from")}
+    return judged.withColumns(days).drop("url")
+
+
+@query("op6_personal_data", pii.SQL)
+def op6(table):
+    """Personal data of all documents as counts, digests and span lists."""
+    found = pii.personal_data(table("documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["kind"].isin(*(k.name for k in pii.KINDS if k.base)))
+    return found.select(
+        "doc_id",
+        *(pii.counted(F.col("pii"), k.name).alias(f"n_{k.name}") for k in pii.KINDS),
+        pii.supported(F.col("pii")).alias("n_supported"),
+        F.sha2(pii.span_texts(base), 256).alias("base_sha256"),
+        pii.span_texts(F.col("pii")).alias("spans"),
+    )
+
+
+@query("op10_benchmark_decontamination", decontam.SQL)
+def op10(table):
+    """All documents with the words and items that they share with the benchmark."""
+    judged = decontam.contamination(table("documents").select("doc_id", "text"), table("benchmark").select("item_id", "text"))
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
