@@ -46,7 +46,8 @@ def _fingerprints(hashes: DataFrame, span: int, gram: int) -> DataFrame:
     coded = hashes.withColumn("_codes", grams)
     smallest = F.transform("_codes", lambda _, i: F.array_min(F.slice("_codes", i + 1, F.lit(window))))
     chosen = coded.withColumn("_chosen", F.array_distinct(smallest)).drop("_codes")
-    rows = chosen.withColumn("_code", F.explode("_chosen")).drop("_chosen")
+    # The outer form keeps Spark from testing the array's size below, which would repeat its expression per word.
+    rows = chosen.withColumn("_code", F.explode_outer("_chosen")).drop("_chosen").where("_code IS NOT NULL")
     rows = rows.withColumn("_pos", (F.lit(PLACE) - F.col("_code").bitwiseAND(PLACE)).cast("int"))
     around = F.array(*(F.get("_h", F.col("_pos") + d) for d in range(1 - window, gram + window - 1)))
     return rows.select(
@@ -94,7 +95,7 @@ def _short_hits(hashes: DataFrame, items: DataFrame, length: int) -> tuple[DataF
         lambda _, i: F.xxhash64(F.slice("_h", i + 1, F.lit(length))),
     )
     keys = [c for c in hashes.columns if c != "_h"]
-    rows = hashes.select(*keys, "_h", F.posexplode(grams).alias("_start", "_spot"))
+    rows = hashes.select(*keys, "_h", F.posexplode_outer(grams).alias("_start", "_spot")).where("_spot IS NOT NULL")
     rows = rows.select(*keys, "_start", "_spot", F.slice("_h", F.col("_start") + 1, F.lit(length)).alias("_around"))
     hits = rows.join(there, "_spot").where(F.col("_around") == F.col("_there"))
     return hits.select(*keys, "_start", (F.col("_start") + length).alias("_stop"), "_spot"), spots
