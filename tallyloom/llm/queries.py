@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontam, mixing, pii, urllists
+from tallyloom.llm import decontam, mixing, pii, simhash, urllists
 from tallyloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,13 @@ def op6(table):
     )
 
 
+@query("op8_simhash_near_duplicates")
+def op8(table):
+    """All documents with their fingerprint and the class of near copies that they fall in."""
+    found = simhash.near_duplicates(table("documents").select("doc_id", "text"))
+    return found.select("doc_id", simhash.as_hex(F.col("_print")).alias("fingerprint"), "component_id")
+
+
 @query("op10_benchmark_decontamination", decontam.SQL)
 def op10(table):
     """All documents with the words and items that they share with the benchmark."""
