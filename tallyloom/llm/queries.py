@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontam, mixing, pii, simhash, urllists
+from tallyloom.llm import decontam, mixing, pii, simhash, substrings, urllists
 from tallyloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,13 @@ def op8(table):
     return found.select("doc_id", simhash.as_hex(F.col("_print")).alias("fingerprint"), "component_id")
 
 
+@query("op9_substring_dedup", substrings.SQL)
+def op9(table):
+    """All documents with the words that repeated passages cover, and a digest of what is kept."""
+    found = substrings.remove_repeats(table("documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op10_benchmark_decontamination", decontam.SQL)
 def op10(table):
     """All documents with the words and items that they share with the benchmark."""
