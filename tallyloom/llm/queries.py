@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontam, mixing, pii, simhash, substrings, urllists
+from tallyloom.llm import decontam, mixing, pii, simhash, substrings, toxicity, urllists
 from tallyloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,13 @@ def op6(table):
     )
 
 
+@query("op7_toxicity")
+def op7(table):
+    """All documents with their toxicity."""
+    found = toxicity.judged(table("documents").select("doc_id", "text"), table("labels").select("doc_id", "toxic"))
+    return found.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 @query("op8_simhash_near_duplicates")
 def op8(table):
     """All documents with their fingerprint and the class of near copies that they fall in."""
