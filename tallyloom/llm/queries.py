@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontam, mixing, pii, simhash, substrings, toxicity, urllists
+from tallyloom.llm import decontam, mixing, pii, search, sharding, simhash, substrings, toxicity, urllists
 from tallyloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,13 @@ def op1(table):
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@query("op2_branch_and_bound_search", search.SQL)
+def op2(table):
+    """The 20 best inner products of every 20th vector against all others."""
+    vectors = table("embeddings").select("vec_id", search.quantised("embedding").alias("v"))
+    return search.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 @query("op4_temporal_url_lists", urllists.SQL)
 def op4(table):
     """Every page judged by the entries active on its fetch day."""
@@ -45,6 +52,15 @@ def op4(table):
     return judged.withColumns(days).drop("url")
 
 
+@query("op5_karmarkar_karp_shards")
+def op5(table):
+    """All documents in eight shards of nearly equal bytes."""
+    sharded = sharding.shard(table("documents").select("doc_id", "text"))
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 @query("op6_personal_data", pii.SQL)
 def op6(table):
     """Personal data of all documents as counts, digests and span lists."""
