@@ -6,12 +6,13 @@ listed under every segment with every single bit of it left out (64 keys); two s
 that differ in at most one bit share such a key.  Equal keys are joined and the whole
 fingerprints compared.
 
-Rows with equal fingerprints are one node.  Under each key, every fingerprint is first
-compared with one hub; the components of these links are found, and only then are the
-remaining pairs compared, and only those of different components: rows outside the
-key's largest component against all of it.  A large group of near copies is one
-component after the first step, so its pairs are never made, and no link between
-components is lost.
+Rows with equal fingerprints are one node, and a pair is only looked at under the first
+key that it shares.  Every fingerprint is compared with the ``HUBS`` smallest under each
+of its keys, which is every pair of a key that holds no more.  For larger keys the
+components found so far come in: some rounds compare with other hubs, and then what is
+outside a key's largest component is compared with all that is in another component.  A
+large group of near copies is one component by then, so its pairs are never made, and
+no link between components is lost.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import whole
@@ -31,6 +32,9 @@ from tallyloom.session import stored
 SHINGLE = 4
 BITS = 4
 SEED = 42
+HUBS = 8
+ROUNDS = 3  # of other hubs for keys with more fingerprints than that
+PLACE = 32  # bits of a key that hold the segment's value
 AT_ONCE = 200_000  # shingles counted at a time within one text
 
 
@@ -69,42 +73,73 @@ def as_hex(value: Column) -> Column:
     return F.lpad(F.lower(F.hex(value)), 16, "0")
 
 
-def variants(prints: DataFrame, bits: int = BITS) -> DataFrame:
-    """``(_key, p)``: every fingerprint under each segment with one of its bits left out.
+def segments(bits: int) -> list[tuple[int, int, int]]:
+    """``(low, high, mask)`` of the segments: so many that one has at most one of ``bits`` differences."""
+    count = bits // 2 + 1
+    bounds = [64 * i // count for i in range(count + 1)]
+    return [(low, high, ((1 << (high - low)) - 1) << low) for low, high in zip(bounds, bounds[1:], strict=False)]
 
-    There are as many segments as leave one of them at most one of ``bits`` differences.
-    """
-    segments = bits // 2 + 1
-    bounds = [64 * i // segments for i in range(segments + 1)]
+
+def _signed(mask: int) -> Column:
+    return F.lit(mask - (1 << 64) if mask >> 63 else mask)
+
+
+def variants(prints: DataFrame, bits: int = BITS) -> DataFrame:
+    """``(_key, p)``: every fingerprint under each segment with one of its bits left out; the key begins with that bit."""
     keys = []
-    for low, high in zip(bounds, bounds[1:], strict=False):
-        mask = ((1 << (high - low)) - 1) << low
+    for low, high, mask in segments(bits):
         for bit in range(low, high):
-            kept = mask & ~(1 << bit)
-            signed = kept - (1 << 64) if kept >> 63 else kept
-            keys.append(F.xxhash64(F.lit(bit), F.col("p").bitwiseAND(F.lit(signed))))
+            kept = F.shiftrightunsigned(F.col("p").bitwiseAND(_signed(mask & ~(1 << bit))), low)
+            keys.append(F.lit(bit << PLACE).bitwiseOR(kept))
     return prints.select("p", F.explode(F.array(*keys)).alias("_key"))
 
 
-def near(a: str, b: str, bits: int) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= bits
+def linked(a: str, b: str, bits: int) -> Column:
+    """Whether two fingerprints are within ``bits`` and ``_key`` is the first key that they share."""
+    x = F.col(a).bitwiseXOR(F.col(b))
+    first = F.lit(-1)
+    for low, _, mask in reversed(segments(bits)):
+        part = x.bitwiseAND(_signed(mask))
+        first = F.when(part == 0, low).when(F.bit_count(part) == 1, F.bit_count(part - 1)).otherwise(first)
+    return (F.bit_count(x) <= bits) & (F.shiftright("_key", PLACE) == first)
 
 
-def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
-    """Links ``(a, b)`` between the different fingerprints ``p`` that connect whatever is within ``bits``."""
-    listed = variants(prints, bits)
-    shared = listed.groupBy("_key").agg(F.min("p").alias("_hub"), F.max("p").alias("_last")).where("_hub != _last")
-    grouped = stored(listed.join(shared.select("_key", "_hub"), "_key"), "variants")
-    first = stored(grouped.where(near("p", "_hub", bits) & (F.col("p") != F.col("_hub"))).select(F.col("_hub").alias("a"), F.col("p").alias("b")).distinct(), "first")
+def _joined(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with the component ``c`` of their fingerprint."""
+    return rows.join(found, rows["p"] == found["node"], "left").select("_key", "p", F.coalesce("root", "p").alias("c"))
+
 
-    placed = grouped.join(components(first), grouped["p"] == F.col("node"), "left")
-    placed = stored(placed.select("_key", "p", F.coalesce("root", "p").alias("c")), "placed")
+def _outside(placed: DataFrame) -> DataFrame:
+    """The rows of keys with several components, with the largest component ``_main`` of the key."""
     sizes = placed.groupBy("_key", "c").agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.groupBy("_key").agg(F.max(F.struct("_n", "c"))["c"].alias("_main"), F.count(F.lit(1)).alias("_parts")).where("_parts > 1")
-    mixed = placed.join(largest.select("_key", "_main"), "_key")
+    largest = sizes.groupBy("_key").agg(F.max(F.struct("_n", "c"))["c"].alias("_main"), F.count(F.lit(1)).alias("_parts"))
+    return placed.join(largest.where("_parts > 1").select("_key", "_main"), "_key")
+
+
+def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
+    """Links ``(a, b)`` between the different fingerprints ``p`` that connect whatever is within ``bits``."""
+    listed = variants(prints, bits).repartition("_key")
+    place = F.row_number().over(Window.partitionBy("_key").orderBy("p"))
+    hubs = listed.withColumn("_n", place).where(F.col("_n") <= HUBS).select("_key", F.col("p").alias("hub"))
+    near = listed.join(hubs, "_key").where((F.col("p") > F.col("hub")) & linked("p", "hub", bits))
+    found = stored(near.select(F.col("hub").alias("a"), F.col("p").alias("b")), "links")
+
+    size = F.count(F.lit(1)).over(Window.partitionBy("_key"))
+    large = stored(listed.withColumn("_n", size).where(F.col("_n") > HUBS).drop("_n"), "large")
+    for turn in range(ROUNDS):
+        mixed = stored(_outside(_joined(large, components(found))), "mixed")
+        order = Window.partitionBy("_key").orderBy(F.xxhash64("p", F.lit(turn)))
+        hubs = mixed.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= HUBS)
+        hubs = hubs.select("_key", F.col("p").alias("hub"), F.col("c").alias("_c"))
+        near = mixed.join(hubs, "_key").where((F.col("c") != F.col("_c")) & linked("p", "hub", bits))
+        more = stored(near.select(F.col("hub").alias("a"), F.col("p").alias("b")), "links")
+        if more.isEmpty():
+            break
+        found = found.unionByName(more)
+    mixed = stored(_outside(_joined(large, components(found))), "mixed")
     outside = mixed.where("c != _main").select("_key", F.col("p").alias("a"), F.col("c").alias("_c"))
-    rest = outside.join(mixed, "_key").where((F.col("_c") != F.col("c")) & near("a", "p", bits))
-    return first.unionByName(rest.select("a", F.col("p").alias("b")).distinct())
+    rest = outside.join(mixed, "_key").where((F.col("_c") != F.col("c")) & linked("a", "p", bits))
+    return found.unionByName(rest.select("a", F.col("p").alias("b")))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
