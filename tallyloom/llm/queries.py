@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallyloom.llm import decontam, mixing, pii, search, sharding, simhash, substrings, toxicity, urllists
 from tallyloom.session import tune
 
@@ -85,7 +86,7 @@ def op7(table):
 @query("op8_simhash_near_duplicates")
 def op8(table):
     """All documents with their fingerprint and the class of near copies that they fall in."""
-    found = simhash.near_duplicates(table("documents").select("doc_id", "text"))
+    found = simhash.near_duplicates(table("documents").select("doc_id", "text"), carry=["doc_id"])
     return found.select("doc_id", simhash.as_hex(F.col("_print")).alias("fingerprint"), "component_id")
 
 
@@ -102,3 +103,13 @@ def op10(table):
     judged = decontam.contamination(table("documents").select("doc_id", "text"), table("benchmark").select("item_id", "text"))
     digest = F.sha2(F.array_join("items", ","), 256)
     return judged.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline, one after the other, over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

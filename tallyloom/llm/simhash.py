@@ -17,7 +17,7 @@ no link between components is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,26 +38,32 @@ PLACE = 32  # bits of a key that hold the segment's value
 AT_ONCE = 200_000  # shingles counted at a time within one text
 
 
-def fingerprint(text: str, shingle: int = SHINGLE) -> int:
-    """The signed 64-bit fingerprint of one text: lower-cased A-Z, words between ASCII white space."""
-    words = text.encode().lower().split()
-    if not words:
-        return 0
+def shingle_hashes(words: list[bytes], shingle: int) -> Iterator[list[int]]:
+    """XXH64 of the shingles of one text, some at a time; fewer words than a shingle are one shingle."""
     shingle = min(shingle, len(words))
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    n = len(words) - shingle + 1
-    begins, stops = starts[:n].tolist(), ends[shingle - 1 :].tolist()
-    set_bits = np.zeros(64, np.int64)
-    digest = xxhash.xxh64_intdigest
-    for at in range(0, n, AT_ONCE):
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(begins[at : at + AT_ONCE], stops[at : at + AT_ONCE], strict=True)]
+    begins = np.concatenate(([0], ends[:-1] + 1))[: len(words) - shingle + 1].tolist()
+    stops, digest = ends[shingle - 1 :].tolist(), xxhash.xxh64_intdigest
+    for at in range(0, len(begins), AT_ONCE):
+        yield [digest(joined[a:b], SEED) for a, b in zip(begins[at : at + AT_ONCE], stops[at : at + AT_ONCE], strict=True)]
+
+
+def majority(parts: Iterable[list[int]]) -> int:
+    """The signed 64-bit number whose bits are set in more than half of the hashes."""
+    set_bits, n = np.zeros(64, np.int64), 0
+    for hashes in parts:
         bits = np.unpackbits(np.array(hashes, dtype=">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        set_bits += bits.sum(axis=0, dtype=np.int64)
+        set_bits, n = set_bits + bits.sum(axis=0, dtype=np.int64), n + len(hashes)
     return int(np.packbits(2 * set_bits > n).view(">i8")[0])
 
 
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+    """The fingerprint of one text: lower-cased A-Z, words between ASCII white space, repeats included."""
+    words = text.encode().lower().split()
+    return majority(shingle_hashes(words, shingle)) if words else 0
+
+
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "_print", shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with the fingerprint of every whole text; NULL is an empty text, whose fingerprint is zero."""
 
@@ -142,18 +148,91 @@ def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
     return found.unionByName(rest.select("a", F.col("p").alias("b")))
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """``docs`` with ``_print`` (long) and ``component_id``, the smallest key that links of ``bits`` or fewer reach.
+def near_duplicates(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, bits: int = BITS, carry: list[str] | None = None
+) -> DataFrame:
+    """``docs`` (its columns ``carry``, by default all) with ``_print`` (long) and ``component_id``.
 
-    Texts without words have fingerprint zero and are linked like any other; a text of
-    fewer words than a shingle is one shingle.  Rows that repeat a key or a text are kept
-    and share their component.  A NULL key never names a component unless all of its keys
-    are NULL.  Columns named ``_print`` or ``component_id`` are replaced.
+    ``component_id`` is the smallest key that links of ``bits`` or fewer reach.  Texts
+    without words have fingerprint zero and are linked like any other; a text of fewer
+    words than a shingle is one shingle.  Rows that repeat a key or a text are kept and
+    share their component.  A NULL key names no component, unless all of its keys are
+    NULL.  Columns named ``_print`` or ``component_id`` are replaced.
     """
-    printed = stored(fingerprints(docs.drop("_print", "component_id"), text, "_print", shingle), "prints")
+    docs = docs.drop("_print", "component_id")
+    printed = fingerprints(docs, text, "_print", shingle)
+    printed = stored(printed.select("_print", *(F.col(f"`{c}`") for c in carry or docs.columns)), "prints")
     nodes = stored(printed.groupBy(F.col("_print").alias("p")).agg(F.min(key).alias("_id")), "nodes")
     found = components(links(nodes.select("p"), bits))
     rooted = nodes.join(found, nodes["p"] == found["node"], "left").select("p", "_id", F.coalesce("root", "p").alias("_root"))
     named = rooted.groupBy("_root").agg(F.min("_id").alias("component_id"))
     classes = stored(rooted.join(named, "_root").select("p", "component_id"), "classes")
     return printed.join(classes, printed["_print"] == classes["p"]).drop("p")
+
+
+NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
+NEAR_BITS = 5  # of the fingerprints of the different words, which edits move least
+CHECK_BITS = 16  # of those of the shingles; 14 held 99 of 100 pairs of similarity 0.8 or more
+
+
+def one_of_each(
+    docs: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    shingle: int = NEAR_SHINGLE,
+    similarity: float = NEAR_SIMILARITY,
+    bits: int = NEAR_BITS,
+) -> DataFrame:
+    """``docs`` with one row of each group of near copies: the one with the smallest key (NULL is largest).
+
+    Candidates are texts whose fingerprints of different words are within ``bits``; a link
+    stands if their sets of ``shingle``-word shingles have a Jaccard ``similarity`` or more.
+    Texts without words are one group.  Of repeated rows one stays.
+    """
+    names = docs.columns
+
+    @F.pandas_udf("p long, s long")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            rows = []
+            for t in texts:
+                words = t.encode().lower().split()
+                rows.append((majority([[xxhash.xxh64_intdigest(w, SEED) for w in set(words)]]), majority(shingle_hashes(words, shingle))) if words else (0, 0))
+            yield pd.DataFrame(rows, columns=["p", "s"])
+
+    @F.pandas_udf("array<int>")
+    def sets(texts: pd.Series) -> pd.Series:
+        def one(t: str) -> np.ndarray:
+            words = t.encode().lower().split()
+            parts = [np.array(h, np.uint64).astype(np.uint32).view(np.int32) for h in shingle_hashes(words, shingle)] if words else []
+            return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int32)
+
+        return texts.map(one)
+
+    printed = stored(docs.withColumn("_b", both(whole(text))).select(*(F.col(f"`{c}`") for c in names), "_b.p", "_b.s").withColumn("_node", F.xxhash64("p", "s")), "printed")
+    rank = F.coalesce(F.col(key).cast("long"), F.lit(2**63 - 1))
+    nodes = stored(printed.groupBy("_node", "p", "s").agg(F.min(rank).alias("_id")), "nodes")
+    heads = nodes.groupBy("p").agg(F.min("_node").alias("_head"))
+    inner = nodes.join(heads, "p").where("_node != _head").select(F.col("_head").alias("a"), F.col("_node").alias("b"))
+    found = links(heads.select("p"), bits)
+    head_of = heads.select(F.col("p").alias("_p"), "_head")
+    across = found.join(head_of, F.col("a") == F.col("_p")).select(F.col("_head").alias("x"), "b")
+    across = across.join(head_of, F.col("b") == F.col("_p")).select(F.col("x").alias("a"), F.col("_head").alias("b"))
+    prints = nodes.select(F.col("_node"), "s")
+    close = inner.unionByName(across).join(prints.toDF("a", "_sa"), "a").join(prints.toDF("b", "_sb"), "b")
+    close = stored(close.where(F.bit_count(F.col("_sa").bitwiseXOR(F.col("_sb"))) <= CHECK_BITS).select("a", "b"), "close")
+
+    ends = close.select(F.col("a").alias("_node")).unionByName(close.select(F.col("b").alias("_node"))).distinct()
+    seen = printed.select("_node", rank.alias("_id"), whole(text).alias("_t")).join(nodes.select("_node", "_id"), ["_node", "_id"]).join(ends, "_node")
+    shingles = stored(seen.dropDuplicates(["_node"]).select("_node", sets("_t").alias("_w")), "shingles")
+    pairs = close.join(shingles.toDF("a", "_wa"), "a").join(shingles.toDF("b", "_wb"), "b")
+    both_have = F.size(F.array_intersect("_wa", "_wb"))
+    alike = pairs.where(both_have >= similarity * (F.size("_wa") + F.size("_wb") - both_have)).select("a", "b")
+    classes = components(alike)
+    placed = nodes.join(classes, nodes["_node"] == classes["node"], "left").select("_node", "_id", F.coalesce("root", "_node").alias("_root"))
+    firsts = placed.groupBy("_root").agg(F.min(F.struct("_id", "_node")).alias("f")).select("f.*")
+    kept = printed.withColumn("_id", rank).join(stored(firsts, "firsts"), ["_node", "_id"])
+    # Rows that repeat the key of the one that stays: seldom any, and only then the texts are grouped.
+    if not kept.groupBy("_node").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["_node"])
+    return kept.select(*(F.col(f"`{c}`") for c in names))
