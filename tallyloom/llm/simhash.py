@@ -116,10 +116,11 @@ def _joined(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _outside(placed: DataFrame) -> DataFrame:
-    """The rows of keys with several components, with the largest component ``_main`` of the key."""
+    """The rows ``(_key, hub, _c)`` that are outside the largest component of their key."""
     sizes = placed.groupBy("_key", "c").agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.groupBy("_key").agg(F.max(F.struct("_n", "c"))["c"].alias("_main"), F.count(F.lit(1)).alias("_parts"))
-    return placed.join(largest.where("_parts > 1").select("_key", "_main"), "_key")
+    largest = sizes.groupBy("_key").agg(F.max(F.struct("_n", "c"))["c"].alias("_main"))
+    rows = placed.join(largest, "_key").where("c != _main")
+    return rows.select("_key", F.col("p").alias("hub"), F.col("c").alias("_c"))
 
 
 def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
@@ -132,20 +133,15 @@ def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
 
     size = F.count(F.lit(1)).over(Window.partitionBy("_key"))
     large = stored(listed.withColumn("_n", size).where(F.col("_n") > HUBS).drop("_n"), "large")
-    for turn in range(ROUNDS):
-        mixed = stored(_outside(_joined(large, components(found))), "mixed")
-        order = Window.partitionBy("_key").orderBy(F.xxhash64("p", F.lit(turn)))
-        hubs = mixed.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= HUBS)
-        hubs = hubs.select("_key", F.col("p").alias("hub"), F.col("c").alias("_c"))
-        near = mixed.join(hubs, "_key").where((F.col("c") != F.col("_c")) & linked("p", "hub", bits))
-        more = stored(near.select(F.col("hub").alias("a"), F.col("p").alias("b")), "links")
-        if more.isEmpty():
-            break
-        found = found.unionByName(more)
-    mixed = stored(_outside(_joined(large, components(found))), "mixed")
-    outside = mixed.where("c != _main").select("_key", F.col("p").alias("a"), F.col("c").alias("_c"))
-    rest = outside.join(mixed, "_key").where((F.col("_c") != F.col("c")) & linked("a", "p", bits))
-    return found.unionByName(rest.select("a", F.col("p").alias("b")))
+    for turn in range(ROUNDS + 1):
+        placed = stored(_joined(large, components(found)), "placed")
+        outside = stored(_outside(placed), "outside")
+        if turn < ROUNDS:  # some of them first; the last turn takes all
+            order = Window.partitionBy("_key").orderBy(F.xxhash64("hub", F.lit(turn)))
+            outside = outside.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= HUBS).drop("_n")
+        near = placed.join(outside, "_key").where((F.col("c") != F.col("_c")) & linked("p", "hub", bits))
+        found = found.unionByName(stored(near.select(F.col("hub").alias("a"), F.col("p").alias("b")), "links"))
+    return found
 
 
 def near_duplicates(
