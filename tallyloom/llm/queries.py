@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyloom.llm import decontam, mixing, pii, search, sharding, simhash, substrings, toxicity, urllists
+from tallyloom.llm import decontam, maxent, mixing, pii, search, sharding, simhash, substrings, toxicity, urllists
 from tallyloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,12 @@ def op2(table):
     return search.nearest(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+@query("op3_maxent_scores")
+def op3(table):
+    """The log probability of all documents under word counts and under the model."""
+    return maxent.score(table("documents").select("doc_id", "text"))
+
+
 @query("op4_temporal_url_lists", urllists.SQL)
 def op4(table):
     """Every page judged by the entries active on its fetch day."""
