@@ -5,7 +5,7 @@ earlier (smaller id, or earlier in the document).  Of each window's grams the on
 the smallest hash is its anchor, so equal windows have equal anchors, and the windows of
 one anchor form a *context*: the words from the first to the last of them.
 
-1. Seed: anchors are grouped by gram and context.  All but the first of a group are
+1. Seed: grams that occur once are dropped; the other anchors are grouped by gram and context.  All but the first of a group are
    repeats in every one of their windows, however many copies there are; groups are
    reduced in the map tasks, so no task gathers a hot one.
 2. Extend: grams with several contexts match over a part of them only.  One occurrence
@@ -13,7 +13,8 @@ one anchor form a *context*: the words from the first to the last of them.
    first one of the same words.
 3. The marked windows of a document run together to maximal repeats.
 
-The texts cross the network once, by document, and serve steps 2 and 3.
+The texts cross the network once, by document, and serve steps 2 and 3.  An anchor's
+place is one number: a tag of the text, its first window and how many windows it has.
 """
 
 from __future__ import annotations
@@ -28,14 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import whole
+from tallyloom.session import stored
 
 SPAN = 20
 GRAM = 5
 GRAM_BITS = (1 << 48) - 1
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers of the rolling hashes
 _FACTORS = np.array([pow(0x9FB21C651E98DF25, j + 1, 1 << 64) for j in range(64)], dtype=np.uint64)
-_ANCHORS = "id long, crc long, at long, n int, gram long, context long"
-_WINDOWS = "one long, two long, id long, at long, gram long, context long, bit int"
+COUNT_BITS, TAG_SHIFT = 6, 47  # of a place: windows of the anchor below, tag of the text above
+_ANCHORS = "id long, place long, gram long, context long"
+_WINDOWS = "one long, two long, id long, place long, gram long, context long, bit int"
 _RESULT = "n_words long, n_removed long, repeats array<struct<start:long,stop:long>>, kept string"
 
 
@@ -86,12 +89,11 @@ def _find_anchors(span: int, gram: int):
                     found.append(anchors(word_hashes(text.encode().split()), span, gram))
                 sizes = [len(f[0]) for f in found]
                 at, n, grams, context = (np.concatenate(x) for x in zip(*found, strict=True))
+                tags = np.repeat(part["tag"].to_numpy(np.int64), sizes)
                 yield pd.DataFrame(
                     {
                         "id": np.repeat(part["id"].to_numpy(), sizes),
-                        "crc": np.repeat(part["crc"].to_numpy(), sizes),
-                        "at": at,
-                        "n": n,
+                        "place": (tags << TAG_SHIFT) | (at << COUNT_BITS) | n,
                         "gram": grams.view(np.int64),
                         "context": context.view(np.int64),
                     }
@@ -100,6 +102,10 @@ def _find_anchors(span: int, gram: int):
     return run
 
 
+def _at(place):
+    return (place >> COUNT_BITS) & ((1 << (TAG_SHIFT - COUNT_BITS)) - 1)
+
+
 def _find_windows(span: int):
     """The windows of the chosen anchors with two independent hashes of their words."""
 
@@ -107,19 +113,21 @@ def _find_windows(span: int):
         for frame in frames:
             for doc, text, seeds in zip(frame["id"], frame["text"], frame["seeds"], strict=True):
                 hashes = word_hashes(text.encode().split())
-                at, n, grams, context = (np.array([s[c] for s in seeds], np.int64) for c in ("at", "n", "gram", "context"))
+                place, grams, context = (np.array([s[c] for s in seeds], np.int64) for c in ("place", "gram", "context"))
+                at, n = _at(place), place & ((1 << COUNT_BITS) - 1)
                 bit = np.concatenate([np.arange(x) for x in n])
                 start = np.repeat(at, n) + bit
                 one, two = (run_hashes(hashes, start, start + span, base).view(np.int64) for base in _BASES)
-                yield pd.DataFrame(
-                    {"one": one, "two": two, "id": doc, "at": start, "gram": np.repeat(grams, n), "context": np.repeat(context, n), "bit": bit.astype(np.int32)}
-                )
+                tag = np.repeat(place >> TAG_SHIFT, n)
+                columns = {"one": one, "two": two, "id": doc, "place": (tag << TAG_SHIFT) | (start << COUNT_BITS)}
+                yield pd.DataFrame(columns | {"gram": np.repeat(grams, n), "context": np.repeat(context, n), "bit": bit.astype(np.int32)})
 
     return run
 
 
-def cut(text: str, starts: list[int], masks: list[int], span: int) -> tuple[int, int, list[tuple[int, int]], str]:
-    """Words, removed words, maximal repeats and kept text, given the marked windows."""
+def cut(text: str, places: list[int], masks: list[int], span: int) -> tuple[int, int, list[tuple[int, int]], str]:
+    """Words, removed words, maximal repeats and kept text, given the anchors' places and their marked windows."""
+    starts = [_at(p) for p in places]
     words = text.encode().split()
     if not len(starts):
         return len(words), 0, [], b" ".join(words).decode()
@@ -138,56 +146,56 @@ def cut(text: str, starts: list[int], masks: list[int], span: int) -> tuple[int,
 
 
 def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with ``n_words``, ``n_removed``, ``repeats`` (word places, end exclusive) and ``kept`` text.
+    """Every row's ``key`` with ``n_words``, ``n_removed``, ``repeats`` (word places, end exclusive) and ``kept`` text.
 
     A text is its words between ASCII white space; NULL has none, and texts shorter than
     ``span`` words have no window.  Documents are ordered by ``key``, NULL first.  Rows
     that repeat key and text are one document and get the same answer; rows with one key
-    and different texts are versions of one document, compared by the place of the words.
-    No row is dropped; columns of ``docs`` named like an output are replaced.
+    and different texts are versions of one document, ordered by a checksum of the text.
+    No row is dropped and other columns are not read.
     """
-    outputs = ("n_words", "n_removed", "repeats", "kept")
-    docs = docs.drop(*outputs)
-    names = docs.columns
-    order = F.coalesce(F.col(key).cast("long"), F.lit(-(2**63)))
-    keyed = docs.withColumns({"_id": order, "_crc": F.crc32(whole(text)), "_text": whole(text)})
-    found = keyed.select(F.col("_id").alias("id"), F.col("_crc").alias("crc"), F.col("_text").alias("text")).mapInPandas(
-        _find_anchors(span, gram), _ANCHORS
-    )
-    spread = keyed.repartition("_id")
-
-    groups = found.groupBy("gram", "context").agg(
-        F.min(F.struct("id", "at", "n", "crc")).alias("first"), F.count(F.lit(1)).alias("times")
-    )
+    if span - gram + 1 >= 1 << COUNT_BITS:
+        raise ValueError("at most 62 grams in a window")
+    least = -(2**63)
+    keyed = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(least)).alias("id"), whole(text).alias("text"))
+    keyed = keyed.select("id", "text", F.crc32("text").bitwiseAND(0xFFFF).alias("tag"))
+    found = keyed.mapInPandas(_find_anchors(span, gram), _ANCHORS)
+    repeated = stored(found.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("gram"), "grams")
+    seeds = stored(found.join(repeated, "gram"), "seeds")
+
+    groups = seeds.groupBy("gram", "context").agg(F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("times"))
+    groups = stored(groups.select("gram", "context", "first.*", "times"), "groups")
     # Grams with several contexts: extend one occurrence of each to its windows.
     several = groups.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1").select("gram")
-    seeds = groups.join(several, "gram").select("first.*", "gram", "context")
-    seeds = seeds.groupBy("id").agg(F.collect_list(F.struct("crc", "at", "n", "gram", "context")).alias("seeds"))
-    own = F.filter("seeds", lambda s: s["crc"] == F.col("_crc"))
-    read = spread.select("_id", "_crc", "_text").join(seeds, F.col("_id") == F.col("id")).select("id", F.col("_text").alias("text"), own.alias("seeds"))
-    windows = read.where("size(seeds) > 0").mapInPandas(_find_windows(span), _WINDOWS)
-    earliest = windows.groupBy("one", "two").agg(F.min(F.struct("id", "at")).alias("first"))
-    late = windows.join(earliest, ["one", "two"]).where(F.struct("id", "at") != F.col("first"))
+    extended = groups.join(several, "gram").groupBy("id").agg(F.collect_list(F.struct("place", "gram", "context")).alias("seeds"))
+    spread = keyed.repartition("id")
+
+    def own(listed: str):
+        return F.filter(listed, lambda s: F.shiftrightunsigned(s["place"], TAG_SHIFT) == F.col("tag"))
+
+    read = spread.join(extended, "id").select("id", "text", own("seeds").alias("seeds")).where("size(seeds) > 0")
+    windows = read.mapInPandas(_find_windows(span), _WINDOWS)
+    earliest = windows.groupBy("one", "two").agg(F.min(F.struct("id", "place")).alias("first"))
+    late = windows.join(earliest, ["one", "two"]).where(F.struct("id", "place") != F.col("first"))
     late = late.groupBy("gram", "context").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
 
     info = groups.join(late, ["gram", "context"], "left").where("times > 1 OR mask IS NOT NULL")
-    info = info.select("gram", "context", F.col("first.id").alias("first_id"), F.col("first.at").alias("first_at"), F.coalesce("mask", F.lit(0).cast("long")).alias("mask"))
-    is_first = (F.col("id") == F.col("first_id")) & (F.col("at") == F.col("first_at"))
-    every = F.expr("shiftleft(1L, n)") - 1
-    marked = found.join(info, ["gram", "context"]).select("id", "crc", "at", F.when(is_first, F.col("mask")).otherwise(every).alias("marks")).where("marks != 0")
-    marked = marked.groupBy("id").agg(F.collect_list(F.struct("crc", "at", "marks")).alias("marked"))
+    info = info.select("gram", "context", F.col("id").alias("_id"), F.col("place").alias("_place"), F.coalesce("mask", F.lit(0).cast("long")).alias("mask"))
+    is_first = (F.col("id") == F.col("_id")) & (F.col("place") == F.col("_place"))
+    every = F.expr(f"shiftleft(1L, CAST(place & {(1 << COUNT_BITS) - 1} AS INT))") - 1
+    marked = seeds.join(info, ["gram", "context"]).select("id", "place", F.when(is_first, F.col("mask")).otherwise(every).alias("marks"))
+    marked = marked.where("marks != 0").groupBy("id").agg(F.collect_list(F.struct("place", "marks")).alias("marked"))
 
     @F.pandas_udf(_RESULT)
     def result(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for texts, starts, masks in batches:
-            rows = [cut(t, s, [int(m) for m in k], span) for t, s, k in zip(texts, starts, masks, strict=True)]
-            yield pd.DataFrame(rows, columns=list(outputs))
-
-    joined = spread.join(marked, F.col("_id") == F.col("id"), "left")
-    own = F.filter(F.coalesce("marked", F.array().cast("array<struct<crc:long,at:long,marks:long>>")), lambda s: s["crc"] == F.col("_crc"))
-    joined = joined.withColumn("_own", own)
-    cutting = result("_text", F.col("_own.at"), F.col("_own.marks"))
-    return joined.select(*(F.col(f"`{c}`") for c in names), cutting.alias("_r")).select(*(F.col(f"`{c}`") for c in names), "_r.*")
+        for texts, places, masks in batches:
+            rows = [cut(t, list(map(int, p)), list(map(int, m)), span) for t, p, m in zip(texts, places, masks, strict=True)]
+            yield pd.DataFrame(rows, columns=["n_words", "n_removed", "repeats", "kept"])
+
+    none = F.array().cast("array<struct<place:long,marks:long>>")
+    joined = spread.join(marked, "id", "left").withColumn("_own", F.filter(F.coalesce("marked", none), lambda s: F.shiftrightunsigned(s["place"], TAG_SHIFT) == F.col("tag")))
+    cutting = joined.select(F.nullif("id", F.lit(least)).alias(key), result("text", F.col("_own.place"), F.col("_own.marks")).alias("_r"))
+    return cutting.select(key, "_r.*")
 
 
 SQL = r"""
