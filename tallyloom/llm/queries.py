@@ -62,7 +62,7 @@ def op4(table):
 @query("op5_karmarkar_karp_shards")
 def op5(table):
     """All documents in eight shards of nearly equal bytes."""
-    sharded = sharding.shard(table("documents").select("doc_id", "text"))
+    sharded = sharding.shard(table("documents").select("doc_id", "text"), carry=["doc_id"])
     return sharded.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )

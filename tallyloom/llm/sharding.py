@@ -83,8 +83,8 @@ def place(items: DataFrame, shards: int = SHARDS, at_once: int = AT_ONCE, loose:
     return inner.unionByName(placed.where(F.col("level") <= level))
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with ``size`` (UTF-8 bytes plus 1), ``text_crc32``, ``shard`` and ``slot``.
+def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", key: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
+    """``docs`` (its columns ``carry``, by default all) with ``size`` (UTF-8 bytes plus 1), ``text_crc32``, ``shard`` and ``slot``.
 
     Rows of equal text, repeated rows among them, share a shard; all NULL texts are one
     group of size 1 each and have no checksum.  Byte sums of the shards come as near to
@@ -94,12 +94,14 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", key: str =
     """
     outputs = ("size", "text_crc32", "shard", "slot")
     docs = docs.drop(*outputs)
+    names = [c for c in carry or docs.columns if c not in outputs]
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
     group = F.xxhash64(F.col(text), F.col(text).isNull())
     rows = docs.withColumns({"size": size, "text_crc32": F.crc32(text), "_g": group, "_c": F.coalesce(F.crc32(text), F.lit(-1))})
     groups = rows.groupBy("_g", "_c").agg(F.sum("size").alias("bytes"))
     items = stored(groups.select(F.lit(0).alias("level"), F.col("_g").alias("g"), F.col("_c").cast("long").alias("c"), "bytes"), "groups")
     placed = stored(place(items, shards).select(F.col("g").alias("_g"), F.col("c").alias("_c"), "shard"), "shards")
+    rows = rows.select(*(F.col(f"`{c}`") for c in names), F.col(key).alias("_key"), "size", "text_crc32", "_g", "_c")
     joined = stored(rows.join(placed, ["_g", "_c"]), "sharded")
-    numbered = slots(joined, "shard", F.struct(F.col(key), "_g"), [F.col(key), F.col("_g")], "slot")
-    return numbered.select(*(F.col(f"`{c}`") for c in docs.columns), *outputs)
+    numbered = slots(joined, "shard", F.struct("_key", "_g"), [F.col("_key"), F.col("_g")], "slot")
+    return numbered.select(*(F.col(f"`{c}`") for c in names), *outputs)
