@@ -106,7 +106,8 @@ def linked(a: str, b: str, bits: int) -> Column:
     first = F.lit(-1)
     for low, _, mask in reversed(segments(bits)):
         part = x.bitwiseAND(_signed(mask))
-        first = F.when(part == 0, low).when(F.bit_count(part) == 1, F.bit_count(part - 1)).otherwise(first)
+        bit = F.when(part < 0, 63).otherwise(F.bit_count(part - 1))  # of a part with one bit
+        first = F.when(part == 0, low).when(F.bit_count(part) == 1, bit).otherwise(first)
     return (F.bit_count(x) <= bits) & (F.shiftright("_key", PLACE) == first)
 
 
