@@ -22,16 +22,6 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    @property
-    def lineitem(self) -> DataFrame:
-        """The lines, dealt out to all cores where they come as one small file that only one task can read.
-
-        A table with at least one split per core is left as it is.
-        """
-        lines = self.spark.read.parquet(f"{self.sf_dir}/lineitem.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
-
 
 def text(column: str):
     return F.col(column).cast("string")

@@ -20,13 +20,22 @@ def _granted(deny_if_empty: bool) -> Column:
 
 
 def checked_requests(requests: DataFrame, users: DataFrame, deny_if_empty: bool = False) -> DataFrame:
-    """Requests ``(username, table_name)`` of known users with an ``authorized`` flag.
+    """All requests ``(username, table_name)`` with an ``authorized`` flag; an unknown user may read nothing.
 
     An empty list of grants stands for every table unless ``deny_if_empty``.  Grants
     travel as one array per user, so a user with many requests costs one join.
     """
     granted = users.select("username", list_items("allowed_tables").alias("_granted"))
-    return requests.join(granted, "username").withColumn("authorized", _granted(deny_if_empty)).drop("_granted")
+    joined = requests.join(granted, "username", "left")
+    return joined.withColumn("authorized", F.coalesce(_granted(deny_if_empty), F.lit(False))).drop("_granted")
+
+
+def request_audit(requests: DataFrame, users: DataFrame, deny_if_empty: bool = False) -> DataFrame:
+    """Every request with ``authorized`` and, where it is refused, the reason."""
+    known = users.select("username", F.lit(True).alias("_known")).distinct()
+    checked = checked_requests(requests, users, deny_if_empty).join(known, "username", "left")
+    reason = F.when(F.col("_known").isNull(), "unknown user").when(~F.col("authorized"), "not granted")
+    return checked.withColumn("reason", reason).drop("_known")
 
 
 def authorized_tables(requests: DataFrame, users: DataFrame, deny_if_empty: bool = False) -> DataFrame:

@@ -73,15 +73,28 @@ def dws_shop_daily_gmv(orders: DataFrame, paid: tuple[str, ...] = PAID, keyed: b
     )
 
 
-def dws_spu_daily_sales(detail: DataFrame, paid: tuple[str, ...] = PAID) -> DataFrame:
+def _by_order(lines: DataFrame, group: str, *keys: str, label: str | None = None) -> DataFrame:
+    """Lines summed per group, day, order and buyer, so that orders are counted as rows afterwards."""
+    sums = [F.sum(c).alias(c) for c in ("quantity", "item_pay_amount", "discount_amount")]
+    label_of = [F.max(label).alias(label)] if label else []
+    return lines.groupBy(group, "stat_date", "order_id", "buyer_uid", *keys).agg(F.count("order_item_id").alias("lines"), *sums, *label_of)
+
+
+def dws_spu_daily_sales(detail: DataFrame, paid: tuple[str, ...] = PAID, keyed: bool = True) -> DataFrame:
+    """Paid lines per product and day.
+
+    ``keyed`` tells that a line's id is unique in its product and day, and that an order has one
+    buyer and one name per product, as in the DWD table; otherwise all three counts are distinct.
+    """
+    lines = filter_paid(detail, paid).withColumn("stat_date", day_text("create_time"))
+    rows = _by_order(lines, "spu_id", "spu_name", "brand") if keyed else lines
     daily = (
-        filter_paid(detail, paid)
-        .groupBy("spu_id", day_text("create_time").alias("stat_date"))
+        rows.groupBy("spu_id", "stat_date")
         .agg(
             F.max("spu_name").alias("spu_name"),
             F.max("brand").alias("brand"),
-            F.count_distinct("order_id").alias("order_cnt"),
-            F.count_distinct("order_item_id").alias("sku_sold_cnt"),
+            _order_count(keyed).alias("order_cnt"),
+            (F.sum("lines") if keyed else F.count_distinct("order_item_id")).alias("sku_sold_cnt"),
             F.sum("quantity").alias("quantity"),
             F.sum("item_pay_amount").alias("gmv"),
             F.sum("discount_amount").alias("discount_amt"),
@@ -91,13 +104,15 @@ def dws_spu_daily_sales(detail: DataFrame, paid: tuple[str, ...] = PAID) -> Data
     return apply_contract(daily, MARKETPLACE["dws_spu_daily_sales"])
 
 
-def dws_category_daily_sales(detail: DataFrame, paid: tuple[str, ...] = PAID) -> DataFrame:
+def dws_category_daily_sales(detail: DataFrame, paid: tuple[str, ...] = PAID, keyed: bool = True) -> DataFrame:
+    """Paid lines per category and day; ``keyed`` tells that an order has one buyer."""
+    lines = filter_paid(detail, paid).withColumn("stat_date", day_text("create_time"))
+    rows = _by_order(lines, "company_category_id", label="company_category_path") if keyed else lines
     daily = (
-        filter_paid(detail, paid)
-        .groupBy("company_category_id", day_text("create_time").alias("stat_date"))
+        rows.groupBy("company_category_id", "stat_date")
         .agg(
             F.max("company_category_path").alias("company_category_path"),
-            F.count_distinct("order_id").alias("order_cnt"),
+            _order_count(keyed).alias("order_cnt"),
             F.sum("quantity").alias("quantity"),
             F.sum("item_pay_amount").alias("gmv"),
             F.sum("discount_amount").alias("discount_amt"),

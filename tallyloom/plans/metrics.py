@@ -53,7 +53,8 @@ def brand_sales(spus: DataFrame) -> DataFrame:
     return metric_total_period(spus, ["brand"], ["gmv", "quantity", "order_cnt"]).orderBy(F.desc("gmv"), "brand")
 
 
-def category_level1_rank(categories: DataFrame, n: int = SUMMARY_CAP) -> DataFrame:
+def category_level1_rank(categories: DataFrame, n: int | None = None) -> DataFrame:
+    """Sales of the categories of the first level, all of them unless ``n`` is given."""
     levelled = categories.withColumn("category_level1", category_level("company_category_path", 1))
     totals = metric_total_period(levelled, ["category_level1"], ["gmv"])
     return top(totals, n, F.desc("gmv"), F.asc("category_level1"))
@@ -94,12 +95,12 @@ def rank_by_metric(daily: DataFrame, dims: Sequence[str], meaning: str, n: int =
     """The top ``n`` by what ``meaning`` asks for: a metric name or one of ``SORT_PHRASES``."""
     metric = SORT_PHRASES.get(meaning, meaning)
     totals = daily.groupBy(*dims).agg(_period_metric(daily, metric).alias("metric_value"))
-    return top(totals, n, F.desc_nulls_last("metric_value"), *[F.asc(d) for d in dims], cap=SUMMARY_CAP)
+    return top(totals, n, F.desc_nulls_last("metric_value"), *[F.asc(d) for d in dims])
 
 
 def top_shops_day(ranking: DataFrame, day: str, n: int = DEFAULT_TOP) -> DataFrame:
     rows = filter_single_day(ranking, day).select("rank_no", "shop_id", "shop_name", "gmv")
-    return top(rows, n, F.asc("rank_no"), cap=SUMMARY_CAP)
+    return top(rows, n, F.asc("rank_no"))
 
 
 def top_spu_period(spus: DataFrame, n: int = DEFAULT_TOP) -> DataFrame:
@@ -110,16 +111,18 @@ def top_spu_period(spus: DataFrame, n: int = DEFAULT_TOP) -> DataFrame:
         F.sum("gmv").alias("gmv"),
         F.sum("quantity").alias("quantity"),
     )
-    return top(totals, n, F.desc("gmv"), F.asc("spu_id"), cap=SUMMARY_CAP)
+    return top(totals, n, F.desc("gmv"), F.asc("spu_id"))
 
 
 def row_cap(df: DataFrame, order: Sequence[Column], n: int = DEFAULT_TOP, detail: bool = False) -> DataFrame:
     """At most ``n`` rows and never more than the cap of detail or summary answers."""
-    return top(df, n, *order, cap=DETAIL_CAP if detail else SUMMARY_CAP)
+    return top(df, min(n, DETAIL_CAP if detail else SUMMARY_CAP), *order)
 
 
-def answer_table(df: DataFrame, money: Sequence[str], counts: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """At most ten rows for reading: money with separators and two decimals, counts as whole numbers."""
-    first = top(df, ANSWER_ROWS, *order)
+def answer_table(
+    df: DataFrame, money: Sequence[str], counts: Sequence[str], order: Sequence[Column], rows: int | None = ANSWER_ROWS
+) -> DataFrame:
+    """The first ``rows`` rows for reading (ten, as answers show; None for all): money with separators and two decimals, counts as whole numbers."""
+    first = top(df, rows, *order)
     shown = {c: money_text(c) for c in money} | {c: F.format_number(F.col(c), 0) for c in counts}
     return first.select(*[shown[c].alias(c) if c in shown else F.col(c) for c in df.columns])

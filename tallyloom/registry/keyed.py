@@ -133,6 +133,24 @@ def unauthorized(t):
     return access.unauthorized_tables(requests(t), b.user_grants(t))
 
 
+UNKNOWN = "SELECT 'new ' || c_name AS username, 'ads_top_spu_daily' AS table_name FROM customer WHERE c_nationkey = 3"
+
+
+@query(
+    "request_audit",
+    (),
+    _checked(
+        f"""SELECT username, table_name, ok AS authorized, CASE WHEN NOT ok THEN 'not granted' END AS reason FROM checked
+            UNION ALL SELECT username, table_name, false, 'unknown user' FROM ({UNKNOWN})"""
+    ),
+)
+def audited_requests(t):
+    """Allowed and refused requests together, some of users that are not known."""
+    name = F.concat(F.lit("new "), "c_name").alias("username")
+    unknown = t.customer.where("c_nationkey = 3").select(name, F.lit("ads_top_spu_daily").alias("table_name"))
+    return access.request_audit(requests(t).unionByName(unknown), b.user_grants(t))
+
+
 @query("allowed_users", (), _checked("SELECT username, bool_and(ok) AS allowed FROM checked GROUP BY username"))
 def allowed(t):
     return access.allowed_users(requests(t), b.user_grants(t))

@@ -332,8 +332,8 @@ def snapshot_then_changes(t):
 @query(
     "generate_orders",
     (),
-    """SELECT seq AS id, 'DY20260820' || lpad(CAST(seq AS VARCHAR), 8, '0') AS order_id, 'DOUYIN' AS platform_code,
-              'official' AS shop_id, 'buyer_' || lpad(CAST(seq AS VARCHAR), 6, '0') AS buyer_uid,
+    """SELECT seq AS id, 'DY20260820' || lpad(CAST(seq AS VARCHAR), CAST(greatest(length(CAST(seq AS VARCHAR)), 8) AS INTEGER), '0') AS order_id, 'DOUYIN' AS platform_code,
+              'official' AS shop_id, 'buyer_' || lpad(CAST(seq AS VARCHAR), CAST(greatest(length(CAST(seq AS VARCHAR)), 6) AS INTEGER), '0') AS buyer_uid,
               CAST(2999 + CAST((seq * 7919) % 500000 AS DECIMAL(16,2)) / 100 AS DOUBLE) AS total_amount,
               CASE WHEN seq % 10 = 0 THEN 'UNPAID' ELSE 'PAID' END AS pay_status,
               strftime(DATE '2026-08-20' - CAST((seq * 31) % 7 AS INTEGER), '%Y-%m-%d %H:%M:%S') AS create_time

@@ -27,7 +27,7 @@ def overwrite_partitions(df: DataFrame, path: str, table: Table, max_rows: int =
 
 
 def append_rows(df: DataFrame, path: str, table: Table) -> None:
-    writer = apply_contract(df, table).write.mode("append")
+    writer = layout(apply_contract(df, table), table.partition_by).write.mode("append")
     if table.partition_by:
         writer = writer.partitionBy(*table.partition_by)
     writer.parquet(path)
@@ -35,7 +35,7 @@ def append_rows(df: DataFrame, path: str, table: Table) -> None:
 
 def replace_table(df: DataFrame, path: str, table: Table) -> None:
     """Write a new copy of a table; ``path`` must be a new folder when ``df`` reads the old copy."""
-    writer = apply_contract(df, table, check_keys=True).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = layout(apply_contract(df, table, check_keys=True), table.partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if table.partition_by:
         writer = writer.partitionBy(*table.partition_by)
     writer.parquet(path)
@@ -67,6 +67,6 @@ def drop_table(spark: SparkSession, database: str, name: str) -> None:
 
 
 def result_rows(df: DataFrame, cap: int) -> dict:
-    """A small result for a caller outside Spark: columns, rows and their number, at most ``cap`` rows."""
-    rows = [row.asDict(recursive=True) for row in df.limit(cap).collect()]
-    return {"columns": df.columns, "data": rows, "row_count": len(rows)}
+    """A small result for a caller outside Spark: columns, at most ``cap`` rows, and whether there were more."""
+    rows = [row.asDict(recursive=True) for row in df.limit(cap + 1).collect()]
+    return {"columns": df.columns, "data": rows[:cap], "row_count": len(rows[:cap]), "truncated": len(rows) > cap}

@@ -55,10 +55,9 @@ def cdc_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str], order_
 def snapshot_then_changes(
     snapshot: DataFrame, changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:
-    """A full snapshot followed by ordered changes, folded to the current rows."""
-    start = snapshot.withColumn("op", F.lit("r"))
-    for c in order_by:
-        if c not in start.columns:
-            start = start.withColumn(c, F.lit(None).cast(changes.schema[c].dataType))
-    both = start.withColumn("_phase", F.lit(0)).unionByName(changes.withColumn("_phase", F.lit(1)))
-    return latest_per_key(both, keys, ["_phase", *order_by]).where("op <> 'd'").drop("_phase", "op")
+    """A full snapshot (one row per key) followed by ordered changes, folded to the current rows.
+
+    Changes always win over the snapshot, so only they are ranked.
+    """
+    missing = {c: F.lit(None).cast(changes.schema[c].dataType) for c in order_by if c not in snapshot.columns}
+    return cdc_apply(snapshot.withColumns(missing) if missing else snapshot, changes, keys, order_by)

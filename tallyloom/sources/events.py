@@ -79,7 +79,7 @@ def with_event_watermark(df: DataFrame, column: str = "event_time", delay: str =
 def order_event_amounts(events: DataFrame, scale: int = 1) -> DataFrame:
     """Whole-number amounts of ``order_events`` as decimals; ``scale`` is 100 when they are cents."""
     amounts = ("order_amount", "pay_amount", "post_amount")
-    return events.withColumns({c: (F.col(c) / F.lit(scale)).cast("decimal(18,2)") for c in amounts})
+    return events.withColumns({c: (F.col(c).cast("decimal(20,0)") / F.lit(scale)).cast("decimal(18,2)") for c in amounts})
 
 
 def marketplace_event_amounts(events: DataFrame) -> DataFrame:

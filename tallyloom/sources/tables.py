@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,16 +98,21 @@ def generate_orders(numbers: DataFrame, first_day: str = "2026-08-20") -> DataFr
     """One source order per row of ``numbers(seq)``.
 
     Amount and day are fixed functions of ``seq``, so that a retried task writes
-    the same rows again.
+    the same rows again.  Numbers are padded to at least 8 and 6 digits, never cut.
     """
     seq = F.col("seq")
+
+    def padded(least: int) -> Column:
+        digits = seq.cast("string")
+        return F.lpad(digits, F.greatest(F.length(digits), F.lit(least)), F.lit("0"))
+
     return numbers.select(
         seq.alias("id"),
-        F.concat(F.lit(f"DY{first_day.replace('-', '')}"), F.lpad(seq.cast("string"), 8, "0")).alias("order_id"),
+        F.concat(F.lit(f"DY{first_day.replace('-', '')}"), padded(8)).alias("order_id"),
         F.lit("DOUYIN").alias("platform_code"),
         F.lit("official").alias("shop_id"),
-        F.concat(F.lit("buyer_"), F.lpad(seq.cast("string"), 6, "0")).alias("buyer_uid"),
-        F.round(F.lit(2999).cast("decimal(16,2)") + ((seq * 7919) % 500000) / F.lit(100), 2)
+        F.concat(F.lit("buyer_"), padded(6)).alias("buyer_uid"),
+        (F.lit(2999) + ((seq * 7919) % 500000).cast("decimal(20,0)") / F.lit(100))
         .cast("decimal(16,2)")
         .alias("total_amount"),
         F.when(seq % 10 == 0, "UNPAID").otherwise("PAID").alias("pay_status"),

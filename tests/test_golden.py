@@ -8,25 +8,26 @@ from tallyloom.contracts import RETAIL
 from tallyloom.plans import retail
 from tallyloom.sources.tables import values_rows
 
+# The users, products and orders of the golden case, as they are given.
 USERS = [
-    ("u1", "A", "app", "20260720"),
-    ("u2", "B", "web", "20260720"),
-    ("u3", "C", "miniapp", "20260720"),
-    ("u4", "D", "app", "20260721"),
-    ("u5", "E", "web", "20260721"),
+    ("u1", "张三", "app", "20260720"),
+    ("u2", "李四", "web", "20260720"),
+    ("u3", "王五", "miniapp", "20260720"),
+    ("u4", "赵六", "app", "20260721"),
+    ("u5", "钱七", "web", "20260721"),
 ]
-PRODUCTS = [("p1", "keyboard", "parts"), ("p2", "screen", "parts"), ("p3", "chair", "office")]
+PRODUCTS = [("p1", "机械键盘", "电脑外设"), ("p2", "4K显示器", "电脑外设"), ("p3", "人体工学椅", "办公家具")]
 ORDERS = [
-    ("o1", "u1", "p1", 500, "paid", "GD", "app", "2026-07-20 10:00:00", "20260720"),
-    ("o2", "u2", "p2", 1500, "paid", "BJ", "web", "2026-07-20 11:00:00", "20260720"),
-    ("o3", "u3", "p3", 800, "paid", "SH", "miniapp", "2026-07-20 12:00:00", "20260720"),
-    ("o4", "u1", "p2", 1500, "refunded", "GD", "app", "2026-07-20 13:00:00", "20260720"),
-    ("o5", "u4", "p1", 500, "paid", "GD", "app", "2026-07-20 14:00:00", "20260720"),
-    ("o6", "u2", "p3", 800, "paid", "BJ", "web", "2026-07-21 10:00:00", "20260721"),
-    ("o7", "u5", "p1", 500, "paid", "SH", "web", "2026-07-21 11:00:00", "20260721"),
-    ("o8", "u3", "p2", 1500, "paid", "SH", "miniapp", "2026-07-21 12:00:00", "20260721"),
-    ("o9", "u4", "p3", 800, "refunded", "GD", "app", "2026-07-21 13:00:00", "20260721"),
-    ("o10", "u1", "p1", 500, "paid", "GD", "app", "2026-07-21 14:00:00", "20260721"),
+    ("o1", "u1", "p1", 500, "paid", "广东", "app", "2026-07-20 10:00:00", "20260720"),
+    ("o2", "u2", "p2", 1500, "paid", "北京", "web", "2026-07-20 11:00:00", "20260720"),
+    ("o3", "u3", "p3", 800, "paid", "上海", "miniapp", "2026-07-20 12:00:00", "20260720"),
+    ("o4", "u1", "p2", 1500, "refunded", "广东", "app", "2026-07-20 13:00:00", "20260720"),
+    ("o5", "u4", "p1", 500, "paid", "广东", "app", "2026-07-20 14:00:00", "20260720"),
+    ("o6", "u2", "p3", 800, "paid", "北京", "web", "2026-07-21 10:00:00", "20260721"),
+    ("o7", "u5", "p1", 500, "paid", "上海", "web", "2026-07-21 11:00:00", "20260721"),
+    ("o8", "u3", "p2", 1500, "paid", "上海", "miniapp", "2026-07-21 12:00:00", "20260721"),
+    ("o9", "u4", "p3", 800, "refunded", "广东", "app", "2026-07-21 13:00:00", "20260721"),
+    ("o10", "u1", "p1", 500, "paid", "广东", "app", "2026-07-21 14:00:00", "20260721"),
 ]
 
 
@@ -69,24 +70,24 @@ def test_channels(orders, rows):
 def test_provinces(orders, rows):
     provinces = retail.dws_province_order_day(orders)
     assert rows(retail.ads_region_gmv_di(provinces)) == [
-        ("20260720", "BJ", 1, 1, 1, D("1500.00")),
-        ("20260720", "GD", 3, 2, 2, D("1000.00")),
-        ("20260720", "SH", 1, 1, 1, D("800.00")),
-        ("20260721", "BJ", 1, 1, 1, D("800.00")),
-        ("20260721", "GD", 2, 1, 1, D("500.00")),
-        ("20260721", "SH", 2, 2, 2, D("2000.00")),
+        ("20260720", "上海", 1, 1, 1, D("800.00")),
+        ("20260720", "北京", 1, 1, 1, D("1500.00")),
+        ("20260720", "广东", 3, 2, 2, D("1000.00")),
+        ("20260721", "上海", 2, 2, 2, D("2000.00")),
+        ("20260721", "北京", 1, 1, 1, D("800.00")),
+        ("20260721", "广东", 2, 1, 1, D("500.00")),
     ]
 
 
 def test_products(orders, products, rows):
     sales = retail.dws_product_sales_day(orders, products)
     assert rows(sales, "dt", "product_id", "product_name", "sale_cnt", "sale_amount") == [
-        ("20260720", "p1", "keyboard", 2, D("1000.00")),
-        ("20260720", "p2", "screen", 2, D("3000.00")),
-        ("20260720", "p3", "chair", 1, D("800.00")),
-        ("20260721", "p1", "keyboard", 2, D("1000.00")),
-        ("20260721", "p2", "screen", 1, D("1500.00")),
-        ("20260721", "p3", "chair", 2, D("1600.00")),
+        ("20260720", "p1", "机械键盘", 2, D("1000.00")),
+        ("20260720", "p2", "4K显示器", 2, D("3000.00")),
+        ("20260720", "p3", "人体工学椅", 1, D("800.00")),
+        ("20260721", "p1", "机械键盘", 2, D("1000.00")),
+        ("20260721", "p2", "4K显示器", 1, D("1500.00")),
+        ("20260721", "p3", "人体工学椅", 2, D("1600.00")),
     ]
     published, quarantine = retail.ads_product_sales_rank_di(sales)
     assert published.count() == 0
@@ -112,5 +113,5 @@ def test_rollup(spark, rows):
 
 
 def test_amount_must_be_positive(spark):
-    odd = [("a", "u", "p", None, "paid", "GD", "app", None, "20260720"), ("b", "u", "p", 0, "paid", "GD", "app", None, "20260720")]
+    odd = [("a", "u", "p", None, "paid", "广东", "app", None, "20260720"), ("b", "u", "p", 0, "paid", "广东", "app", None, "20260720")]
     assert retail.dwd_order_info(values_rows(spark, odd, RETAIL["ods_order_info"])).count() == 0
