@@ -142,6 +142,27 @@ def dws_user_daily_activity(orders: DataFrame, paid: tuple[str, ...] = PAID, key
     return apply_contract(rows, MARKETPLACE["dws_user_daily_activity"])
 
 
+def new_buyers_exact(orders: DataFrame, paid: tuple[str, ...] = PAID) -> DataFrame:
+    """Per day the buyers, and those whose first paid order in ``orders`` is of that day.
+
+    The first day is a minimum per buyer, reduced in the map tasks; ``orders`` must reach
+    back as far as "new" is to mean.
+    """
+    bought = filter_paid(orders, paid).where("buyer_uid IS NOT NULL").select("buyer_uid", F.col("order_date").alias("stat_date"))
+    first = bought.groupBy("buyer_uid").agg(F.min("stat_date").alias("stat_date"))
+    new = first.groupBy("stat_date").agg(F.count(F.lit(1)).alias("new_buyer_uv"))
+    daily = bought.groupBy("stat_date").agg(F.count_distinct("buyer_uid").alias("buyer_uv")).join(new, "stat_date", "left")
+    counts = daily.withColumn("new_buyer_uv", F.coalesce("new_buyer_uv", F.lit(0)))
+    return counts.select("stat_date", "buyer_uv", "new_buyer_uv", ratio("new_buyer_uv", "buyer_uv", 4).alias("new_buyer_share"))
+
+
+def overview_exact_buyers(orders: DataFrame, shops: DataFrame, paid: tuple[str, ...] = PAID) -> DataFrame:
+    """The overview's buyers, summed over shops, next to the day's different buyers."""
+    summed = shops.groupBy("stat_date").agg(F.sum("buyer_uv").cast("long").alias("buyer_uv_by_shop"))
+    exact = filter_paid(orders, paid).groupBy(F.col("order_date").alias("stat_date")).agg(F.count_distinct("buyer_uid").alias("buyer_uv"))
+    return exact.join(summed, "stat_date", "left")
+
+
 def ads_realtime_overview(shops: DataFrame) -> DataFrame:
     """All shops per day.  A buyer of two shops counts in both: the daily figure is a sum over shops."""
     daily = shops.groupBy("stat_date").agg(

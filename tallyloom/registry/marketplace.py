@@ -122,6 +122,30 @@ def buyer_day(t):
     return buyers(t)
 
 
+@query(
+    "new_buyer_uv_exact",
+    ("heads",),
+    """SELECT stat_date, count(*) AS buyer_uv, count(*) FILTER (stat_date = since) AS new_buyer_uv,
+              round(count(*) FILTER (stat_date = since) / count(*), 4) AS new_buyer_share
+       FROM (SELECT DISTINCT buyer_uid, order_date AS stat_date, min(order_date) OVER (PARTITION BY buyer_uid) AS since
+             FROM heads WHERE pay_status = 'PAID' AND buyer_uid IS NOT NULL) GROUP BY stat_date""",
+)
+def new_buyers(t):
+    return m.new_buyers_exact(b.order_heads(t), b.PAID)
+
+
+@query(
+    "overview_exact_uv",
+    ("heads", "shops"),
+    """SELECT stat_date, buyer_uv, buyer_uv_by_shop
+       FROM (SELECT order_date AS stat_date, count(DISTINCT buyer_uid) AS buyer_uv FROM heads WHERE pay_status = 'PAID' GROUP BY order_date)
+       LEFT JOIN (SELECT stat_date, CAST(sum(buyer_uv) AS BIGINT) AS buyer_uv_by_shop FROM shops GROUP BY stat_date) USING (stat_date)""",
+)
+def exact_buyers(t):
+    heads = b.order_heads(t)
+    return m.overview_exact_buyers(heads, shops(t), b.PAID)
+
+
 @query("ads_realtime_overview", ("overview",), doubles("overview", "gmv", "paid_gmv", "discount_amt", "freight_amt"))
 def realtime_overview(t):
     return overview(t)
