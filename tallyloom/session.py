@@ -53,6 +53,11 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A new path of its own under the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

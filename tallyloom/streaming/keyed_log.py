@@ -4,6 +4,10 @@ Each micro-batch is written to a folder named after its id, one row per key, and
 replayed batch replaces its own folder, so writing is exactly once.  Writing never
 rewrites older data; reading keeps the last row of each key.  ``fold`` merges the
 batches so far into a new table, which keeps reads short over time.
+
+Batch ids count anew for every query (a query with a new checkpoint is another one), so a
+table belongs to the query that first wrote to it; another one is refused and goes on
+from a ``fold`` instead.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.operators.keyed import latest_per_key
+from tallyloom.session import exists
 
 
 class KeyedLog:
@@ -38,7 +43,22 @@ class KeyedLog:
     def open_empty(self, spark: SparkSession) -> "KeyedLog":
         return self.open(spark.createDataFrame([], self.schema))
 
+    def begun(self, spark: SparkSession) -> bool:
+        return exists(spark, f"{self.path}/batch=-1")
+
+    def _claim(self, spark: SparkSession) -> None:
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if query is None:  # not called by a stream
+            return
+        owner = f"{self.path}/_owner"
+        if not exists(spark, owner):
+            spark.createDataFrame([(query,)], "query string").coalesce(1).write.mode("ignore").text(owner)
+        known = spark.read.text(owner).first()
+        if known is None or known[0] != query:
+            raise RuntimeError(f"{self.path} is written by another query; fold it to a new path and go on there")
+
     def append(self, batch: DataFrame, batch_id: int) -> None:
+        self._claim(batch.sparkSession)
         self._write(latest_per_key(batch, self.keys, self.order_by) if self.order_by else batch, batch_id)
 
     def _order(self) -> list[str]:

@@ -102,7 +102,7 @@ class RevisingSummary:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """The ``foreachBatch`` step."""
         spark = batch.sparkSession
-        if batch_id == 0:
+        if not self.published.begun(spark):
             self.published.open_empty(spark)
         self.rows.append(batch, batch_id)
         changes = self._amounts(self.rows.replaced(spark, batch_id))

@@ -447,6 +447,21 @@ def test_shared_folder_is_the_cluster_setting(spark):
 # --- streams ---------------------------------------------------------------------
 
 
+def test_second_query_on_a_table_is_refused(spark, rows):
+    schema = T.StructType.fromDDL("k int, v string")
+    log = KeyedLog(work_path(spark, "owned"), schema, ["k"], []).open_empty(spark)
+    source = work_path(spark, "owned-source")
+    frame(spark, "k int, v string", (1, "a"), (2, "b")).write.parquet(source)
+    stream = tables.stream_table(spark, source, schema)
+    run.drain(run.each_batch(stream, log.append), work_path(spark, "checkpoint"))
+    with pytest.raises(Exception, match="another query"):
+        run.drain(run.each_batch(stream, log.append), work_path(spark, "checkpoint"))
+    assert rows(log.current(spark)) == [(1, "a"), (2, "b")]
+    folded = log.fold(spark, work_path(spark, "folded"))
+    run.drain(run.each_batch(stream, folded.append), work_path(spark, "checkpoint"))
+    assert rows(folded.current(spark)) == [(1, "a"), (2, "b")]
+
+
 def test_replayed_batch_changes_nothing(spark, rows):
     log = KeyedLog(work_path(spark, "log"), T.StructType.fromDDL("k int, v string, n int"), ["k"], ["n"]).open_empty(spark)
     log.append(frame(spark, "k int, v string, n int", (1, "a", 1), (1, "b", 2), (2, "x", 1)), 0)
