@@ -52,6 +52,21 @@ TERMS = {
     "消费者": "buyer_uv",
     "单": "order_cnt",
     "订单": "order_cnt",
+    # How a metric is usually asked for.
+    "卖了多少钱": "gmv",
+    "营收": "gmv",
+    "卖了多少件": "quantity",
+    "出货量": "quantity",
+    "件数": "quantity",
+    "平均每单多少钱": "avg_order_amount",
+    "单均价": "avg_order_amount",
+    "客单": "avg_order_amount",
+    "多少人买": "buyer_uv",
+    "客群规模": "buyer_uv",
+    "用户数": "buyer_uv",
+    "实付": "net_pay_amt",
+    "到手金额": "net_pay_amt",
+    "净收入": "net_pay_amt",
 }
 
 

@@ -17,6 +17,7 @@ from tallyloom.registry.sql import cents, rounded
 from tallyloom.session import stored
 
 LAST_DAY = "2001-08-01"
+PERIOD_DAY = "1998-05-14"
 
 
 def recent_overview(t, days, as_of=LAST_DAY):
@@ -55,6 +56,31 @@ def single_day(t):
     return filters.filter_single_day(shops(t), "1998-10-03").select("stat_date", "shop_id", "gmv", "order_cnt")
 
 
+@query(
+    "metric_by_period",
+    ("overview",),
+    f"""SELECT name AS period, CAST(sum(gmv) AS DOUBLE) AS gmv, CAST(sum(order_cnt) AS BIGINT) AS order_cnt, min(stat_date) AS first_day, max(stat_date) AS last_day
+        FROM overview JOIN (VALUES
+          ('今天', DATE '{PERIOD_DAY}', DATE '{PERIOD_DAY}'), ('昨天', DATE '{PERIOD_DAY}' - 1, DATE '{PERIOD_DAY}' - 1),
+          ('本周', CAST(date_trunc('week', DATE '{PERIOD_DAY}') AS DATE), DATE '{PERIOD_DAY}'),
+          ('上周', CAST(date_trunc('week', DATE '{PERIOD_DAY}') AS DATE) - 7, CAST(date_trunc('week', DATE '{PERIOD_DAY}') AS DATE) - 1),
+          ('本月', CAST(date_trunc('month', DATE '{PERIOD_DAY}') AS DATE), DATE '{PERIOD_DAY}'),
+          ('上月', CAST(date_trunc('month', DATE '{PERIOD_DAY}') - INTERVAL 1 MONTH AS DATE), CAST(date_trunc('month', DATE '{PERIOD_DAY}') AS DATE) - 1)
+        ) v(name, a, z) ON CAST(stat_date AS DATE) BETWEEN a AND z GROUP BY name""",
+)
+def by_period(t):
+    """Sales of the named periods, all read in one pass."""
+    days = filters.since_days(b.order_heads(t, "shop", "quantity"), 62, PERIOD_DAY, "create_time")
+    daily = m.ads_realtime_overview(m.dws_shop_daily_gmv(days, b.PAID))
+    names = []
+    for name in filters.PERIODS:
+        first, last = filters.period_range(name, PERIOD_DAY)
+        names.append(F.when(F.col("stat_date").cast("date").between(first, last), F.lit(name)))
+    rows = daily.withColumn("period", F.explode(F.array_compact(F.array(*names))))
+    sums = [F.sum("gmv").alias("gmv"), F.sum("order_cnt").alias("order_cnt")]
+    return rows.groupBy("period").agg(*sums, F.min("stat_date").alias("first_day"), F.max("stat_date").alias("last_day"))
+
+
 @query("trend_sorted", ("overview",), "SELECT stat_date, CAST(gmv AS DOUBLE) AS gmv FROM overview ORDER BY stat_date")
 def trend_sorted(t):
     return overview(t).select("stat_date", "gmv").orderBy("stat_date")
@@ -247,6 +273,9 @@ WORDINGS = (
     "买家的人均单数和人均金额",
     "各门店订单数与折扣",
     "how are GMV and UV today",
+    "上月卖了多少钱，平均每单多少钱",
+    "本周多少人买，到手金额呢",
+    "昨天的出货量和客群规模",
 )
 
 

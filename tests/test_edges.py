@@ -284,6 +284,21 @@ def test_rank_within_keeps_null_apart_from_empty(spark, rows):
     assert got == [(1, 2), (2, 2), (3, 1), (4, 1), (5, 1), (6, 2)]
 
 
+@pytest.mark.parametrize(
+    ("name", "as_of", "first", "last"),
+    [
+        ("今天", "2026-03-01", "2026-03-01", "2026-03-01"), ("昨天", "2026-03-01", "2026-02-28", "2026-02-28"),
+        ("本周", "2026-03-01", "2026-02-23", "2026-03-01"), ("上周", "2026-03-01", "2026-02-16", "2026-02-22"),
+        ("本周", "2026-03-02", "2026-03-02", "2026-03-02"), ("本月", "2026-03-31", "2026-03-01", "2026-03-31"),
+        ("上月", "2026-03-31", "2026-02-01", "2026-02-28"), ("上月", "2026-01-15", "2025-12-01", "2025-12-31"),
+    ],
+)
+def test_named_periods(spark, name, as_of, first, last):
+    days = spark.sql("SELECT explode(sequence(DATE '2025-11-01', DATE '2026-04-30')) AS day").select(F.col("day").cast("string").alias("stat_date"))
+    got = filters.filter_period(days, name, as_of).agg(F.min("stat_date"), F.max("stat_date")).first()
+    assert tuple(got) == (first, last)
+
+
 def test_top_gives_what_is_asked(spark):
     assert ranking.top(spark.range(3000), 1000, F.asc("id")).count() == 1000
     assert ranking.top(spark.range(300), None, F.asc("id")).count() == 300
