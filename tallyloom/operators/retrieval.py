@@ -42,8 +42,9 @@ def hybrid_topk(
     return scored.orderBy(F.desc("score"), "chunk_id").limit(k).where(F.col("score") >= threshold)
 
 
-def concat_context(hits: DataFrame) -> DataFrame:
-    """The texts of one question's chunks, best first, each followed by a blank line.  ``hits`` has at most k rows."""
+def concat_context(hits: DataFrame, k: int = TOP_K) -> DataFrame:
+    """The texts of one question's best ``k`` chunks, best first, each followed by a blank line."""
+    hits = hits.orderBy(F.desc("score"), "chunk_id").limit(k)
     ranked = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "chunk_id", "text")))
     parts = F.transform(ranked, lambda hit: F.concat(hit["text"], F.lit("\r\n\r\n")))
     return hits.agg(F.array_join(parts, "").alias("context"))
