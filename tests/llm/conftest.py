@@ -1,13 +1,7 @@
 """Small tables with the odd rows that every operator must take."""
 
 import pytest
-
-WORDS = "the of and to in that is was for on as with it by be at from or an are this".split()
-
-
-def sentence(seed: int, n: int) -> str:
-    return " ".join(f"{WORDS[(seed * 7 + i * i * 3 + i) % len(WORDS)]}{(seed * 31 + i * 17) % 97}" for i in range(n))
-
+from llm_samples import sentence
 
 @pytest.fixture(scope="session")
 def odd_docs(spark):

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from conftest import sentence
+from llm_samples import sentence
 from tallyloom.llm import decontam, maxent, mixing, pii, search, sharding, simhash, substrings, toxicity, urllists
 from tallyloom.llm.components import components
 
