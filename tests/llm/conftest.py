@@ -3,6 +3,7 @@
 import pytest
 from llm_samples import sentence
 
+
 @pytest.fixture(scope="session")
 def odd_docs(spark):
     """NULLs in any column, empty and long texts, ties, repeated rows, and columns whose names clash."""
