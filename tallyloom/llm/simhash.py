@@ -137,6 +137,8 @@ def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
     for turn in range(ROUNDS + 1):
         placed = stored(_joined(large, components(found)), "placed")
         outside = stored(_outside(placed), "outside")
+        if outside.isEmpty():
+            break
         if turn < ROUNDS:  # some of them first; the last turn takes all
             order = Window.partitionBy("_key").orderBy(F.xxhash64("hub", F.lit(turn)))
             outside = outside.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= HUBS).drop("_n")
