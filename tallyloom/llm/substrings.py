@@ -111,9 +111,9 @@ def _find_windows(span: int):
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for doc, text, seeds in zip(frame["id"], frame["text"], frame["seeds"], strict=True):
+            for doc, text, *seeds in zip(*(frame[c] for c in ("id", "text", "place", "gram", "context")), strict=True):
                 hashes = word_hashes(text.encode().split())
-                place, grams, context = (np.array([s[c] for s in seeds], np.int64) for c in ("place", "gram", "context"))
+                place, grams, context = (np.asarray(s, np.int64) for s in seeds)
                 at, n = _at(place), place & ((1 << COUNT_BITS) - 1)
                 bit = np.concatenate([np.arange(x) for x in n])
                 start = np.repeat(at, n) + bit
@@ -125,24 +125,22 @@ def _find_windows(span: int):
     return run
 
 
-def cut(text: str, places: list[int], masks: list[int], span: int) -> tuple[int, int, list[tuple[int, int]], str]:
+def cut(text: str, places: np.ndarray, masks: np.ndarray, span: int) -> tuple[int, int, list[tuple[int, int]], str]:
     """Words, removed words, maximal repeats and kept text, given the anchors' places and their marked windows."""
-    starts = [_at(p) for p in places]
     words = text.encode().split()
-    if not len(starts):
+    if not len(places):
         return len(words), 0, [], b" ".join(words).decode()
-    edge = np.zeros(len(words) + 1, np.int64)
-    for start, mask in zip(starts, masks, strict=True):
-        while mask:
-            bit = mask.bit_length() - 1
-            edge[start + bit] += 1
-            edge[start + bit + span] -= 1
-            mask ^= 1 << bit
-    removed = np.cumsum(edge[:-1]) > 0
+    row, bit = np.nonzero((np.asarray(masks, np.int64)[:, None] >> np.arange(1 << COUNT_BITS)[None, : span + 1]) & 1)
+    starts = _at(np.asarray(places, np.int64))[row] + bit
+    edge = np.bincount(starts, minlength=len(words) + 1) - np.bincount(starts + span, minlength=len(words) + 1)
+    removed = np.cumsum(edge[: len(words)]) > 0
     steps = np.diff(np.concatenate(([0], removed.astype(np.int8), [0])))
     repeats = list(zip(np.flatnonzero(steps == 1).tolist(), np.flatnonzero(steps == -1).tolist(), strict=True))
-    kept = b" ".join(w for w, gone in zip(words, removed.tolist(), strict=True) if not gone)
-    return len(words), int(removed.sum()), repeats, kept.decode()
+    kept, at = [], 0
+    for start, stop in repeats:
+        kept += words[at:start]
+        at = stop
+    return len(words), int(removed.sum()), repeats, b" ".join(kept + words[at:]).decode()
 
 
 def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -173,7 +171,8 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: st
     def own(listed: str):
         return F.filter(listed, lambda s: F.shiftrightunsigned(s["place"], TAG_SHIFT) == F.col("tag"))
 
-    read = spread.join(extended, "id").select("id", "text", own("seeds").alias("seeds")).where("size(seeds) > 0")
+    read = spread.join(extended, "id").select("id", "text", own("seeds").alias("s")).where("size(s) > 0")
+    read = read.select("id", "text", "s.place", "s.gram", "s.context")
     windows = read.mapInPandas(_find_windows(span), _WINDOWS)
     earliest = windows.groupBy("one", "two").agg(F.min(F.struct("id", "place")).alias("first"))
     late = windows.join(earliest, ["one", "two"]).where(F.struct("id", "place") != F.col("first"))
@@ -189,7 +188,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: st
     @F.pandas_udf(_RESULT)
     def result(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         for texts, places, masks in batches:
-            rows = [cut(t, list(map(int, p)), list(map(int, m)), span) for t, p, m in zip(texts, places, masks, strict=True)]
+            rows = [cut(t, p, m, span) for t, p, m in zip(texts, places, masks, strict=True)]
             yield pd.DataFrame(rows, columns=["n_words", "n_removed", "repeats", "kept"])
 
     none = F.array().cast("array<struct<place:long,marks:long>>")
