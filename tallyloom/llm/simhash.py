@@ -17,7 +17,7 @@ no link between components is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -169,6 +169,46 @@ def near_duplicates(
     return printed.join(classes, printed["_print"] == classes["p"]).drop("p")
 
 
+def shared_keys(listed: DataFrame) -> DataFrame:
+    """``(_key, node, n)`` of the keys that ``n`` > 1 nodes share, stored; of keys with the same nodes one stays."""
+    prints = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"_x{i}") for i in range(2)]
+    sizes = listed.groupBy("_key").agg(F.count(F.lit(1)).alias("n"), *prints).where("n > 1")
+    kept = sizes.groupBy("n", "_x0", "_x1").agg(F.min("_key").alias("_key"))
+    return stored(listed.join(kept.select("_key", "n"), "_key"), "keyed")
+
+
+def verified_links(keyed: DataFrame, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links ``(a, b)`` that connect whatever pairs with a common key ``alike`` keeps.
+
+    A pair counts as connected by verified links only, so at the end each pair of a key
+    is verified, refuted, or inside one component.
+    """
+
+    def hubs(rows: DataFrame, *order: Column) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy("_key").orderBy(*order))
+        return rows.withColumn("_n", place).where(F.col("_n") <= HUBS).drop("_n")
+
+    first = hubs(keyed.select("_key", F.col("node").alias("hub")), F.col("hub"))
+    pairs = keyed.join(first, "_key").where("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    tested = stored(pairs.distinct(), "pairs")
+    found = stored(alike(tested), "links")
+    large = keyed.where(F.col("n") > HUBS + 1).select("_key", F.col("node").alias("p"))  # smaller keys have all their pairs
+    if large.isEmpty():
+        return found
+    for turn in range(ROUNDS + 1):
+        placed = stored(_joined(large, components(found)), "placed")
+        outside = stored(_outside(placed), "outside")
+        if outside.isEmpty():
+            break
+        if turn < ROUNDS:  # some of them first; the last turn takes all
+            outside = hubs(outside, F.xxhash64("hub", F.lit(turn)))
+        pairs = placed.join(outside, "_key").where("c != _c").select(F.least("p", "hub").alias("a"), F.greatest("p", "hub").alias("b"))
+        pairs = stored(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = found.unionByName(stored(alike(pairs), "links"))
+        tested = tested.unionByName(pairs)
+    return found
+
+
 NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
 NEAR_BITS = 5  # of the fingerprints of the different words, which edits move least
 CHECK_BITS = 16  # of those of the shingles; 14 held 99 of 100 pairs of similarity 0.8 or more
@@ -211,23 +251,21 @@ def one_of_each(
     printed = stored(docs.withColumn("_b", both(whole(text))).select(*(F.col(f"`{c}`") for c in names), "_b.p", "_b.s").withColumn("_node", F.xxhash64("p", "s")), "printed")
     rank = F.coalesce(F.col(key).cast("long"), F.lit(2**63 - 1))
     nodes = stored(printed.groupBy("_node", "p", "s").agg(F.min(rank).alias("_id")), "nodes")
-    heads = nodes.groupBy("p").agg(F.min("_node").alias("_head"))
-    inner = nodes.join(heads, "p").where("_node != _head").select(F.col("_head").alias("a"), F.col("_node").alias("b"))
-    found = links(heads.select("p"), bits)
-    head_of = heads.select(F.col("p").alias("_p"), "_head")
-    across = found.join(head_of, F.col("a") == F.col("_p")).select(F.col("_head").alias("x"), "b")
-    across = across.join(head_of, F.col("b") == F.col("_p")).select(F.col("x").alias("a"), F.col("_head").alias("b"))
-    prints = nodes.select(F.col("_node"), "s")
-    close = inner.unionByName(across).join(prints.toDF("a", "_sa"), "a").join(prints.toDF("b", "_sb"), "b")
-    close = stored(close.where(F.bit_count(F.col("_sa").bitwiseXOR(F.col("_sb"))) <= CHECK_BITS).select("a", "b"), "close")
+    keyed = shared_keys(variants(nodes.select("p").distinct(), bits).join(nodes.select("p", "_node"), "p").select("_key", F.col("_node").alias("node")))
 
-    ends = close.select(F.col("a").alias("_node")).unionByName(close.select(F.col("b").alias("_node"))).distinct()
+    ends = keyed.select(F.col("node").alias("_node")).distinct()
     seen = printed.select("_node", rank.alias("_id"), whole(text).alias("_t")).join(nodes.select("_node", "_id"), ["_node", "_id"]).join(ends, "_node")
     shingles = stored(seen.dropDuplicates(["_node"]).select("_node", sets("_t").alias("_w")), "shingles")
-    pairs = close.join(shingles.toDF("a", "_wa"), "a").join(shingles.toDF("b", "_wb"), "b")
-    both_have = F.size(F.array_intersect("_wa", "_wb"))
-    alike = pairs.where(both_have >= similarity * (F.size("_wa") + F.size("_wb") - both_have)).select("a", "b")
-    classes = components(alike)
+    prints = nodes.select(F.col("_node"), "s")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        close = pairs.join(prints.toDF("a", "_sa"), "a").join(prints.toDF("b", "_sb"), "b")
+        close = close.where(F.bit_count(F.col("_sa").bitwiseXOR(F.col("_sb"))) <= CHECK_BITS).select("a", "b")
+        sided = close.join(shingles.toDF("a", "_wa"), "a").join(shingles.toDF("b", "_wb"), "b")
+        both_have = F.size(F.array_intersect("_wa", "_wb"))
+        return sided.where(both_have >= similarity * (F.size("_wa") + F.size("_wb") - both_have)).select("a", "b")
+
+    classes = components(verified_links(keyed, alike))
     placed = nodes.join(classes, nodes["_node"] == classes["node"], "left").select("_node", "_id", F.coalesce("root", "_node").alias("_root"))
     firsts = placed.groupBy("_root").agg(F.min(F.struct("_id", "_node")).alias("f")).select("f.*")
     kept = printed.withColumn("_id", rank).join(stored(firsts, "firsts"), ["_node", "_id"])

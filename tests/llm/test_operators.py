@@ -281,6 +281,31 @@ def test_one_of_each(spark, odd_docs, no_docs):
     assert simhash.one_of_each(no_docs).count() == 0
 
 
+def brute_kept(texts, shingle=5, similarity=0.8):
+    """The places of the texts that stay: the first of each group that links of Jaccard ``similarity`` connect."""
+    split = [t.lower().split() for t in texts]
+    sets = [{tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} for w in split]
+    classes = brute_classes(range(len(texts)), lambda a, b: (n := len(sets[a] & sets[b])) >= similarity * (len(sets[a]) + len(sets[b]) - n))
+    return sorted(set(classes.values()))
+
+
+def kept_places(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return sorted(r["doc_id"] for r in simhash.one_of_each(docs).select("doc_id").collect())
+
+
+def test_one_of_each_in_a_crowd(spark):
+    rng, texts = np.random.default_rng(11), []
+    for group in range(4):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+        for _ in range(60):
+            copy = list(base)
+            for at in rng.integers(0, 300, 3 + group % 2):
+                copy[at] = f"e{rng.integers(10**6)}"
+            texts.append(" ".join(copy))
+    assert kept_places(spark, texts) == brute_kept(texts)
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 90), (90, 100), (5, 5), (None, 3)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(links).collect()}
