@@ -210,8 +210,37 @@ def verified_links(keyed: DataFrame, alike: Callable[[DataFrame], DataFrame]) ->
 
 
 NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
-NEAR_BITS = 5  # of the fingerprints of the different words, which edits move least
-CHECK_BITS = 16  # of those of the shingles; 14 held 99 of 100 pairs of similarity 0.8 or more
+BANDS, DEPTH = 40, 4  # keys of a set, and minima in each: a pair of similarity 0.8 shares none once in 10**9
+SKETCH = 1024  # bits of the parities that bound a difference of sets from below
+_MULTIPLIERS = np.random.default_rng(SEED).integers(1 << 63, size=(BANDS * DEPTH, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingle_set(text: str, shingle: int) -> np.ndarray:
+    """The different shingles of one text as sorted 32-bit hashes."""
+    words = text.encode().lower().split()
+    parts = [np.array(h, np.uint64).astype(np.uint32) for h in shingle_hashes(words, shingle)] if words else []
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint32)
+
+
+def band_keys(own: np.ndarray) -> list[int]:
+    """A key of each band: its number and the minima of its hash functions over a set that is not empty."""
+    x = own.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(32)
+    least = np.full((BANDS * DEPTH, 1), np.uint64(2**64 - 1))
+    for at in range(0, len(x), 2000):
+        least = np.minimum(least, (x[at : at + 2000] * _MULTIPLIERS).min(axis=1, keepdims=True))
+    least = np.ascontiguousarray(least.reshape(BANDS, DEPTH))
+    return [xxhash.xxh64_intdigest(row.tobytes(), band) - (1 << 63) for band, row in enumerate(least)]
+
+
+def parities(own: np.ndarray) -> list[int]:
+    """Whether the set has an odd number of hashes in each of ``SKETCH`` classes, as 64-bit numbers.
+
+    Two sets differ in at least as many hashes as their parities in bits.
+    """
+    bits = np.bincount(own % SKETCH, minlength=SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(">i8").tolist()
 
 
 def one_of_each(
@@ -220,47 +249,48 @@ def one_of_each(
     key: str = "doc_id",
     shingle: int = NEAR_SHINGLE,
     similarity: float = NEAR_SIMILARITY,
-    bits: int = NEAR_BITS,
 ) -> DataFrame:
     """``docs`` with one row of each group of near copies: the one with the smallest key (NULL is largest).
 
-    Candidates are texts whose fingerprints of different words are within ``bits``; a link
-    stands if their sets of ``shingle``-word shingles have a Jaccard ``similarity`` or more.
+    A link stands if two sets of ``shingle``-word shingles have a Jaccard ``similarity`` or
+    more.  Candidates are sets that share a key of minima; sizes and parities then rule
+    out only pairs that cannot be as similar.
     Texts without words are one group.  Of repeated rows one stays.
     """
     names = docs.columns
 
-    @F.pandas_udf("p long, s long")
-    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("_node long, _size int, _keys array<long>, _odd array<long>")
+    def described(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = []
             for t in texts:
-                words = t.encode().lower().split()
-                rows.append((majority([[xxhash.xxh64_intdigest(w, SEED) for w in set(words)]]), majority(shingle_hashes(words, shingle))) if words else (0, 0))
-            yield pd.DataFrame(rows, columns=["p", "s"])
+                own = shingle_set(t, shingle)
+                node = xxhash.xxh64_intdigest(own.tobytes(), SEED) - (1 << 63)
+                rows.append((node, len(own), band_keys(own) if len(own) else [], parities(own)))
+            yield pd.DataFrame(rows, columns=["_node", "_size", "_keys", "_odd"])
 
     @F.pandas_udf("array<int>")
     def sets(texts: pd.Series) -> pd.Series:
-        def one(t: str) -> np.ndarray:
-            words = t.encode().lower().split()
-            parts = [np.array(h, np.uint64).astype(np.uint32).view(np.int32) for h in shingle_hashes(words, shingle)] if words else []
-            return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int32)
-
-        return texts.map(one)
+        return texts.map(lambda t: shingle_set(t, shingle).view(np.int32))
 
-    printed = stored(docs.withColumn("_b", both(whole(text))).select(*(F.col(f"`{c}`") for c in names), "_b.p", "_b.s").withColumn("_node", F.xxhash64("p", "s")), "printed")
+    printed = stored(docs.withColumn("_b", described(whole(text))).select(*(F.col(f"`{c}`") for c in names), "_b.*"), "printed")
     rank = F.coalesce(F.col(key).cast("long"), F.lit(2**63 - 1))
-    nodes = stored(printed.groupBy("_node", "p", "s").agg(F.min(rank).alias("_id")), "nodes")
-    keyed = shared_keys(variants(nodes.select("p").distinct(), bits).join(nodes.select("p", "_node"), "p").select("_key", F.col("_node").alias("node")))
+    nodes = stored(printed.groupBy("_node").agg(F.min(rank).alias("_id"), *(F.first(c).alias(c) for c in ("_size", "_keys", "_odd"))), "nodes")
+    keyed = shared_keys(nodes.select(F.explode("_keys").alias("_key"), F.col("_node").alias("node")))
 
     ends = keyed.select(F.col("node").alias("_node")).distinct()
     seen = printed.select("_node", rank.alias("_id"), whole(text).alias("_t")).join(nodes.select("_node", "_id"), ["_node", "_id"]).join(ends, "_node")
     shingles = stored(seen.dropDuplicates(["_node"]).select("_node", sets("_t").alias("_w")), "shingles")
-    prints = nodes.select(F.col("_node"), "s")
+    sketches = stored(nodes.join(ends, "_node").select("_node", "_size", "_odd"), "sketches")
 
     def alike(pairs: DataFrame) -> DataFrame:
-        close = pairs.join(prints.toDF("a", "_sa"), "a").join(prints.toDF("b", "_sb"), "b")
-        close = close.where(F.bit_count(F.col("_sa").bitwiseXOR(F.col("_sb"))) <= CHECK_BITS).select("a", "b")
+        close = pairs.join(sketches.toDF("a", "_na", "_oa"), "a").join(sketches.toDF("b", "_nb", "_ob"), "b")
+        apart = F.lit(0)
+        for i in range(SKETCH // 64):
+            apart = apart + F.bit_count(F.col("_oa")[i].bitwiseXOR(F.col("_ob")[i]))
+        # Of n shingles in both sets together, similar ones differ in n * (1 - s) / (1 + s) at most.
+        most = (F.col("_na") + F.col("_nb")) * (1 - similarity) / (1 + similarity) + 1e-6
+        close = close.where((apart <= most) & (F.abs(F.col("_na") - F.col("_nb")) <= most)).select("a", "b")
         sided = close.join(shingles.toDF("a", "_wa"), "a").join(shingles.toDF("b", "_wb"), "b")
         both_have = F.size(F.array_intersect("_wa", "_wb"))
         return sided.where(both_have >= similarity * (F.size("_wa") + F.size("_wb") - both_have)).select("a", "b")

@@ -306,6 +306,15 @@ def test_one_of_each_in_a_crowd(spark):
     assert kept_places(spark, texts) == brute_kept(texts)
 
 
+def test_one_of_each_after_block_edits(spark):
+    rng, texts = np.random.default_rng(12), []
+    for _ in range(40):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+        foreign = [f"f{x}" for x in rng.integers(0, 5000, 36)]
+        texts += [" ".join(w) for w in (base, base[:255], base + foreign, base[:230], base[:150] + foreign[:12] + base[150:])]
+    assert kept_places(spark, texts) == brute_kept(texts)
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 90), (90, 100), (5, 5), (None, 3)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(links).collect()}
