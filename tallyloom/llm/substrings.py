@@ -13,7 +13,7 @@ one anchor form a *context*: the words from the first to the last of them.
    first one of the same words.
 3. The marked windows of a document run together to maximal repeats.
 
-The texts cross the network once, by document, and serve steps 2 and 3.  An anchor's
+The texts cross the network once, by document (a hash of key and text), and serve steps 2 and 3.  An anchor's
 place is one number: a tag of the text, its first window and how many windows it has.
 """
 
@@ -37,8 +37,8 @@ GRAM_BITS = (1 << 48) - 1
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers of the rolling hashes
 _FACTORS = np.array([pow(0x9FB21C651E98DF25, j + 1, 1 << 64) for j in range(64)], dtype=np.uint64)
 COUNT_BITS, TAG_SHIFT = 6, 47  # of a place: windows of the anchor below, tag of the text above
-_ANCHORS = "id long, place long, gram long, context long"
-_WINDOWS = "one long, two long, id long, place long, gram long, context long, bit int"
+_ANCHORS = "id long, doc long, place long, gram long, context long"
+_WINDOWS = "one long, two long, id long, doc long, place long, gram long, context long, bit int"
 _RESULT = "n_words long, n_removed long, repeats array<struct<start:long,stop:long>>, kept string"
 
 
@@ -93,6 +93,7 @@ def _find_anchors(span: int, gram: int):
                 yield pd.DataFrame(
                     {
                         "id": np.repeat(part["id"].to_numpy(), sizes),
+                        "doc": np.repeat(part["doc"].to_numpy(), sizes),
                         "place": (tags << TAG_SHIFT) | (at << COUNT_BITS) | n,
                         "gram": grams.view(np.int64),
                         "context": context.view(np.int64),
@@ -111,7 +112,7 @@ def _find_windows(span: int):
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for doc, text, *seeds in zip(*(frame[c] for c in ("id", "text", "place", "gram", "context")), strict=True):
+            for key, doc, text, *seeds in zip(*(frame[c] for c in ("id", "doc", "text", "place", "gram", "context")), strict=True):
                 hashes = word_hashes(text.encode().split())
                 place, grams, context = (np.asarray(s, np.int64) for s in seeds)
                 at, n = _at(place), place & ((1 << COUNT_BITS) - 1)
@@ -119,7 +120,7 @@ def _find_windows(span: int):
                 start = np.repeat(at, n) + bit
                 one, two = (run_hashes(hashes, start, start + span, base).view(np.int64) for base in _BASES)
                 tag = np.repeat(place >> TAG_SHIFT, n)
-                columns = {"one": one, "two": two, "id": doc, "place": (tag << TAG_SHIFT) | (start << COUNT_BITS)}
+                columns = {"one": one, "two": two, "id": key, "doc": doc, "place": (tag << TAG_SHIFT) | (start << COUNT_BITS)}
                 yield pd.DataFrame(columns | {"gram": np.repeat(grams, n), "context": np.repeat(context, n), "bit": bit.astype(np.int32)})
 
     return run
@@ -149,41 +150,39 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: st
     A text is its words between ASCII white space; NULL has none, and texts shorter than
     ``span`` words have no window.  Documents are ordered by ``key``, NULL first.  Rows
     that repeat key and text are one document and get the same answer; rows with one key
-    and different texts are versions of one document, ordered by a checksum of the text.
+    and different texts are versions of one document, each for itself, ordered by a checksum of the text.
     No row is dropped and other columns are not read.
     """
     if span - gram + 1 >= 1 << COUNT_BITS:
         raise ValueError("at most 62 grams in a window")
     least = -(2**63)
     keyed = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(least)).alias("id"), whole(text).alias("text"))
-    keyed = keyed.select("id", "text", F.crc32("text").bitwiseAND(0xFFFF).alias("tag"))
+    # One number a document: of its key and text.  The checksum only orders the versions of a key.
+    keyed = keyed.select("id", "text", F.crc32("text").bitwiseAND(0xFFFF).alias("tag"), F.xxhash64("id", "text").alias("doc"))
     found = keyed.mapInPandas(_find_anchors(span, gram), _ANCHORS)
     repeated = stored(found.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("gram"), "grams")
     seeds = stored(found.join(repeated, "gram"), "seeds")
 
-    groups = seeds.groupBy("gram", "context").agg(F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("times"))
+    # A document's windows are ordered by key, by checksum of the text, by document and by place.
+    order = ("id", F.shiftrightunsigned("place", TAG_SHIFT).alias("tag"), "doc", "place")
+    groups = seeds.groupBy("gram", "context").agg(F.min(F.struct(*order)).alias("first"), F.count(F.lit(1)).alias("times"))
     groups = stored(groups.select("gram", "context", "first.*", "times"), "groups")
     # Grams with several contexts: extend one occurrence of each to its windows.
     several = groups.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1").select("gram")
-    extended = groups.join(several, "gram").groupBy("id").agg(F.collect_list(F.struct("place", "gram", "context")).alias("seeds"))
-    spread = keyed.repartition("id")
-
-    def own(listed: str):
-        return F.filter(listed, lambda s: F.shiftrightunsigned(s["place"], TAG_SHIFT) == F.col("tag"))
-
-    read = spread.join(extended, "id").select("id", "text", own("seeds").alias("s")).where("size(s) > 0")
-    read = read.select("id", "text", "s.place", "s.gram", "s.context")
+    extended = groups.join(several, "gram").groupBy("doc").agg(F.collect_list(F.struct("place", "gram", "context")).alias("s"))
+    spread = keyed.repartition("doc")
+    read = spread.join(extended, "doc").select("id", "doc", "text", "s.place", "s.gram", "s.context")
     windows = read.mapInPandas(_find_windows(span), _WINDOWS)
-    earliest = windows.groupBy("one", "two").agg(F.min(F.struct("id", "place")).alias("first"))
-    late = windows.join(earliest, ["one", "two"]).where(F.struct("id", "place") != F.col("first"))
+    earliest = windows.groupBy("one", "two").agg(F.min(F.struct(*order)).alias("first"))
+    late = windows.join(earliest, ["one", "two"]).where(F.struct(*order) != F.col("first"))
     late = late.groupBy("gram", "context").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
 
     info = groups.join(late, ["gram", "context"], "left").where("times > 1 OR mask IS NOT NULL")
-    info = info.select("gram", "context", F.col("id").alias("_id"), F.col("place").alias("_place"), F.coalesce("mask", F.lit(0).cast("long")).alias("mask"))
-    is_first = (F.col("id") == F.col("_id")) & (F.col("place") == F.col("_place"))
+    info = info.select("gram", "context", F.col("doc").alias("_doc"), F.col("place").alias("_place"), F.coalesce("mask", F.lit(0).cast("long")).alias("mask"))
+    is_first = (F.col("doc") == F.col("_doc")) & (F.col("place") == F.col("_place"))
     every = F.expr(f"shiftleft(1L, CAST(place & {(1 << COUNT_BITS) - 1} AS INT))") - 1
-    marked = seeds.join(info, ["gram", "context"]).select("id", "place", F.when(is_first, F.col("mask")).otherwise(every).alias("marks"))
-    marked = marked.where("marks != 0").groupBy("id").agg(F.collect_list(F.struct("place", "marks")).alias("marked"))
+    marked = seeds.join(info, ["gram", "context"]).select("doc", "place", F.when(is_first, F.col("mask")).otherwise(every).alias("marks"))
+    marked = marked.where("marks != 0").groupBy("doc").agg(F.collect_set(F.struct("place", "marks")).alias("marked"))
 
     @F.pandas_udf(_RESULT)
     def result(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
@@ -192,7 +191,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: st
             yield pd.DataFrame(rows, columns=["n_words", "n_removed", "repeats", "kept"])
 
     none = F.array().cast("array<struct<place:long,marks:long>>")
-    joined = spread.join(marked, "id", "left").withColumn("_own", F.filter(F.coalesce("marked", none), lambda s: F.shiftrightunsigned(s["place"], TAG_SHIFT) == F.col("tag")))
+    joined = spread.join(marked, "doc", "left").withColumn("_own", F.coalesce("marked", none))
     cutting = joined.select(F.nullif("id", F.lit(least)).alias(key), result("text", F.col("_own.place"), F.col("_own.marks")).alias("_r"))
     return cutting.select(key, "_r.*")
 
