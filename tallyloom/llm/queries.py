@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyloom.llm import decontam, maxent, mixing, pii, search, sharding, simhash, substrings, toxicity, urllists
+from tallyloom.llm import alignment, decontam, maxent, merkle, mixing, pii, search, sharding, simhash, substrings, toxicity, urllists, warc
 from tallyloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,6 +111,42 @@ def op10(table):
     return judged.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+@query("op11_merkle_manifest", merkle.SQL)
+def op11(table):
+    """All documents with their place in the manifest, and whether a copy, some of them tampered with, still leads to its root."""
+    docs = table("documents").select(*merkle.COLUMNS)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    copy = merkle.leaf(*(tampered if c == "text" else F.col(c) for c in merkle.COLUMNS))
+    found = merkle.manifest(docs.withColumn("copy", copy), carry=["doc_id", "copy"])
+    led = found.withColumn("folded_root", merkle.folded(F.col("path"), F.col("copy")))
+    return led.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query("op12_tokenizer_alignment")
+def op12(table):
+    """All documents with the alignment of two tokenizers."""
+    docs = table("documents").select("doc_id", "text")
+    found = alignment.align(docs, carry=["doc_id"], show=lambda groups: F.sha2(groups, 256))
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+@query("op13_warc_histories", warc.SQL)
+def op13(table):
+    """All pages written to archives, read back and merged into one index."""
+    pages = table("pages")
+    folder = warc.archive(pages)
+    found = warc.histories(warc.records(pages.sparkSession, folder))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "whole", "url_key", "place")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, one after the other, over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
