@@ -124,8 +124,8 @@ def _digests(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, _WIDTH)
 
 
-def _levels(leaves_of_tree: int) -> int:
-    return min(BLOCK, height(leaves_of_tree))
+def _levels(leaves_of_tree: int, block: int) -> int:
+    return min(block, height(leaves_of_tree))
 
 
 def placed(items: DataFrame, order: list[str]) -> DataFrame:
@@ -142,16 +142,12 @@ def placed(items: DataFrame, order: list[str]) -> DataFrame:
     return numbered.withColumn("place", F.col("before") + F.col("inside") - 1).drop("range", "before", "inside")
 
 
-def _with_block(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("block", F.floor(F.col("place") / FANOUT**BLOCK).cast("long"))
-
-
-def _build(rows: DataFrame) -> DataFrame:
+def _build(rows: DataFrame, block: int) -> DataFrame:
     """The blocks of one tier: ``(tree, block, n, nodes, top)``; ``n`` counts the tier's nodes of the tree, ``top`` is the block's root."""
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by("place")
-        nodes = grown(_digests(group["digest"]), _levels(group["n"][0].as_py()))
+        nodes = grown(_digests(group["digest"]), _levels(group["n"][0].as_py(), block))
         row = {c: [group[c][0].as_py()] for c in ("tree", "block", "n")}
         return pa.table(row | {"nodes": pa.array([nodes.tobytes()], pa.binary()), "top": pa.array([nodes[0].tobytes()], pa.binary())})
 
@@ -159,37 +155,37 @@ def _build(rows: DataFrame) -> DataFrame:
     return narrow.groupBy("tree", "block").applyInArrow(run, "tree string, block long, n long, nodes binary, top binary")
 
 
-def forest(rows: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+def forest(rows: DataFrame, block: int) -> list[tuple[DataFrame, DataFrame]]:
     """The tiers of all trees over placed ``rows`` (``tree, place, n, digest``), leaves first, as (rows, blocks)."""
-    tiers = []
+    tiers, wide = [], FANOUT**block
     while True:
-        rows = _with_block(rows)
-        blocks = stored(_build(rows), "blocks")
+        rows = rows.withColumn("block", F.floor(F.col("place") / wide).cast("long"))
+        blocks = stored(_build(rows, block), "blocks")
         tiers.append((rows, blocks))
-        rows = blocks.where(F.col("n") > FANOUT**BLOCK).select(
-            "tree", F.col("block").alias("place"), F.ceil(F.col("n") / FANOUT**BLOCK).cast("long").alias("n"), F.col("top").alias("digest")
+        rows = blocks.where(F.col("n") > wide).select(
+            "tree", F.col("block").alias("place"), F.ceil(F.col("n") / wide).cast("long").alias("n"), F.col("top").alias("digest")
         )
         if rows.isEmpty():
             return tiers
 
 
-def roots(tiers: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+def roots(tiers: list[tuple[DataFrame, DataFrame]], block: int) -> DataFrame:
     """``(tree, digest)`` of every tree."""
-    last = [blocks.where(F.col("n") <= FANOUT**BLOCK).select("tree", F.col("top").alias("digest")) for _, blocks in tiers]
+    last = [blocks.where(F.col("n") <= FANOUT**block).select("tree", F.col("top").alias("digest")) for _, blocks in tiers]
     out = last[0]
     for more in last[1:]:
         out = out.unionByName(more)
     return out
 
 
-def _retrieve(rows: DataFrame, blocks: DataFrame, constant: Sequence[str]) -> DataFrame:
+def _retrieve(rows: DataFrame, blocks: DataFrame, constant: Sequence[str], height_of_block: int) -> DataFrame:
     """``rows`` with their ``path``, the siblings within the block before those ``above`` it, and the block's ``constant`` columns."""
     rows_columns, keys = rows.columns, ("tree", "block")
     schema = T.StructType([*rows.schema, *(blocks.schema[c] for c in constant), T.StructField("path", T.ArrayType(T.StructType.fromDDL("left string, right string")))])
 
     def run(leaves: pa.Table, block: pa.Table) -> pa.Table:
         leaves = leaves.sort_by("place").select(rows_columns)
-        n, levels = len(leaves), _levels(block["n"][0].as_py())
+        n, levels = len(leaves), _levels(block["n"][0].as_py(), height_of_block)
         nodes = np.frombuffer(block["nodes"][0].as_py(), np.uint8).reshape(-1, _WIDTH)
         left, right, taken = siblings(nodes, n, levels)
         above = block["above"][0].as_py()
@@ -206,14 +202,14 @@ def _retrieve(rows: DataFrame, blocks: DataFrame, constant: Sequence[str]) -> Da
     return rows.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInArrow(run, schema)
 
 
-def paths(tiers: list[tuple[DataFrame, DataFrame]], above: DataFrame, constant: Sequence[str]) -> DataFrame:
+def paths(tiers: list[tuple[DataFrame, DataFrame]], above: DataFrame, constant: Sequence[str], block: int) -> DataFrame:
     """The leaf rows with their ``path`` to the root and on along what lies ``above`` their tree (``tree, above`` and ``constant``)."""
     upper = None
     for rows, blocks in reversed(tiers):
-        known = blocks.where(F.col("n") <= FANOUT**BLOCK).join(above, "tree")
+        known = blocks.where(F.col("n") <= FANOUT**block).join(above, "tree")
         if upper is not None:
             known = known.unionByName(blocks.join(upper, ["tree", "block"]))
-        found = _retrieve(rows, known.select("tree", "block", "n", "nodes", "above", *constant), constant)
+        found = _retrieve(rows, known.select("tree", "block", "n", "nodes", "above", *constant), constant, block)
         upper = found.select("tree", F.col("place").alias("block"), F.col("path").alias("above"), *constant)
     return found
 
@@ -224,6 +220,7 @@ def manifest(
     tree: str = "source",
     key: str = "doc_id",
     carry: Sequence[str] | None = None,
+    block: int = BLOCK,
 ) -> DataFrame:
     """The rows' ``carry`` columns (by default ``key``) with ``leaf``, ``subroot``, ``root`` and ``path``.
 
@@ -232,7 +229,7 @@ def manifest(
     root over the subroots in bytewise order.  ``path`` lists from leaf to root the
     digests ``left`` and ``right`` of a node in its run; ``folded`` applies them.  Leaves go
     by ``key``, NULL first, then by digest; rows alike in both hold neighbouring places in
-    no order that matters.  No rows make no tree.  A carried column named like an output is
+    no order that matters.  ``block`` is the height of the stored blocks, which changes no result.  No rows make no tree.  A carried column named like an output is
     replaced.
     """
     carried = [c for c in carry or [key] if c not in OUTPUTS]
@@ -247,15 +244,15 @@ def manifest(
     )
     # Stored before it is ranged, so that ``at`` is settled and tells repeated rows apart.
     leaves = stored(placed(stored(rows, "rows"), ["key", "digest", "at"]).select("tree", "place", "n", "digest", "own"), "placed")
-    tiers = forest(leaves)
-    subroots = roots(tiers).withColumnRenamed("tree", "name")
+    tiers = forest(leaves, block)
+    subroots = roots(tiers, block).withColumnRenamed("tree", "name")
     top = stored(placed(subroots.withColumn("tree", F.lit("")), ["name"]), "subroots")
-    crown = forest(top)
-    root = roots(crown).select("tree", F.hex("digest").alias("root"), F.array().cast(f"array<{_STEP}>").alias("above"))
-    above = paths(crown, root, ["root"]).select(
+    crown = forest(top, block)
+    root = roots(crown, block).select("tree", F.hex("digest").alias("root"), F.array().cast(f"array<{_STEP}>").alias("above"))
+    above = paths(crown, root, ["root"], block).select(
         F.col("name").alias("tree"), F.col("path").alias("above"), "root", F.hex("digest").alias("subroot")
     )
-    found = paths(tiers, stored(above, "above"), ["subroot", "root"])
+    found = paths(tiers, stored(above, "above"), ["subroot", "root"], block)
     return found.select(
         *(F.col(f"own.`{c}`") for c in carried), F.lower(F.hex("digest")).alias("leaf"), F.lower("subroot").alias("subroot"), F.lower("root").alias("root"), "path"
     )
