@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 from hashlib import sha1
 from pathlib import Path
 from typing import NamedTuple
@@ -35,7 +36,7 @@ from tallyloom.session import work_path
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 PLACED = 2**17  # frequent pairs sent to every task
-AT_ONCE = 1 << 20  # letters of text, or tokens, that a task works on at once
+AT_ONCE = 1 << 18  # bytes of text, or ids of one side, that a task works on at once
 OUTPUTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
 
 # Fixed values of byte-level BPE: the expression that cuts a text into words.
@@ -69,8 +70,6 @@ def byte_bpe(content: bytes) -> Side:
     times faster and gives the same ids; texts with letters beyond ``SETTLED`` or very long blanks keep to the file's own library.
     """
     told = json.loads(content)
-    library = Tokenizer.from_str(content.decode())
-    library.encode_special_tokens = True
     letters = _byte_letters()
     vocabulary = told["model"]["vocab"]
     special = {t["content"]: t["id"] for t in told.get("added_tokens", ())}
@@ -78,20 +77,26 @@ def byte_bpe(content: bytes) -> Side:
     for token, i in vocabulary.items():
         bytes_of[i] = token.encode() if special.get(token) == i else bytes(letters[c] for c in token)
 
-    def own(texts: list[str]) -> list[Sequence[int]]:
-        return [e.ids for e in library.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    @lru_cache(maxsize=1)
+    def library() -> Tokenizer:
+        own = Tokenizer.from_str(content.decode())
+        own.encode_special_tokens = True
+        return own
+
+    def by_library(texts: list[str]) -> list[Sequence[int]]:
+        return [e.ids for e in library().encode_batch([" " + t for t in texts], add_special_tokens=False)]
 
     merges = [m.split(" ") if isinstance(m, str) else m for m in told["model"]["merges"]]
     made = [vocabulary["".join(m)] for m in merges]
     splitter = told.get("pre_tokenizer") or {}
-    in_order = made == sorted(made) and len(made) == len(set(made)) and all(i < made[0] for t, i in vocabulary.items() if len(t) == 1)
-    if not (in_order and splitter.get("type") == "ByteLevel" and splitter.get("use_regex", True) and not splitter.get("add_prefix_space") and told.get("normalizer") is None):
-        return Side(own, bytes_of)
+    plain = splitter.get("type") == "ByteLevel" and splitter.get("use_regex", True) and not splitter.get("add_prefix_space") and told.get("normalizer") is None
+    if not plain or made != sorted(set(made)) or any(i > made[0] for t, i in vocabulary.items() if len(t) == 1):
+        return Side(by_library, bytes_of)
     ranks = {bytes_of[i]: i for t, i in vocabulary.items() if special.get(t) != i}
     quick = tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
     def encode(texts: list[str]) -> list[Sequence[int]]:
-        return [quick.encode_ordinary(" " + t) if SETTLED.fullmatch(t) and not LONG_BLANK.search(t) else own([t])[0] for t in texts]
+        return [quick.encode_ordinary(" " + t) if SETTLED.fullmatch(t) and not LONG_BLANK.search(t) else by_library([t])[0] for t in texts]
 
     return Side(encode, bytes_of)
 
@@ -104,34 +109,36 @@ def piece_bpe(content: bytes) -> Side:
     return Side(lambda texts: model.encode(texts, num_threads=1), bytes_of)
 
 
+_LOADED: dict[bytes, tuple[Side, Side]] = {}  # a worker reads the same two files for every batch
+
+
+def sides(a_file: bytes, b_file: bytes) -> tuple[Side, Side]:
+    """The sides of a byte-level BPE file and a piece model."""
+    key = sha1(a_file).digest() + sha1(b_file).digest()
+    if key not in _LOADED:
+        _LOADED[key] = byte_bpe(a_file), piece_bpe(b_file)
+    return _LOADED[key]
+
+
 class Pair(NamedTuple):
-    """Both sides as numbers, the identity array, and what each id is written as inside and at the end of a group."""
+    """Both vocabularies as numbers: the bytes of each id, and per A id the B id with its bytes (-1 without one)."""
 
-    a: Side
-    b: Side
     a_bytes: np.ndarray
     b_bytes: np.ndarray
-    same: np.ndarray  # per A id the B id with its bytes, -1 without one
-    a_text: np.ndarray
-    b_text: np.ndarray
+    same: np.ndarray
 
 
-_LOADED: dict[bytes, Pair] = {}  # a worker reads the same two files for every batch
+def numbers(a: Side, b: Side) -> Pair:
+    of_bytes = {own: i for i, own in enumerate(b.bytes_of)}  # of equal ones the last: a piece comes after the byte it equals
+    same = [of_bytes.get(own, -1) if own else -1 for own in a.bytes_of]
+    sizes = [np.array([len(own) for own in side.bytes_of], np.int64) for side in (a, b)]
+    return Pair(*sizes, np.array(same, np.int64))
 
 
-def load(a_file: bytes, b_file: bytes) -> Pair:
-    """The pair of a byte-level BPE file and a piece model."""
-    key = sha1(a_file).digest() + sha1(b_file).digest()
-    if key not in _LOADED:
-        a, b = byte_bpe(a_file), piece_bpe(b_file)
-        of_bytes = {own: i for i, own in enumerate(b.bytes_of)}  # of equal ones the last: a piece comes after the byte it equals
-        same = [of_bytes.get(own, -1) if own else -1 for own in a.bytes_of]
-        sizes = [np.array([len(own) for own in side.bytes_of], np.int64) for side in (a, b)]
-        texts = [
-            np.array([[f"{i},", f"{i}{end}"] for i in range(len(side.bytes_of))], object) for side, end in ((a, "|"), (b, ";"))
-        ]
-        _LOADED[key] = Pair(a, b, *sizes, np.array(same, np.int64), *texts)
-    return _LOADED[key]
+@lru_cache(maxsize=4)
+def _id_texts(n: int, end: str) -> np.ndarray:
+    """What each id is written as inside and at the end of its part of a group."""
+    return np.array([[f"{i},", f"{i}{end}"] for i in range(n)], object)
 
 
 # Links of many texts at once
@@ -175,8 +182,8 @@ def written(pair: Pair, found: Links, a: np.ndarray, b: np.ndarray, sizes: np.nd
     words = np.empty(len(a) + len(b), object)
     last_a = (found.group_ends[in_a] == found.a_ends).astype(np.int64) if len(a) else in_a
     last_b = (found.group_ends[in_b] == found.b_ends).astype(np.int64) if len(b) else in_b
-    words[np.arange(len(a)) + b_before[in_a]] = pair.a_text[a, last_a]
-    words[np.arange(len(b)) + (a_until[in_b] if len(b) else 0)] = pair.b_text[b, last_b]
+    words[np.arange(len(a)) + b_before[in_a]] = _id_texts(len(pair.a_bytes), "|")[a, last_a]
+    words[np.arange(len(b)) + (a_until[in_b] if len(b) else 0)] = _id_texts(len(pair.b_bytes), ";")[b, last_b]
     flat, stops = words.tolist(), np.cumsum(sizes).tolist()
     return ["".join(flat[stop - n : stop])[:-1] for stop, n in zip(stops, sizes.tolist(), strict=True)]
 
@@ -207,15 +214,15 @@ def _ids(lists: list[Sequence[int]]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(starts), pa.array(flat))
 
 
-def _encoded(pair: Pair, texts: list[str | None]) -> tuple[list[Sequence[int]], list[Sequence[int]]]:
+def _encoded(both: tuple[Side, Side], texts: list[str | None]) -> tuple[list[Sequence[int]], list[Sequence[int]]]:
     """The ids of both sides; none where a side's bytes are not those of a space and the text."""
     plain = [t or "" for t in texts]
-    sides = pair.a.encode(plain), pair.b.encode(plain)
+    ids = [side.encode(plain) for side in both]
     for i, text in enumerate(plain):
         want = (" " + text).encode()
-        if not text or any(b"".join([side.bytes_of[x] for x in ids[i]]) != want for side, ids in zip(pair[:2], sides, strict=True)):
-            sides[0][i] = sides[1][i] = ()
-    return sides
+        if not text or any(b"".join([side.bytes_of[x] for x in own[i]]) != want for side, own in zip(both, ids, strict=True)):
+            ids[0][i] = ids[1][i] = ()
+    return ids
 
 
 def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,12 +249,12 @@ def encoded(docs: DataFrame, a: str = BYTE_BPE, b: str = PIECE_BPE, text: str =
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = load(*files.value)
+        both = sides(*files.value)
         for batch in batches:
             weights = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
             for start, stop in _slices(weights):
                 part = batch.slice(start, stop - start)
-                a_ids, b_ids = _encoded(pair, part.column("text").to_pylist())
+                a_ids, b_ids = _encoded(both, part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column("at"), part.column("own"), _ids(a_ids), _ids(b_ids)], ["at", "own", "a_ids", "b_ids"])
 
     ids = T.ArrayType(T.IntegerType())
@@ -257,13 +264,12 @@ def encoded(docs: DataFrame, a: str = BYTE_BPE, b: str = PIECE_BPE, text: str =
     return spark.read.schema(schema).parquet(path)
 
 
-def pair_counts(ids: DataFrame, a: str = BYTE_BPE, b: str = PIECE_BPE) -> DataFrame:
+def pair_counts(ids: DataFrame, pair: Pair) -> DataFrame:
     """``(a, b, n, same, best)``: how many links hold each pair of ids, whether their bytes are equal, and whether no A id has more with this B id."""
-    spark = ids.sparkSession
-    files = spark.sparkContext.broadcast((Path(a).read_bytes(), Path(b).read_bytes()))
+    sent = ids.sparkSession.sparkContext.broadcast(pair)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = load(*files.value)
+        pair = sent.value
         plain = np.zeros(len(pair.same), np.int64)
 
         def rows(a_ids: np.ndarray, b_ids: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -310,16 +316,16 @@ def align(
     spark = docs.sparkSession
     ids = encoded(docs, a, b, text, carry)
     path = work_path(spark, "pairs")
-    pair_counts(ids, a, b).write.parquet(path)
+    pair = numbers(*sides(Path(a).read_bytes(), Path(b).read_bytes()))
+    pair_counts(ids, pair).write.parquet(path)
     pairs = spark.read.parquet(path)
     # At most one entry per id of A, and at most ``at_most`` pairs.
     equal = _sent(pairs.where("same").select("a", "n", "best"))
     frequent = pairs.where("NOT same").orderBy(F.desc("n"), "a", "b").limit(at_most).select("a", "b", "n", "best")
-    sent = spark.sparkContext.broadcast((Path(a).read_bytes(), Path(b).read_bytes(), equal, _sent(frequent)))
+    sent = spark.sparkContext.broadcast((pair, equal, _sent(frequent)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_file, b_file, (same_a, same_n, same_best), (odd_a, odd_b, odd_n, odd_best) = sent.value
-        pair = load(a_file, b_file)
+        pair, (same_a, same_n, same_best), (odd_a, odd_b, odd_n, odd_best) = sent.value
         wide = len(pair.b_bytes)
         count, best = np.zeros(len(pair.same), np.int64), np.zeros(len(pair.same), bool)
         count[same_a], best[same_a] = same_n, same_best
