@@ -10,21 +10,34 @@ from tallyloom.plans import marketplace as m
 from tallyloom.registry import sources as raw
 from tallyloom.registry.base import query
 from tallyloom.registry.sql import cents, clock, rounded
-from tallyloom.session import work_path
+from tallyloom.session import stored, work_path
 from tallyloom.sources import cdc, events
 from tallyloom.sources.tables import stream_table
-from tallyloom.streaming import revising
+from tallyloom.streaming import revising, windows
 from tallyloom.streaming.keyed_log import KeyedLog, apply_change_log
+from tallyloom.streaming.lookup import LookupJoin
 from tallyloom.streaming.run import drain, each_batch, to_files
 
 BATCHES = 4
 
 
-def arriving(t, df, by: str, label: str):
-    """``df`` landed as files in the order of ``by``, and the stream that reads them one at a time."""
+def arriving(t, df, by, label: str):
+    """``df`` landed in the order of ``by``, a number or time, and the stream that reads it in ``BATCHES`` micro-batches.
+
+    Slices of about equal size are landed one after the other, each in as many files as Spark writes; the
+    stream takes files by the time they were landed.
+    """
+    place = F.col(by) if isinstance(by, str) else by
+    rows = stored(df.withColumn("_by", place.cast("double")), f"{label}-rows")
+    cuts = sorted(set(rows.approxQuantile("_by", [i / BATCHES for i in range(1, BATCHES)], 0.01)))
     path = work_path(t.spark, label)
-    df.repartitionByRange(BATCHES, by).write.parquet(path)
-    return stream_table(t.spark, path, df.schema, files_per_batch=1)
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        above = F.lit(True) if low is None else F.col("_by") > low
+        below = F.lit(True) if high is None else F.col("_by") <= high
+        unplaced = F.col("_by").isNull() & F.lit(low is None)
+        rows.where((above & below) | unplaced).drop("_by").write.mode("append").parquet(path)
+    files = len(t.spark.read.schema(df.schema).parquet(path).inputFiles())
+    return stream_table(t.spark, path, df.schema, files_per_batch=max(1, -(-files // BATCHES)))
 
 
 @query(
@@ -78,6 +91,80 @@ def watermark(t):
     return t.spark.read.schema(stream.schema).parquet(path)
 
 
+@query(
+    "stream_window_counts",
+    (),
+    """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+              strftime(date_trunc('hour', ts) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end, event_type,
+              count(*) AS n_events, count(value) AS n_values, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+       FROM events GROUP BY ALL""",
+)
+def windowed(t):
+    """Hourly totals per kind of event.
+
+    The events of the first three days come a second time at the end of the stream.  The
+    watermark has passed their hours by then, so they change nothing.
+    """
+    events_in = t.events.select("event_id", "event_type", F.col("value").cast("decimal(18,2)").alias("value"), F.col("ts").cast("timestamp").alias("event_time"))
+    first = events_in.agg(F.min("event_time")).first()[0]
+    late = events_in.where(F.col("event_time") < F.lit(first) + F.expr("INTERVAL 3 DAYS"))
+    shift = F.expr("INTERVAL 1000 DAYS")
+    rows = events_in.withColumn("arrival", F.col("event_time")).unionByName(late.withColumn("arrival", F.col("event_time") + shift))
+    stream = events.with_event_watermark(arriving(t, rows, "arrival", "events"))
+    totals = windows.window_totals(
+        stream, "1 hour", ["event_type"], {"n_events": F.count(F.lit(1)), "n_values": F.count("value"), "total_value": F.sum("value")}
+    )
+    table = windows.window_table(work_path(t.spark, "windows"), totals, ["event_type"]).open_empty(t.spark)
+    drain(windows.keep_totals(totals, table), work_path(t.spark, "checkpoint"))
+    return table.current(t.spark)
+
+
+@query(
+    "stream_lookup_join",
+    (),
+    """SELECT event_id, user_id, event_type,
+              CASE WHEN event_id % 2 = 1 AND user_id % 3 = 0 THEN 'moved-' || c_mktsegment ELSE c_mktsegment END AS segment
+       FROM events LEFT JOIN customer ON c_custkey = user_id AND (event_id % 2 = 0 OR user_id % 5 <> 1)""",
+)
+def looked_up(t):
+    """Events with their user's segment as of the batch they come in.
+
+    Events of even ids come first.  Then every third user moves to another segment and every fifth is withdrawn,
+    and the other events come.
+    """
+    facts = t.events.select("event_id", "user_id", "event_type")
+    users = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
+    dim = KeyedLog(work_path(t.spark, "users"), users.schema, ["user_id"], [], by_arrival=True).open(users)
+    join = LookupJoin(dim, "user_id", ["segment"], work_path(t.spark, "facts"))
+    landing, checkpoint = work_path(t.spark, "landing"), work_path(t.spark, "checkpoint")
+
+    def arrive(rest: int):
+        facts.where(F.pmod("event_id", F.lit(2)) == rest).write.mode("append").parquet(landing)
+        drain(each_batch(stream_table(t.spark, landing, facts.schema), join.process), checkpoint)
+
+    arrive(0)
+    moved = F.when(F.col("user_id") % 5 == 1, F.lit(None)).when(F.col("user_id") % 3 == 0, F.concat(F.lit("moved-"), "segment")).otherwise(F.col("segment"))
+    dim.append(users.where("user_id % 3 = 0 OR user_id % 5 = 1").withColumn("segment", moved), 0)
+    arrive(1)
+    return join.result(t.spark, facts.schema)
+
+
+@query(
+    "stream_dedup_events",
+    (),
+    """SELECT event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time FROM events""",
+)
+def events_once(t):
+    """Every event is delivered three times within the declared delay; one row of each is kept, in bounded state."""
+    sent = t.events.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("event_time"))
+    sent = sent.withColumn("_again", F.explode(F.array(F.lit(0), F.lit(2), F.lit(4))))
+    sent = sent.withColumn("arrival", F.col("event_time") + F.make_dt_interval(secs=F.col("_again"))).drop("_again")
+    stream = events.drop_repeats(events.with_event_watermark(arriving(t, sent, "arrival", "events")), ["event_id"]).drop("arrival")
+    path = work_path(t.spark, "once")
+    drain(to_files(stream, path), work_path(t.spark, "checkpoint"))
+    return t.spark.read.schema(stream.schema).parquet(path)
+
+
 @query(
     "stream_explode",
     ("parcel_lines",),
@@ -146,7 +233,7 @@ REVISED = """(SELECT * REPLACE (CASE WHEN order_status = 'F' THEN CAST((o_orderk
 
 
 def revise(t, summary, rows, keys, order_by, by):
-    table = KeyedLog(work_path(t.spark, "rows"), rows.schema, keys, order_by).open_empty(t.spark)
+    table = KeyedLog(work_path(t.spark, "rows"), rows.schema, keys, order_by, part=summary.part(revising.YEAR)).open_empty(t.spark)
     kept = revising.RevisingSummary(summary, table, work_path(t.spark, summary.table.name), b.PAID)
     drain(each_batch(arriving(t, rows, by, "versions"), kept.process), work_path(t.spark, "checkpoint"))
     return kept.result(t.spark)
@@ -190,6 +277,11 @@ def revised_lines(t):
 LINE_KEYS = ["order_id", "order_item_id"]
 
 
+def line_arrival():
+    """First versions before second ones, and the lines of a version spread over its part of the stream."""
+    return F.col("version") + F.pmod(F.xxhash64(*LINE_KEYS), F.lit(1000)) / 1000
+
+
 @query(
     "stream_upsert_spu",
     ("lines",),
@@ -200,7 +292,7 @@ LINE_KEYS = ["order_id", "order_item_id"]
        FROM lines WHERE pay_status = 'PAID' AND item_pay_amount <= 40000 GROUP BY spu_id, strftime(create_time, '%Y-%m-%d')""",
 )
 def spus_kept(t):
-    return revise(t, revising.SPU, revised_lines(t), LINE_KEYS, ["version"], "version")
+    return revise(t, revising.SPU, revised_lines(t), LINE_KEYS, ["version"], line_arrival())
 
 
 @query(
@@ -214,4 +306,4 @@ def spus_kept(t):
        GROUP BY company_category_id, strftime(create_time, '%Y-%m-%d')""",
 )
 def categories_kept(t):
-    return revise(t, revising.CATEGORY, revised_lines(t), LINE_KEYS, ["version"], "version")
+    return revise(t, revising.CATEGORY, revised_lines(t), LINE_KEYS, ["version"], line_arrival())

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # What a Python worker gets at a time, however long the texts are.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16777216",
 }
 
 
@@ -58,6 +60,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within one file system; ``target`` must not exist."""
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]
+    system = paths[1].getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(paths[1].getParent())
+    if not system.rename(*paths):
+        raise RuntimeError(f"could not rename {source} to {target}")
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the entries of a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [status.getPath().getName() for status in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A new path of its own under the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

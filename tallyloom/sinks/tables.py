@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tallyloom.contracts import Table, apply_contract
+from tallyloom.session import exists, move
 
 
 def layout(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -41,6 +43,22 @@ def replace_table(df: DataFrame, path: str, table: Table) -> None:
     writer.parquet(path)
 
 
+def write_once(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Write the folder ``path`` so that readers see it whole or not at all; one that is there already stays as it is.
+
+    The rows go to a hidden folder beside it, which one rename puts in place.  A
+    replay therefore leaves no gap: it finds the folder complete, or nothing.
+    """
+    spark = df.sparkSession
+    if exists(spark, path):
+        return
+    parent, _ = path.rstrip("/").rsplit("/", 1)
+    attempt = f"{parent}/_attempt-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(attempt)
+    move(spark, attempt, path)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table with the declared types; partition values keep theirs instead of being guessed."""
     return spark.read.schema(schema).parquet(path)

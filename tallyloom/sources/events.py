@@ -76,6 +76,15 @@ def with_event_watermark(df: DataFrame, column: str = "event_time", delay: str =
     return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
 
 
+def drop_repeats(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row of those that repeat ``keys`` within the watermark's delay; the state holds a key that long and no longer.
+
+    ``events`` is a stream with a watermark.  A repeat that comes later than the delay is
+    a new row, unless it is late for the watermark itself.
+    """
+    return events.dropDuplicatesWithinWatermark(list(keys))
+
+
 def order_event_amounts(events: DataFrame, scale: int = 1) -> DataFrame:
     """Whole-number amounts of ``order_events`` as decimals; ``scale`` is 100 when they are cents."""
     amounts = ("order_amount", "pay_amount", "post_amount")

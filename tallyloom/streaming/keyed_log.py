@@ -1,9 +1,12 @@
 """A keyed table fed by micro-batches.
 
-Each micro-batch is written to a folder named after its id, one row per key, and a
-replayed batch replaces its own folder, so writing is exactly once.  Writing never
-rewrites older data; reading keeps the last row of each key.  ``fold`` merges the
-batches so far into a new table, which keeps reads short over time.
+Each micro-batch is written to a folder named after its id, one row per key.  The folder
+appears whole, by a rename, and a replayed batch finds it there, so writing is exactly
+once and a reader never misses a batch.  Writing never rewrites older data; reading keeps
+the last row of each key.  ``fold`` merges the batches so far into a new table, which keeps reads short over time.
+
+Batches may be partitioned, by day or by month.  A batch then looks for the rows it replaces
+among the files of its own partitions only, however long the history has become.
 
 Batch ids count anew for every query (a query with a new checkpoint is another one), so a
 table belongs to the query that first wrote to it; another one is refused and goes on
@@ -13,13 +16,24 @@ from a ``fold`` instead.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.operators.keyed import latest_per_key
-from tallyloom.session import exists
+from tallyloom.session import exists, folders
+from tallyloom.sinks.tables import layout, write_once
+
+PART = "_part"
+NO_PART = "__HIVE_DEFAULT_PARTITION__"
+
+
+def of_parts(parts: Sequence[str | None]) -> Column:
+    """Whether a row is in one of ``parts``, as a condition that picks folders."""
+    known = F.col(PART).isin(*[p for p in parts if p is not None])
+    return known | F.col(PART).isNull() if None in parts else known
 
 
 class KeyedLog:
@@ -30,10 +44,15 @@ class KeyedLog:
         keys: Sequence[str],
         order_by: Sequence[str],
         by_arrival: bool = False,
+        part: str | None = None,
     ):
-        """``order_by`` goes from old to new; leave it empty when a batch holds one row per key.  ``by_arrival`` lets a later batch win whatever its order says."""
+        """``order_by`` goes from old to new; leave it empty when a batch holds one row per key.
+
+        ``by_arrival`` lets a later batch win whatever its order says.  ``part`` is the
+        text that batches are partitioned by; all rows of a key must have the same.
+        """
         self.path, self.keys, self.by_arrival = path.rstrip("/"), list(keys), by_arrival
-        self.schema, self.order_by = schema, list(order_by)
+        self.schema, self.order_by, self.part = schema, list(order_by), part
 
     def open(self, rows: DataFrame) -> "KeyedLog":
         """Begin with the rows the table holds already; they count as older than any batch."""
@@ -65,19 +84,38 @@ class KeyedLog:
         return ["batch", *self.order_by] if self.by_arrival else [*self.order_by, "batch"]
 
     def _write(self, rows: DataFrame, batch_id: int) -> None:
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        rows = rows.select(*self.schema.names)
+        if self.part:
+            rows = layout(rows.withColumn(PART, F.expr(self.part)), [PART])
+        write_once(rows, f"{self.path}/batch={batch_id}", [PART] if self.part else [])
+
+    def _read(self, spark: SparkSession, path: str, *more: T.StructField) -> DataFrame:
+        part = [T.StructField(PART, T.StringType())] if self.part else []
+        return spark.read.schema(T.StructType([*self.schema, *part, *more])).parquet(path)
 
     def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        return spark.read.schema(self.schema).parquet(f"{self.path}/batch={batch_id}")
+        return self._read(spark, f"{self.path}/batch={batch_id}")
+
+    def last_batch(self, spark: SparkSession) -> int:
+        """The id of the newest batch; -1 is the table's beginning."""
+        return max(int(name.removeprefix("batch=")) for name in folders(spark, self.path) if name.startswith("batch="))
+
+    def parts(self, spark: SparkSession, batch_id: int) -> list[str | None]:
+        """The partitions of a batch, from the names of its folders."""
+        names = folders(spark, f"{self.path}/batch={batch_id}")
+        found = [name.removeprefix(f"{PART}=") for name in names if name.startswith(f"{PART}=")]
+        return [None if part == NO_PART else unquote(part) for part in found]
 
-    def history(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """All rows of all batches with their ``batch``; only the folders before ``before`` are read."""
-        rows = spark.read.schema(T.StructType([*self.schema, T.StructField("batch", T.LongType())])).parquet(self.path)
-        return rows if before is None else rows.where(F.col("batch") < before)
+    def history(self, spark: SparkSession, before: int | None = None, parts: Sequence[str | None] | None = None) -> DataFrame:
+        """All rows of all batches with their ``batch``; only the folders before ``before`` and of ``parts`` are read."""
+        rows = self._read(spark, self.path, T.StructField("batch", T.LongType()))
+        if before is not None:
+            rows = rows.where(F.col("batch") < before)
+        return rows if parts is None or not self.part else rows.where(of_parts(parts)).drop(PART)
 
     def current(self, spark: SparkSession, before: int | None = None, of_keys: DataFrame | None = None) -> DataFrame:
         """The last row of each key, or of the keys in ``of_keys``, which are picked before anything is ranked."""
-        rows = self.history(spark, before)
+        rows = self.history(spark, before).drop(PART)
         if of_keys is not None:
             rows = rows.join(of_keys.select(*self.keys), self.keys, "left_semi")
         return latest_per_key(rows, self.keys, self._order()).drop("batch").select(*self.schema.names)
@@ -85,10 +123,12 @@ class KeyedLog:
     def replaced(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """What a batch changes: the rows now current with ``sign`` 1, those current before it with -1.
 
-        One pass over the history of the batch's keys.  A key has at most one row per
-        batch there, so ranking it stays small.
+        One pass over the history of the batch's keys, in the files of the batch's
+        partitions where it has any.  A key has at most one row per batch there, so ranking it
+        stays small.
         """
-        rows = self.history(spark, batch_id + 1).join(self.batch(spark, batch_id).select(*self.keys), self.keys, "left_semi")
+        parts = self.parts(spark, batch_id) if self.part else None
+        rows = self.history(spark, batch_id + 1, parts).join(self.batch(spark, batch_id).select(*self.keys), self.keys, "left_semi")
         newest = [F.desc_nulls_last(c) for c in self._order()]
         is_new = F.col("batch") == batch_id
         now = F.row_number().over(Window.partitionBy(*self.keys).orderBy(*newest))
@@ -104,7 +144,7 @@ class KeyedLog:
 
     def fold(self, spark: SparkSession, path: str) -> "KeyedLog":
         """A new log at ``path`` that starts from the current rows of this one."""
-        return KeyedLog(path, self.schema, self.keys, self.order_by, self.by_arrival).open(self.current(spark))
+        return KeyedLog(path, self.schema, self.keys, self.order_by, self.by_arrival, self.part).open(self.current(spark))
 
 
 def apply_change_log(log: KeyedLog, spark: SparkSession) -> DataFrame:

@@ -6,8 +6,10 @@ distinct counts.  A hot shop therefore costs what its changes cost, not its whol
 history.  Distinct counts stay exact because a buyer leaves a group when the count
 of their live rows there reaches zero.
 
-All state is in written tables keyed by the batch id.  A replayed batch reads only
-older batches and replaces its own output, so the result is exactly once.
+All state is in written tables keyed by the batch id and, below it, by day, month or year.  A batch
+reads the files of the days it touches, so its cost does not grow with the history.  A replayed
+batch reads only older batches and finds its own output in place, so the result is
+exactly once.
 """
 
 from __future__ import annotations
@@ -22,7 +24,11 @@ from pyspark.sql import types as T
 from tallyloom.contracts import MARKETPLACE, Table, apply_contract
 from tallyloom.functions.scalars import ratio
 from tallyloom.operators.filters import filter_paid
-from tallyloom.streaming.keyed_log import KeyedLog
+from tallyloom.sinks.tables import layout, write_once
+from tallyloom.streaming.keyed_log import PART, KeyedLog, of_parts
+
+DATE = "stat_date"
+DAY, MONTH, YEAR = 10, 7, 4  # leading signs of a date
 
 
 @dataclass(frozen=True)
@@ -38,6 +44,10 @@ class Summary:
     ratios: Mapping[str, tuple[str, str]] = field(default_factory=dict)
     copies: Mapping[str, str] = field(default_factory=dict)
 
+    def part(self, span: int) -> str:
+        """The expression that partitions its rows by ``DAY``, ``MONTH`` or ``YEAR``; take the shortest that holds some megabytes a batch."""
+        return f"left({self.stat_date}, {span})"
+
     @property
     def grain(self) -> list[str]:
         seen = [*self.table.keys, *self.names, *self.distinct.values()]
@@ -89,6 +99,10 @@ class RevisingSummary:
     """One summary fed by micro-batches of versions of keyed rows."""
 
     def __init__(self, summary: Summary, rows: KeyedLog, path: str, paid: tuple[str, ...]):
+        spans = {summary.part(span): span for span in (DAY, MONTH, YEAR)}
+        if rows.part and rows.part not in spans:
+            raise ValueError(f"rows are partitioned by {rows.part}, which is no part of the summary's date")
+        self.span = spans.get(rows.part)
         self.summary, self.rows, self.paid = summary, rows, paid
         self.path = path.rstrip("/")
         self.published = KeyedLog(
@@ -106,7 +120,7 @@ class RevisingSummary:
             self.published.open_empty(spark)
         self.rows.append(batch, batch_id)
         changes = self._amounts(self.rows.replaced(spark, batch_id))
-        self._net(changes).write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch_id}")
+        self._record(self._net(changes), self.path, batch_id)
         self._publish(spark, batch_id)
 
     def result(self, spark: SparkSession) -> DataFrame:
@@ -116,14 +130,28 @@ class RevisingSummary:
     def fold(self, spark: SparkSession, path: str) -> "RevisingSummary":
         """The same summary at a new path, its batches so far merged into one; the stream goes on with it."""
         folded = RevisingSummary(self.summary, self.rows.fold(spark, f"{path}/rows"), path, self.paid)
-        net = self._net(spark.read.parquet(f"{self.path}/changes").drop("batch")).where("_rows <> 0")
-        net.write.parquet(f"{folded.path}/changes/batch=-1")
+        net = self._net(self._changes(spark).drop("batch", PART)).where("_rows <> 0")
+        self._record(net, folded.path, -1)
         folded.published.open(self.published.current(spark).where("live"))
         return folded
 
+    def _record(self, net: DataFrame, path: str, batch_id: int) -> None:
+        folder = f"{path}/changes/batch={batch_id}"
+        if self.rows.part:
+            write_once(layout(net.withColumn(PART, F.left(DATE, F.lit(self.span))), [PART]), folder, [PART])
+        else:
+            write_once(net, folder)
+
+    def _changes(self, spark: SparkSession) -> DataFrame:
+        """All recorded differences with their ``batch``."""
+        none = spark.createDataFrame([], T.StructType([*self.rows.schema, T.StructField("sign", T.LongType())]))
+        schema = self._net(self._amounts(none)).schema
+        part = [T.StructField(PART, T.StringType())] if self.rows.part else []
+        return spark.read.schema(T.StructType([*schema, *part, T.StructField("batch", T.LongType())])).parquet(f"{self.path}/changes")
+
     def _amounts(self, rows: DataFrame) -> DataFrame:
         """Rows reduced to the grain and signed amounts; each amount comes with its count of values."""
-        dated = filter_paid(rows, self.paid).withColumn("stat_date", F.expr(self.summary.stat_date))
+        dated = filter_paid(rows, self.paid).withColumn(DATE, F.expr(self.summary.stat_date))
         columns: list[Column | str] = [*self.summary.grain, F.col("sign").alias("_rows")]
         for name, expression in self.summary.sums.items():
             value = F.expr(expression)
@@ -142,8 +170,10 @@ class RevisingSummary:
     def _publish(self, spark: SparkSession, batch_id: int) -> None:
         """Work out the groups this batch touched and publish them; a group without rows is withdrawn."""
         keys = list(self.summary.table.keys)
-        changes = spark.read.parquet(f"{self.path}/changes").where(F.col("batch") <= batch_id)
-        touched = spark.read.parquet(f"{self.path}/changes/batch={batch_id}").select(*keys).distinct()
+        changes = self._changes(spark).where(F.col("batch") <= batch_id)
+        if self.rows.part:
+            changes = changes.where(of_parts(self.rows.parts(spark, batch_id)))
+        touched = changes.where(F.col("batch") == batch_id).select(*keys).distinct()
         matched = changes.join(touched, keys, "left_semi")
         groups = self._finish(self._net(matched).where("_rows > 0"))
         rows = touched.join(groups.withColumn("live", F.lit(True)), keys, "left").fillna({"live": False})

@@ -26,8 +26,9 @@ def drain(writer: DataStreamWriter, checkpoint: str, timeout: int | None = None)
             query.stop()
 
 
-def each_batch(df: DataFrame, work: Callable[[DataFrame, int], None]) -> DataStreamWriter:
-    return df.writeStream.foreachBatch(work)
+def each_batch(df: DataFrame, work: Callable[[DataFrame, int], None], mode: str = "append") -> DataStreamWriter:
+    """``mode`` is ``update`` for a grouped stream: a batch then holds the groups that changed."""
+    return df.writeStream.outputMode(mode).foreachBatch(work)
 
 
 def to_files(df: DataFrame, path: str) -> DataStreamWriter:

@@ -494,14 +494,16 @@ def version(order, shop, buyer, amount, freight, status, at):
     return (order, shop, f"name {shop}", "2024-01-01", buyer, D(amount), D(1), freight, 1, status, at)
 
 
-def test_revised_groups_equal_the_batch(spark, rows):
+@pytest.mark.parametrize("span", [None, revising.DAY])
+def test_revised_groups_equal_the_batch(spark, rows, span):
     batches = [
         [version("1", "s", "b1", 10, D(2), "PAID", 1), version("2", "s", "b1", 20, None, "PAID", 1), version("3", "t", "b2", 5, None, "PAID", 1)],
         [version("1", "t", "b1", 11, D(3), "PAID", 2), version("3", "t", "b2", 5, None, "UNPAID", 2)],
         [version("1", "s", "b1", 99, D(3), "PAID", 1), version("2", "s", "b1", 20, None, "UNPAID", 3)],
     ]
     schema = T.StructType.fromDDL(VERSIONS)
-    log = KeyedLog(work_path(spark, "rows"), schema, ["order_id"], ["proc_time"]).open_empty(spark)
+    part = span and revising.SHOP.part(span)
+    log = KeyedLog(work_path(spark, "rows"), schema, ["order_id"], ["proc_time"], part=part).open_empty(spark)
     kept = revising.RevisingSummary(revising.SHOP, log, work_path(spark, "shop"), ("PAID",))
     for number, batch in enumerate(batches):
         df = spark.createDataFrame(batch, schema)
