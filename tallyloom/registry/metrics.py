@@ -299,37 +299,41 @@ def normalized(t):
 
 
 HITS = """
-WITH question AS (SELECT list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS qw,
-                         (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 0) AS qv
-                  FROM benchmark WHERE item_id = 0),
-     parts AS (SELECT doc_id AS chunk_id, text,
-                      round(coalesce(list_cosine_similarity(CAST(embedding AS DOUBLE[]), qv), 0), 6) AS vector_score,
-                      round(len(list_intersect(list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')), qw)) / len(qw), 6) AS keyword_score
-               FROM documents LEFT JOIN embeddings ON vec_id = doc_id, question),
-     hits AS (SELECT chunk_id, text, vector_score, keyword_score, round(vector_score * 0.7 + keyword_score * 0.3, 6) AS score
-              FROM parts WHERE round(vector_score * 0.7 + keyword_score * 0.3, 6) >= 0.3
-              ORDER BY score DESC, chunk_id LIMIT 5)
+WITH q AS (SELECT item_id AS question_id, list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS qw, CAST(embedding AS DOUBLE[]) AS qv
+           FROM benchmark LEFT JOIN embeddings ON vec_id = item_id),
+     c AS (SELECT doc_id AS chunk_id, list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS cw, CAST(embedding AS DOUBLE[]) AS cv
+           FROM documents LEFT JOIN embeddings ON vec_id = doc_id),
+     parts AS (SELECT question_id, chunk_id, round(coalesce(list_cosine_similarity(cv, qv), 0), 6) AS vector_score,
+                      round(len(list_intersect(cw, qw)) / greatest(len(qw), 1), 6) AS keyword_score FROM q, c),
+     scored AS (SELECT *, round(vector_score * 0.7 + keyword_score * 0.3, 6) AS score FROM parts),
+     hits AS (SELECT * FROM (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY score DESC, chunk_id) <= 5) WHERE score >= 0.3)
 """
 
 
+def chunks(t):
+    return t.documents.select(F.col("doc_id").alias("chunk_id"), "text")
+
+
 def hits(t):
-    chunks = t.documents.select(F.col("doc_id").alias("chunk_id"), "text").join(
-        t.embeddings.select(F.col("vec_id").alias("chunk_id"), F.col("embedding").alias("vector")), "chunk_id", "left"
+    """The best chunks for every item of the benchmark as a question."""
+    questions = t.benchmark.select(F.col("item_id").alias("question_id"), "text").join(
+        t.embeddings.select(F.col("vec_id").alias("question_id"), F.col("embedding").alias("vector")), "question_id", "left"
     )
-    question = t.benchmark.where("item_id = 0").select(s.words("text")).scalar()
-    vector = t.embeddings.where("vec_id = 0").select("embedding").scalar()
-    return retrieval.hybrid_topk(chunks, question, vector)
+    vectors = t.embeddings.select(F.col("vec_id").alias("chunk_id"), F.col("embedding").alias("vector"))
+    return retrieval.hybrid_topk(chunks(t), vectors, questions)
 
 
-@query("hybrid_topk", (), HITS + "SELECT chunk_id, vector_score, keyword_score, score FROM hits")
+@query("hybrid_topk", (), HITS + "SELECT question_id, chunk_id, vector_score, keyword_score, score FROM hits")
 def hybrid(t):
-    return hits(t).drop("text")
+    return hits(t)
 
 
 @query(
     "concat_context",
     (),
-    HITS + "SELECT string_agg(text || chr(13) || chr(10) || chr(13) || chr(10), '' ORDER BY score DESC, chunk_id) AS context FROM hits",
+    HITS
+    + """SELECT question_id, string_agg(text || chr(13) || chr(10) || chr(13) || chr(10), '' ORDER BY score DESC, chunk_id) AS context
+         FROM hits JOIN documents ON doc_id = chunk_id GROUP BY question_id""",
 )
 def context(t):
-    return retrieval.concat_context(hits(t))
+    return retrieval.concat_context(hits(t), chunks(t))

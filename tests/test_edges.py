@@ -1,6 +1,8 @@
 """Rows at the edges: NULLs, ties, repeats, hot groups, bad JSON, replayed batches."""
 
+import math
 import random
+import re
 from decimal import Decimal as D
 from pathlib import Path
 
@@ -244,24 +246,45 @@ def test_caps(spark):
     assert metrics.row_cap(df, [F.asc("id")]).count() == 10
 
 
-def test_hybrid_topk_matches_brute_force(spark):
+@pytest.mark.parametrize("block", [2, 1000])
+def test_hybrid_topk_matches_brute_force(spark, block):
     rng = random.Random(3)
     pool = ["red", "blue", "green", "shoe", "hat"]
     data = [(i, " ".join(rng.sample(pool, 3)), [rng.uniform(-1, 1) for _ in range(4)] if i % 5 else None) for i in range(60)]
-    question, vector = ["red", "hat"], [0.5, -0.2, 0.1, 0.9]
-
-    def score(text, vec):
-        dot = sum(a * b for a, b in zip(vec, vector)) if vec else 0.0
-        size = (sum(a * a for a in vec) * sum(b * b for b in vector)) ** 0.5 if vec else 1.0
-        overlap = len(set(text.split()) & set(question)) / len(question)
-        return round(round(dot / size, 6) * 0.7 + round(overlap, 6) * 0.3, 6)
-
-    want = sorted(((-score(t, v), i) for i, t, v in data))[:5]
-    df = frame(spark, "chunk_id int, text string, vector array<double>", *data)
-    hits = retrieval.hybrid_topk(df, F.array(*map(F.lit, question)), F.array(*map(F.lit, vector)))
-    assert [(r.chunk_id, r.score) for r in hits.collect()] == [(i, -x) for x, i in want if -x >= 0.3]
-    text = retrieval.concat_context(hits).first().context
-    assert text.count("\r\n\r\n") == hits.count()
+    data += [(60, None, [0.5, -0.2, 0.1, 0.9]), (61, "", None), (62, "red hat", [0.0] * 4), (63, "red hat", [1.0, None, 0.0, 0.0]), (64, "Red HAT hat", None)]
+    asked = [(1, "red hat", [0.5, -0.2, 0.1, 0.9]), (2, "Hat, shoe!", None), (3, None, [0.1, 0.1, 0.1, -1.0]), (4, "unknown red", [0.0] * 4), (7, "blue", [1.0, 0.0, 0.0, 0.0])]
+
+    def score(text, vec, question, vector):
+        sound = vec and vector and None not in vec and any(vec) and any(vector)
+        dot = sum(a * b for a, b in zip(vec, vector)) if sound else 0.0
+        size = (sum(a * a for a in vec) * sum(b * b for b in vector)) ** 0.5 if sound else 1.0
+        want = set(re.findall(r"\w+", (question or "").lower()))
+        overlap = len(set(re.findall(r"\w+", (text or "").lower())) & want) / max(len(want), 1)
+        return half_up(half_up(dot / size) * 0.7 + half_up(overlap) * 0.3)
+
+    def half_up(x):
+        return math.copysign(math.floor(abs(x) * 1e6 + 0.5) / 1e6, x)
+
+    df = frame(spark, "chunk_id int, text string, vector array<double>", *data, (None, "red hat", [0.5, -0.2, 0.1, 0.9]))
+    questions = frame(spark, "question_id int, text string, vector array<double>", *asked, (None, "red", None))
+    hits = retrieval.hybrid_topk(df.select("chunk_id", "text"), df.select("chunk_id", "vector").where("chunk_id IS NOT NULL"), questions, block=block)
+    got = {(r.question_id, r.chunk_id): r.score for r in hits.collect()}
+    best = {q: sorted((-score(t, v, words, vector), i) for i, t, v in data)[:5] for q, words, vector in asked}
+    assert got == {(q, i): -x for q, found in best.items() for x, i in found if -x >= 0.3}
+    texts = {i: t for i, t, _ in data}
+    contexts = {r.question_id: r.context for r in retrieval.concat_context(hits, df.select("chunk_id", "text")).collect()}
+    want = {q: "".join(texts[i] + "\r\n\r\n" for x, i in found if -x >= 0.3 and texts[i] is not None) for q, found in best.items()}
+    assert {q: c for q, c in contexts.items() if c} == {q: c for q, c in want.items() if c}
+
+
+def test_texts_are_not_shuffled_for_retrieval(spark):
+    df = frame(spark, "chunk_id int, text string, vector array<double>", (1, "a b", [1.0]))
+    questions = frame(spark, "question_id int, text string, vector array<double>", (1, "a", [1.0]))
+    hits = retrieval.hybrid_topk(df.select("chunk_id", "text"), df.select("chunk_id", "vector"), questions)
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in hits._jdf.queryExecution().sparkPlan().toString()
+    assert not any("text" in line for line in plan.splitlines() if "Join" in line)
+    assert retrieval.hybrid_topk(df.select("chunk_id", "text"), df.select("chunk_id", "vector"), questions.limit(0)).count() == 0
 
 
 # --- permissions and statements --------------------------------------------------
