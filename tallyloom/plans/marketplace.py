@@ -73,53 +73,50 @@ def dws_shop_daily_gmv(orders: DataFrame, paid: tuple[str, ...] = PAID, keyed: b
     )
 
 
-def _by_order(lines: DataFrame, group: str, *keys: str, label: str | None = None) -> DataFrame:
-    """Lines summed per group, day, order and buyer, so that orders are counted as rows afterwards."""
+def _daily_lines(lines: DataFrame, group: str, labels: tuple[str, ...]) -> DataFrame:
+    """Lines summed per group and day, with the orders, lines and buyers counted.
+
+    The lines move once, to the place of their group, day and buyer.  There they become
+    orders and then buyers without moving again, and buyers are counted where they are before the
+    groups meet, so a hot group or day is spread over its buyers.
+    """
+    sums = [F.sum(c).alias(c) for c in ("quantity", "item_pay_amount", "discount_amount")]
+    sums += [F.max(c).alias(c) for c in labels]
+    place = [group, "stat_date", "buyer_uid"]
+    orders = lines.repartition(*place).groupBy(*place, "order_id").agg(F.count("order_item_id").alias("_lines"), *sums)
+    buyers = orders.groupBy(*place).agg(F.count("order_id").alias("_orders"), F.sum("_lines").alias("_lines"), *sums)
+    return buyers.groupBy(group, "stat_date").agg(
+        F.sum("_orders").alias("order_cnt"), F.sum("_lines").alias("sku_sold_cnt"), F.count("buyer_uid").alias("buyer_uv"), *sums
+    )
+
+
+def _daily_distinct(lines: DataFrame, group: str, labels: tuple[str, ...]) -> DataFrame:
+    """The same for lines that need not be keyed: all three counts are distinct."""
     sums = [F.sum(c).alias(c) for c in ("quantity", "item_pay_amount", "discount_amount")]
-    label_of = [F.max(label).alias(label)] if label else []
-    return lines.groupBy(group, "stat_date", "order_id", "buyer_uid", *keys).agg(F.count("order_item_id").alias("lines"), *sums, *label_of)
+    sums += [F.max(c).alias(c) for c in labels]
+    counts = {"order_cnt": "order_id", "sku_sold_cnt": "order_item_id", "buyer_uv": "buyer_uid"}
+    return lines.groupBy(group, "stat_date").agg(*(F.count_distinct(c).alias(out) for out, c in counts.items()), *sums)
+
+
+def _daily_sales(detail: DataFrame, table: str, group: str, labels: tuple[str, ...], paid: tuple[str, ...], keyed: bool) -> DataFrame:
+    lines = filter_paid(detail, paid).withColumn("stat_date", day_text("create_time"))
+    daily = (_daily_lines if keyed else _daily_distinct)(lines, group, labels)
+    named = daily.withColumnsRenamed({"item_pay_amount": "gmv", "discount_amount": "discount_amt"})
+    return apply_contract(named, MARKETPLACE[table])
 
 
 def dws_spu_daily_sales(detail: DataFrame, paid: tuple[str, ...] = PAID, keyed: bool = True) -> DataFrame:
     """Paid lines per product and day.
 
-    ``keyed`` tells that a line's id is unique in its product and day, and that an order has one
-    buyer and one name per product, as in the DWD table; otherwise all three counts are distinct.
+    ``keyed`` tells that a line's id is unique in its product and day, and that an order has
+    one buyer, as in the DWD table; otherwise all three counts are distinct.
     """
-    lines = filter_paid(detail, paid).withColumn("stat_date", day_text("create_time"))
-    rows = _by_order(lines, "spu_id", "spu_name", "brand") if keyed else lines
-    daily = (
-        rows.groupBy("spu_id", "stat_date")
-        .agg(
-            F.max("spu_name").alias("spu_name"),
-            F.max("brand").alias("brand"),
-            _order_count(keyed).alias("order_cnt"),
-            (F.sum("lines") if keyed else F.count_distinct("order_item_id")).alias("sku_sold_cnt"),
-            F.sum("quantity").alias("quantity"),
-            F.sum("item_pay_amount").alias("gmv"),
-            F.sum("discount_amount").alias("discount_amt"),
-            F.count_distinct("buyer_uid").alias("buyer_uv"),
-        )
-    )
-    return apply_contract(daily, MARKETPLACE["dws_spu_daily_sales"])
+    return _daily_sales(detail, "dws_spu_daily_sales", "spu_id", ("spu_name", "brand"), paid, keyed)
 
 
 def dws_category_daily_sales(detail: DataFrame, paid: tuple[str, ...] = PAID, keyed: bool = True) -> DataFrame:
     """Paid lines per category and day; ``keyed`` tells that an order has one buyer."""
-    lines = filter_paid(detail, paid).withColumn("stat_date", day_text("create_time"))
-    rows = _by_order(lines, "company_category_id", label="company_category_path") if keyed else lines
-    daily = (
-        rows.groupBy("company_category_id", "stat_date")
-        .agg(
-            F.max("company_category_path").alias("company_category_path"),
-            _order_count(keyed).alias("order_cnt"),
-            F.sum("quantity").alias("quantity"),
-            F.sum("item_pay_amount").alias("gmv"),
-            F.sum("discount_amount").alias("discount_amt"),
-            F.count_distinct("buyer_uid").alias("buyer_uv"),
-        )
-    )
-    return apply_contract(daily, MARKETPLACE["dws_category_daily_sales"])
+    return _daily_sales(detail, "dws_category_daily_sales", "company_category_id", ("company_category_path",), paid, keyed)
 
 
 def dws_user_daily_activity(orders: DataFrame, paid: tuple[str, ...] = PAID, keyed: bool = True) -> DataFrame:

@@ -21,8 +21,8 @@ def shops(t):
     return m.dws_shop_daily_gmv(b.order_heads(t, "shop", "quantity"), b.PAID)
 
 
-def spus(t):
-    return m.dws_spu_daily_sales(b.order_lines(t, "product"), b.PAID)
+def spus(t, keyed=True):
+    return m.dws_spu_daily_sales(b.order_lines(t, "product"), b.PAID, keyed)
 
 
 def categories(t):

@@ -217,7 +217,8 @@ def top_shops(t):
        FROM spus GROUP BY spu_id ORDER BY sum(gmv) DESC, spu_id LIMIT 10""",
 )
 def top_spus(t):
-    return metrics.top_spu_period(spus(t))
+    """No count is read here, so the distinct ones fall out of the plan and leave sums that the map tasks reduce."""
+    return metrics.top_spu_period(spus(t, keyed=False))
 
 
 @query(

@@ -604,3 +604,24 @@ def test_kafka_source_names_the_missing_connector(spark):
 
 def test_served_tables_are_declared():
     assert set(SERVED) <= set(MARKETPLACE)
+
+
+def test_line_summaries_count_alike_with_and_without_keys(spark, rows):
+    """Orders, lines and buyers of keyed lines, in one exchange, against distinct counts; NULL ids count nowhere."""
+    rng = random.Random(8)
+    lines = []
+    for order in range(150):
+        buyer = None if order % 11 == 0 else f"b{rng.randrange(9)}"
+        for line in range(rng.randrange(1, 4)):
+            spu = None if rng.random() < 0.1 else f"p{0 if rng.random() < 0.4 else rng.randrange(5)}"
+            number = None if order % 29 == 0 else str(order)
+            lines.append((number, f"{order}-{line}", spu, f"name {rng.randrange(2)}", "brand", "c" + str(rng.randrange(3)), f"path {spu}", line + 1, D(order), D(1), buyer, "PAID", "2024-01-0" + str(1 + order % 2)))
+    ddl = (
+        "order_id string, order_item_id string, spu_id string, spu_name string, brand string, company_category_id string, company_category_path string, "
+        "quantity int, item_pay_amount decimal(16,2), discount_amount decimal(16,2), buyer_uid string, pay_status string, day string"
+    )
+    df = frame(spark, ddl, *lines).withColumn("create_time", F.col("day").cast("timestamp"))
+    for summary in (m.dws_spu_daily_sales, m.dws_category_daily_sales):
+        keyed_plan = summary(df, ("PAID",))
+        assert rows(keyed_plan) == rows(summary(df, ("PAID",), keyed=False))
+        assert keyed_plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
