@@ -622,6 +622,6 @@ def test_line_summaries_count_alike_with_and_without_keys(spark, rows):
     )
     df = frame(spark, ddl, *lines).withColumn("create_time", F.col("day").cast("timestamp"))
     for summary in (m.dws_spu_daily_sales, m.dws_category_daily_sales):
-        keyed_plan = summary(df, ("PAID",))
-        assert rows(keyed_plan) == rows(summary(df, ("PAID",), keyed=False))
-        assert keyed_plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+        assert rows(summary(df, ("PAID",))) == rows(summary(df, ("PAID",), keyed=False))
+        plan = summary(df, ("PAID",))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2
