@@ -111,31 +111,43 @@ def linked(a: str, b: str, bits: int) -> Column:
     return (F.bit_count(x) <= bits) & (F.shiftright("_key", PLACE) == first)
 
 
-def _joined(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """``rows`` with the component ``c`` of their fingerprint."""
-    return rows.join(found, rows["p"] == found["node"], "left").select("_key", "p", F.coalesce("root", "p").alias("c"))
+def _joined(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with the component ``c`` of their node."""
+    return rows.join(roots, rows["p"] == roots["node"]).select("_key", "p", F.col("root").alias("c"))
 
 
 def _outside(placed: DataFrame) -> DataFrame:
     """The rows ``(_key, hub, _c)`` that are outside the largest component of their key."""
     sizes = placed.groupBy("_key", "c").agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.groupBy("_key").agg(F.max(F.struct("_n", "c"))["c"].alias("_main"))
-    rows = placed.join(largest, "_key").where("c != _main")
+    largest = sizes.groupBy("_key").agg(F.max(F.struct("_n", "c"))["c"].alias("_main"), F.count(F.lit(1)).alias("_parts"))
+    rows = placed.join(largest.where("_parts > 1"), "_key").where("c != _main")
     return rows.select("_key", F.col("p").alias("hub"), F.col("c").alias("_c"))
 
 
-def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
-    """Links ``(a, b)`` between the different fingerprints ``p`` that connect whatever is within ``bits``."""
+def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``(node, root)`` of all ``nodes`` (``p``), stored; one without links is its own root."""
+    found = components(links)
+    return stored(nodes.join(found, nodes["p"] == found["node"], "left").select(F.col("p").alias("node"), F.coalesce("root", "p").alias("root")), "roots")
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after ``links`` between roots; only those enter the search for components."""
+    found = components(links).toDF("_old", "_new")
+    return stored(roots.join(found, roots["root"] == found["_old"], "left").select("node", F.coalesce("_new", "root").alias("root")), "roots")
+
+
+def classes(prints: DataFrame, bits: int = BITS) -> DataFrame:
+    """``(node, root)`` of the different fingerprints ``p``: what links of ``bits`` or fewer connect has one root."""
     listed = variants(prints, bits).repartition("_key")
     place = F.row_number().over(Window.partitionBy("_key").orderBy("p"))
     hubs = listed.withColumn("_n", place).where(F.col("_n") <= HUBS).select("_key", F.col("p").alias("hub"))
     near = listed.join(hubs, "_key").where((F.col("p") > F.col("hub")) & linked("p", "hub", bits))
-    found = stored(near.select(F.col("hub").alias("a"), F.col("p").alias("b")), "links")
+    roots = _rooted(prints, near.select(F.col("hub").alias("a"), F.col("p").alias("b")))
 
-    size = F.count(F.lit(1)).over(Window.partitionBy("_key"))
-    large = stored(listed.withColumn("_n", size).where(F.col("_n") > HUBS).drop("_n"), "large")
+    sizes = listed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HUBS)
+    large = stored(listed.join(sizes.select("_key"), "_key"), "large")
     for turn in range(ROUNDS + 1):
-        placed = stored(_joined(large, components(found)), "placed")
+        placed = stored(_joined(large, roots), "placed")
         outside = stored(_outside(placed), "outside")
         if outside.isEmpty():
             break
@@ -143,8 +155,8 @@ def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
             order = Window.partitionBy("_key").orderBy(F.xxhash64("hub", F.lit(turn)))
             outside = outside.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= HUBS).drop("_n")
         near = placed.join(outside, "_key").where((F.col("c") != F.col("_c")) & linked("p", "hub", bits))
-        found = found.unionByName(stored(near.select(F.col("hub").alias("a"), F.col("p").alias("b")), "links"))
-    return found
+        roots = _merged(roots, near.select(F.col("c").alias("a"), F.col("_c").alias("b")))
+    return roots
 
 
 def near_duplicates(
@@ -162,11 +174,10 @@ def near_duplicates(
     printed = fingerprints(docs, text, "_print", shingle)
     printed = stored(printed.select("_print", *(F.col(f"`{c}`") for c in carry or docs.columns)), "prints")
     nodes = stored(printed.groupBy(F.col("_print").alias("p")).agg(F.min(key).alias("_id")), "nodes")
-    found = components(links(nodes.select("p"), bits))
-    rooted = nodes.join(found, nodes["p"] == found["node"], "left").select("p", "_id", F.coalesce("root", "p").alias("_root"))
+    rooted = nodes.join(classes(nodes.select("p"), bits).toDF("p", "_root"), "p")
     named = rooted.groupBy("_root").agg(F.min("_id").alias("component_id"))
-    classes = stored(rooted.join(named, "_root").select("p", "component_id"), "classes")
-    return printed.join(classes, printed["_print"] == classes["p"]).drop("p")
+    found = stored(rooted.join(named, "_root").select("p", "component_id"), "classes")
+    return printed.join(found, printed["_print"] == found["p"]).drop("p")
 
 
 def shared_keys(listed: DataFrame) -> DataFrame:
@@ -177,8 +188,8 @@ def shared_keys(listed: DataFrame) -> DataFrame:
     return stored(listed.join(kept.select("_key", "n"), "_key"), "keyed")
 
 
-def verified_links(keyed: DataFrame, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Links ``(a, b)`` that connect whatever pairs with a common key ``alike`` keeps.
+def verified_classes(nodes: DataFrame, keyed: DataFrame, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``(node, root)`` of ``nodes`` (``p``) by the pairs with a common key that ``alike`` keeps.
 
     A pair counts as connected by verified links only, so at the end each pair of a key
     is verified, refuted, or inside one component.
@@ -191,12 +202,12 @@ def verified_links(keyed: DataFrame, alike: Callable[[DataFrame], DataFrame]) ->
     first = hubs(keyed.select("_key", F.col("node").alias("hub")), F.col("hub"))
     pairs = keyed.join(first, "_key").where("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     tested = stored(pairs.distinct(), "pairs")
-    found = stored(alike(tested), "links")
+    roots = _rooted(nodes, alike(tested))
     large = keyed.where(F.col("n") > HUBS + 1).select("_key", F.col("node").alias("p"))  # smaller keys have all their pairs
     if large.isEmpty():
-        return found
+        return roots
     for turn in range(ROUNDS + 1):
-        placed = stored(_joined(large, components(found)), "placed")
+        placed = stored(_joined(large, roots), "placed")
         outside = stored(_outside(placed), "outside")
         if outside.isEmpty():
             break
@@ -204,13 +215,17 @@ def verified_links(keyed: DataFrame, alike: Callable[[DataFrame], DataFrame]) ->
             outside = hubs(outside, F.xxhash64("hub", F.lit(turn)))
         pairs = placed.join(outside, "_key").where("c != _c").select(F.least("p", "hub").alias("a"), F.greatest("p", "hub").alias("b"))
         pairs = stored(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = found.unionByName(stored(alike(pairs), "links"))
+        found = alike(pairs)
+        ends = found.join(roots.toDF("a", "_ra"), "a").join(roots.toDF("b", "_rb"), "b")
+        roots = _merged(roots, ends.select(F.col("_ra").alias("a"), F.col("_rb").alias("b")))
         tested = tested.unionByName(pairs)
-    return found
+    return roots
 
 
 NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
-BANDS, DEPTH = 40, 4  # keys of a set, and minima in each: a pair of similarity 0.8 shares none once in 10**9
+# Keys of a set, and minima in each: a pair of similarity 0.8 shares none six times in 10,000, one of 0.85 three
+# times in 10**6; of pairs of similarity 0.5 one in seven shares a key, of 0.3 one in 400.
+BANDS, DEPTH = 40, 8
 SKETCH = 1024  # bits of the parities that bound a difference of sets from below
 _MULTIPLIERS = np.random.default_rng(SEED).integers(1 << 63, size=(BANDS * DEPTH, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -295,8 +310,8 @@ def one_of_each(
         both_have = F.size(F.array_intersect("_wa", "_wb"))
         return sided.where(both_have >= similarity * (F.size("_wa") + F.size("_wb") - both_have)).select("a", "b")
 
-    classes = components(verified_links(keyed, alike))
-    placed = nodes.join(classes, nodes["_node"] == classes["node"], "left").select("_node", "_id", F.coalesce("root", "_node").alias("_root"))
+    roots = verified_classes(nodes.select(F.col("_node").alias("p")), keyed, alike)
+    placed = nodes.join(roots.toDF("_node", "_root"), "_node").select("_node", "_id", "_root")
     firsts = placed.groupBy("_root").agg(F.min(F.struct("_id", "_node")).alias("f")).select("f.*")
     kept = printed.withColumn("_id", rank).join(stored(firsts, "firsts"), ["_node", "_id"])
     # Rows that repeat the key of the one that stays: seldom any, and only then the texts are grouped.
