@@ -113,15 +113,20 @@ def linked(a: str, b: str, bits: int) -> Column:
 
 def _joined(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """``rows`` with the component ``c`` of their node."""
-    return rows.join(roots, rows["p"] == roots["node"]).select("_key", "p", F.col("root").alias("c"))
+    return rows.join(roots, rows["p"] == roots["node"]).drop("node").withColumnRenamed("root", "c")
 
 
 def _outside(placed: DataFrame) -> DataFrame:
-    """The rows ``(_key, hub, _c)`` that are outside the largest component of their key."""
+    """The rows ``(_key, hub, _c)`` that are outside the largest component of their key; their other columns get ``_hub`` appended."""
     sizes = placed.groupBy("_key", "c").agg(F.count(F.lit(1)).alias("_n"))
     largest = sizes.groupBy("_key").agg(F.max(F.struct("_n", "c"))["c"].alias("_main"), F.count(F.lit(1)).alias("_parts"))
     rows = placed.join(largest.where("_parts > 1"), "_key").where("c != _main")
-    return rows.select("_key", F.col("p").alias("hub"), F.col("c").alias("_c"))
+    return _as_hubs(rows.drop("_main", "_parts"))
+
+
+def _as_hubs(rows: DataFrame) -> DataFrame:
+    names = {"p": "hub", "c": "_c"}
+    return rows.withColumnsRenamed({c: names.get(c, f"{c}_hub") for c in rows.columns if c != "_key"})
 
 
 def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -188,22 +193,23 @@ def shared_keys(listed: DataFrame) -> DataFrame:
     return stored(listed.join(kept.select("_key", "n"), "_key"), "keyed")
 
 
-def verified_classes(nodes: DataFrame, keyed: DataFrame, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``(node, root)`` of ``nodes`` (``p``) by the pairs with a common key that ``alike`` keeps.
+def verified_classes(nodes: DataFrame, keyed: DataFrame, may: Column, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``(node, root)`` of ``nodes`` (``p``) by the pairs with a common key in ``keyed`` (``_key, p, n``) that ``alike`` keeps.
 
-    A pair counts as connected by verified links only, so at the end each pair of a key
-    is verified, refuted, or inside one component.
+    ``may`` refutes most pairs while they are joined: a condition on the other columns of ``keyed`` and the same
+    with ``_hub`` appended.  A pair counts as connected by verified links only, so at the
+    end each pair of a key is verified, refuted, or inside one component.
     """
 
     def hubs(rows: DataFrame, *order: Column) -> DataFrame:
         place = F.row_number().over(Window.partitionBy("_key").orderBy(*order))
         return rows.withColumn("_n", place).where(F.col("_n") <= HUBS).drop("_n")
 
-    first = hubs(keyed.select("_key", F.col("node").alias("hub")), F.col("hub"))
-    pairs = keyed.join(first, "_key").where("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    first = hubs(_as_hubs(keyed.drop("n")), F.col("hub"))
+    pairs = keyed.join(first, "_key").where((F.col("p") > F.col("hub")) & may).select(F.col("hub").alias("a"), F.col("p").alias("b"))
     tested = stored(pairs.distinct(), "pairs")
     roots = _rooted(nodes, alike(tested))
-    large = keyed.where(F.col("n") > HUBS + 1).select("_key", F.col("node").alias("p"))  # smaller keys have all their pairs
+    large = keyed.where(F.col("n") > HUBS + 1).drop("n")  # smaller keys have all their pairs
     if large.isEmpty():
         return roots
     for turn in range(ROUNDS + 1):
@@ -213,7 +219,7 @@ def verified_classes(nodes: DataFrame, keyed: DataFrame, alike: Callable[[DataFr
             break
         if turn < ROUNDS:  # some of them first; the last turn takes all
             outside = hubs(outside, F.xxhash64("hub", F.lit(turn)))
-        pairs = placed.join(outside, "_key").where("c != _c").select(F.least("p", "hub").alias("a"), F.greatest("p", "hub").alias("b"))
+        pairs = placed.join(outside, "_key").where((F.col("c") != F.col("_c")) & may).select(F.least("p", "hub").alias("a"), F.greatest("p", "hub").alias("b"))
         pairs = stored(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         found = alike(pairs)
         ends = found.join(roots.toDF("a", "_ra"), "a").join(roots.toDF("b", "_rb"), "b")
@@ -296,21 +302,21 @@ def one_of_each(
     ends = keyed.select(F.col("node").alias("_node")).distinct()
     seen = printed.select("_node", rank.alias("_id"), whole(text).alias("_t")).join(nodes.select("_node", "_id"), ["_node", "_id"]).join(ends, "_node")
     shingles = stored(seen.dropDuplicates(["_node"]).select("_node", sets("_t").alias("_w")), "shingles")
-    sketches = stored(nodes.join(ends, "_node").select("_node", "_size", "_odd"), "sketches")
+    sketched = keyed.join(nodes.select(F.col("_node").alias("node"), "_size", "_odd"), "node").withColumnRenamed("node", "p")
+
+    apart = F.lit(0)
+    for i in range(SKETCH // 64):
+        apart = apart + F.bit_count(F.col("_odd")[i].bitwiseXOR(F.col("_odd_hub")[i]))
+    # Of n shingles in both sets together, similar ones differ in n * (1 - s) / (1 + s) at most.
+    most = (F.col("_size") + F.col("_size_hub")) * (1 - similarity) / (1 + similarity) + 1e-6
+    may = (F.abs(F.col("_size") - F.col("_size_hub")) <= most) & (apart <= most)
 
     def alike(pairs: DataFrame) -> DataFrame:
-        close = pairs.join(sketches.toDF("a", "_na", "_oa"), "a").join(sketches.toDF("b", "_nb", "_ob"), "b")
-        apart = F.lit(0)
-        for i in range(SKETCH // 64):
-            apart = apart + F.bit_count(F.col("_oa")[i].bitwiseXOR(F.col("_ob")[i]))
-        # Of n shingles in both sets together, similar ones differ in n * (1 - s) / (1 + s) at most.
-        most = (F.col("_na") + F.col("_nb")) * (1 - similarity) / (1 + similarity) + 1e-6
-        close = close.where((apart <= most) & (F.abs(F.col("_na") - F.col("_nb")) <= most)).select("a", "b")
-        sided = close.join(shingles.toDF("a", "_wa"), "a").join(shingles.toDF("b", "_wb"), "b")
+        sided = pairs.join(shingles.toDF("a", "_wa"), "a").join(shingles.toDF("b", "_wb"), "b")
         both_have = F.size(F.array_intersect("_wa", "_wb"))
         return sided.where(both_have >= similarity * (F.size("_wa") + F.size("_wb") - both_have)).select("a", "b")
 
-    roots = verified_classes(nodes.select(F.col("_node").alias("p")), keyed, alike)
+    roots = verified_classes(nodes.select(F.col("_node").alias("p")), stored(sketched, "sketched"), may, alike)
     placed = nodes.join(roots.toDF("_node", "_root"), "_node").select("_node", "_id", "_root")
     firsts = placed.groupBy("_root").agg(F.min(F.struct("_id", "_node")).alias("f")).select("f.*")
     kept = printed.withColumn("_id", rank).join(stored(firsts, "firsts"), ["_node", "_id"])
