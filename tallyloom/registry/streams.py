@@ -21,23 +21,22 @@ from tallyloom.streaming.run import drain, each_batch, to_files
 BATCHES = 4
 
 
-def arriving(t, df, by, label: str):
-    """``df`` landed in the order of ``by``, a number or time, and the stream that reads it in ``BATCHES`` micro-batches.
+def replayed(t, df, by, label: str, writer) -> None:
+    """Run the stream that ``writer`` makes over ``df``, which arrives in ``BATCHES`` micro-batches in the order of ``by``, a number or time.
 
-    Slices of about equal size are landed one after the other, each in as many files as Spark writes; the
-    stream takes files by the time they were landed.
+    Slices of about equal size are landed one after the other, each in as many files as
+    Spark writes, and the stream takes each as one batch.
     """
     place = F.col(by) if isinstance(by, str) else by
     rows = stored(df.withColumn("_by", place.cast("double")), f"{label}-rows")
     cuts = sorted(set(rows.approxQuantile("_by", [i / BATCHES for i in range(1, BATCHES)], 0.01)))
-    path = work_path(t.spark, label)
+    path, checkpoint = work_path(t.spark, label), work_path(t.spark, "checkpoint")
     for low, high in zip([None, *cuts], [*cuts, None], strict=True):
         above = F.lit(True) if low is None else F.col("_by") > low
         below = F.lit(True) if high is None else F.col("_by") <= high
         unplaced = F.col("_by").isNull() & F.lit(low is None)
         rows.where((above & below) | unplaced).drop("_by").write.mode("append").parquet(path)
-    files = len(t.spark.read.schema(df.schema).parquet(path).inputFiles())
-    return stream_table(t.spark, path, df.schema, files_per_batch=max(1, -(-files // BATCHES)))
+        drain(writer(stream_table(t.spark, path, df.schema)), checkpoint)
 
 
 @query(
@@ -50,8 +49,7 @@ def arriving(t, df, by, label: str):
 def ingest(t):
     """JSON events decoded and written to a keyed table."""
     table = KeyedLog(work_path(t.spark, "ods"), raw.CLICK.schema, ["event_id"], ["event_time"]).open_empty(t.spark)
-    stream = events.decode(arriving(t, raw.raw_clicks(t), "event_id", "topic"), raw.CLICK.schema)
-    drain(each_batch(stream, table.append), work_path(t.spark, "checkpoint"))
+    replayed(t, raw.raw_clicks(t), "event_id", "topic", lambda stream: each_batch(events.decode(stream, raw.CLICK.schema), table.append))
     return table.current(t.spark)
 
 
@@ -73,7 +71,7 @@ def exactly_once(t):
         table.append(batch, batch_id)
         table.append(batch, batch_id)
 
-    drain(each_batch(arriving(t, rows, "proc_time", "versions"), deliver_twice), work_path(t.spark, "checkpoint"))
+    replayed(t, rows, "proc_time", "versions", lambda stream: each_batch(stream, deliver_twice))
     return table.current(t.spark).drop("proc_time")
 
 
@@ -85,10 +83,9 @@ def exactly_once(t):
 def watermark(t):
     """Events with the declared five seconds of disorder, appended to a table; no row is late for an append."""
     rows = t.events.select("event_id", "user_id", "event_type", F.col("ts").alias("event_time"))
-    stream = events.with_event_watermark(arriving(t, rows, "event_id", "events"))
     path = work_path(t.spark, "behavior")
-    drain(to_files(stream, path), work_path(t.spark, "checkpoint"))
-    return t.spark.read.schema(stream.schema).parquet(path)
+    replayed(t, rows, "event_id", "events", lambda stream: to_files(events.with_event_watermark(stream), path))
+    return t.spark.read.schema(rows.schema).parquet(path)
 
 
 @query(
@@ -108,14 +105,15 @@ def windowed(t):
     events_in = t.events.select("event_id", "event_type", F.col("value").cast("decimal(18,2)").alias("value"), F.col("ts").cast("timestamp").alias("event_time"))
     first = events_in.agg(F.min("event_time")).first()[0]
     late = events_in.where(F.col("event_time") < F.lit(first) + F.expr("INTERVAL 3 DAYS"))
-    shift = F.expr("INTERVAL 1000 DAYS")
-    rows = events_in.withColumn("arrival", F.col("event_time")).unionByName(late.withColumn("arrival", F.col("event_time") + shift))
-    stream = events.with_event_watermark(arriving(t, rows, "arrival", "events"))
-    totals = windows.window_totals(
-        stream, "1 hour", ["event_type"], {"n_events": F.count(F.lit(1)), "n_values": F.count("value"), "total_value": F.sum("value")}
-    )
-    table = windows.window_table(work_path(t.spark, "windows"), totals, ["event_type"]).open_empty(t.spark)
-    drain(windows.keep_totals(totals, table), work_path(t.spark, "checkpoint"))
+    again = late.withColumn("arrival", F.col("event_time") + F.expr("INTERVAL 1000 DAYS"))
+    rows = events_in.withColumn("arrival", F.col("event_time")).unionByName(again)
+    totals = {"n_events": F.count(F.lit(1)), "n_values": F.count("value"), "total_value": F.sum("value")}
+
+    def hourly(stream):
+        return windows.window_totals(events.with_event_watermark(stream), "1 hour", ["event_type"], totals)
+
+    table = windows.window_table(work_path(t.spark, "windows"), hourly(events_in), ["event_type"]).open_empty(t.spark)
+    replayed(t, rows, "arrival", "events", lambda stream: windows.keep_totals(hourly(stream), table))
     return table.current(t.spark)
 
 
@@ -159,10 +157,9 @@ def events_once(t):
     sent = t.events.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("event_time"))
     sent = sent.withColumn("_again", F.explode(F.array(F.lit(0), F.lit(2), F.lit(4))))
     sent = sent.withColumn("arrival", F.col("event_time") + F.make_dt_interval(secs=F.col("_again"))).drop("_again")
-    stream = events.drop_repeats(events.with_event_watermark(arriving(t, sent, "arrival", "events")), ["event_id"]).drop("arrival")
     path = work_path(t.spark, "once")
-    drain(to_files(stream, path), work_path(t.spark, "checkpoint"))
-    return t.spark.read.schema(stream.schema).parquet(path)
+    replayed(t, sent, "arrival", "events", lambda stream: to_files(events.drop_repeats(events.with_event_watermark(stream), ["event_id"]).drop("arrival"), path))
+    return t.spark.read.schema(sent.drop("arrival").schema).parquet(path)
 
 
 @query(
@@ -171,11 +168,12 @@ def events_once(t):
     """SELECT order_id, order_item_id, spu_id, quantity, CAST(item_pay_amount AS DOUBLE) AS item_pay_amount FROM parcel_lines""",
 )
 def exploded(t):
-    lines = m.order_detail(arriving(t, b.parcel_messages(t), "create_time", "messages"))
-    lines = lines.select("order_id", "order_item_id", "spu_id", "quantity", "item_pay_amount")
-    path = work_path(t.spark, "detail")
-    drain(to_files(lines, path), work_path(t.spark, "checkpoint"))
-    return t.spark.read.schema(lines.schema).parquet(path)
+    def lines(messages):
+        return m.order_detail(messages).select("order_id", "order_item_id", "spu_id", "quantity", "item_pay_amount")
+
+    messages, path = b.parcel_messages(t), work_path(t.spark, "detail")
+    replayed(t, messages, "create_time", "messages", lambda stream: to_files(lines(stream), path))
+    return t.spark.read.schema(lines(messages).schema).parquet(path)
 
 
 @query(
@@ -190,8 +188,7 @@ def dedup(t):
     versions = b.order_versions(t)
     schema = m.dwd_order(versions).schema
     table = KeyedLog(work_path(t.spark, "dwd"), schema, ["order_id"], list(m.VERSION_ORDER)).open_empty(t.spark)
-    stream = arriving(t, versions, "proc_time", "versions")
-    drain(each_batch(stream, lambda batch, n: table.append(m.dwd_order(batch), n)), work_path(t.spark, "checkpoint"))
+    replayed(t, versions, "proc_time", "versions", lambda stream: each_batch(stream, lambda batch, n: table.append(m.dwd_order(batch), n)))
     return table.current(t.spark).select("order_id", "shop_id", "buyer_uid", "pay_status", "total_pay_amount", "order_date")
 
 
@@ -208,8 +205,11 @@ def stream_changes(t):
         "event_id bigint, ts timestamp, op string, id bigint, total_amount decimal(16,2), pay_status string, create_time timestamp"
     )
     table = KeyedLog(work_path(t.spark, "accounts"), schema, ["id"], ["ts", "event_id"]).open_empty(t.spark)
-    stream = cdc.decode_changes(arriving(t, messages, "ts", "changes"), raw.CHANGE_ROW.schema, keep=["event_id", "ts"])
-    drain(each_batch(stream, table.append), work_path(t.spark, "checkpoint"))
+
+    def decoded(stream):
+        return cdc.decode_changes(stream, raw.CHANGE_ROW.schema, keep=["event_id", "ts"])
+
+    replayed(t, messages, "ts", "changes", lambda stream: each_batch(decoded(stream), table.append))
     return apply_change_log(table, t.spark).select("id", "pay_status", "total_amount")
 
 
@@ -235,7 +235,7 @@ REVISED = """(SELECT * REPLACE (CASE WHEN order_status = 'F' THEN CAST((o_orderk
 def revise(t, summary, rows, keys, order_by, by):
     table = KeyedLog(work_path(t.spark, "rows"), rows.schema, keys, order_by, part=summary.part(revising.YEAR)).open_empty(t.spark)
     kept = revising.RevisingSummary(summary, table, work_path(t.spark, summary.table.name), b.PAID)
-    drain(each_batch(arriving(t, rows, by, "versions"), kept.process), work_path(t.spark, "checkpoint"))
+    replayed(t, rows, by, "versions", lambda stream: each_batch(stream, kept.process))
     return kept.result(t.spark)
 
 
