@@ -3,8 +3,14 @@
 A writer's plain letters reach us through a channel that swaps them for look-alikes
 (``1d10t``), repeats them (``stuuupid``), puts marks or spaces between them (``i d i o
 t``).  An odd token becomes a lattice: every observed sign may stand for itself, for the
-letters it looks like, or for nothing, each at a cost.  Viterbi decoding picks the path
-of least cost under a model of letter triples, which is counted over all texts.
+letters it looks like, or for nothing, each at a cost; the space between single signs
+may end a word or stand for nothing.  Viterbi decoding picks the path of least cost under
+a model of letter triples, which is counted over all texts.  The plain reading stays
+beside the decoded one.
+
+Words that the labelled texts tell to be toxic are arcs of the lattice too: inside a run
+of single signs, over pieces (``stu pid``) of which one at least is no ordinary word, and
+under doubled letters (``looser``) unless the token is itself an ordinary word.
 
 Restored words and their beginnings carry evidence: the log odds of standing in a toxic
 text, learned from labelled rows, less one standard error.  A logistic function of the
@@ -15,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,7 +36,8 @@ LABELLED = 20_000  # the most labelled rows that the classifier is fitted on
 FEATURES = 50_000  # the most features it keeps, the strongest first
 LEAST_ROWS = 5  # toxic rows a feature must stand in
 STEMS = (4, 5, 6)  # lengths of the beginnings that count besides the word
-SPACED = 4  # that many single signs in a row may be one spaced word
+SPACED = 3  # that many single signs in a row may spell words
+ARC_LETTERS = 32  # toxic words up to this length are arcs over pieces and single signs
 SIGNS = 28  # word edge, 26 letters, any other letter
 CACHED = 300_000  # tokens whose evidence a task remembers
 
@@ -39,11 +46,11 @@ LOOKS = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "*": "aeiou",
 }
-LOOK_COST, WILD_COST, DROP_COST, KEEP_COST, TWICE_COST, AGAIN_COST = 0.5, 2.0, 0.7, 8.0, 2.5, 0.1
+LOOK_COST, WILD_COST, DROP_COST, KEEP_COST, TWICE_COST, AGAIN_COST, JOIN_COST = 0.5, 2.0, 0.7, 8.0, 2.5, 0.1, 0.3
 
 _EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»“”„…–—¿¡"
 _OUTER = "".join(c for c in _EDGES if c not in LOOKS or c in "*(")
-_TRIPLE = re.compile(r"(.)\1\1")
+_AGAIN = re.compile(r"(.)\1+")
 _RUNS = re.compile(b"\x01{%d,}" % SPACED)
 _CODES = np.zeros(256, np.int64)
 for _i in range(26):
@@ -85,19 +92,24 @@ def letter_costs(counts: np.ndarray) -> np.ndarray:
 def odd(token: str) -> bool:
     """Whether a lower-case token without marks at its edges may hide a word."""
     if token.isalpha():
-        return bool(_TRIPLE.search(token))
+        return bool(_AGAIN.search(token))
     return any(c.isalpha() for c in token) and all(c.isalpha() or c in LOOKS or c in "-_.'~^" for c in token)
 
 
 def decode(token: str, costs: np.ndarray) -> str:
-    """The likeliest plain word behind an odd token: Viterbi over the last two letters."""
+    """The likeliest plain word behind an odd token: Viterbi over the last two letters.
+
+    A space in ``token`` may stay, which ends a word, or vanish.
+    """
     paths: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     last, times = "", 0
     for sign in token:
         times = times + 1 if sign == last else 1
         last = sign
         arcs: list[tuple[str, float]] = []
-        if sign.isalpha():
+        if sign == " ":
+            arcs += [(" ", 0.0), ("", JOIN_COST)]
+        elif sign.isalpha():
             arcs.append((sign, 0.0))
             if times > 1:
                 arcs.append(("", AGAIN_COST if times > 2 else TWICE_COST))
@@ -110,7 +122,7 @@ def decode(token: str, costs: np.ndarray) -> str:
         for (a, b), (cost, letters) in paths.items():
             for letter, price in arcs:
                 if letter:
-                    c = sign_code(letter)
+                    c = 0 if letter == " " else sign_code(letter)
                     key, reached, way = (b, c), cost + price + costs[a, b, c], (letters, letter)
                 else:
                     key, reached, way = (a, b), cost + price, letters
@@ -133,23 +145,79 @@ def spaced(words: list[str]) -> list[str]:
     return ["".join(words[m.start() : m.end()]) for m in _RUNS.finditer(single)]
 
 
+def collapsed(word: str) -> str:
+    return _AGAIN.sub(r"\1", word)
+
+
+class Arcs:
+    """Toxic words as arcs of the lattice; ``ordinary`` words are not read otherwise."""
+
+    def __init__(self, toxic: Iterable[str] = (), ordinary: Iterable[str] = ()):
+        self.toxic = {w for w in toxic if 3 < len(w) <= ARC_LETTERS}
+        self.ordinary = frozenset(ordinary)
+        self.begins = {w[:k] for w in self.toxic for k in range(1, len(w))}
+        self.bare: dict[str, list[str]] = {}
+        for word in sorted(self.toxic):
+            self.bare.setdefault(collapsed(word), []).append(word)
+
+    def doubled(self, word: str) -> list[str]:
+        """Toxic words that differ from ``word`` in repeated letters only."""
+        return [] if word in self.ordinary else self.bare.get(collapsed(word), [])
+
+    def joined(self, words: list[str]) -> set[str]:
+        """Toxic words that two or more neighbouring pieces spell."""
+        begins, found = self.begins, set()
+        for i in [i for i, w in enumerate(words) if w in begins]:
+            text, strange = words[i], words[i] not in self.ordinary
+            for piece in words[i + 1 : i + ARC_LETTERS]:
+                plain = piece.strip(_EDGES)
+                text, strange = text + plain, strange or plain not in self.ordinary
+                if strange and text in self.toxic:
+                    found.add(text)
+                if piece != plain or text not in begins:
+                    break
+        return found
+
+    def inside(self, run: str) -> set[str]:
+        """The toxic words of the cheapest cut of ``run``: a letter outside them costs one."""
+        if not self.toxic:
+            return set()
+        best: list[tuple[int, str]] = [(0, "")]
+        for stop in range(1, len(run) + 1):
+            least = (best[-1][0] + 1, "")
+            for start in range(max(0, stop - ARC_LETTERS), stop - 3):
+                if best[start][0] < least[0] and run[start:stop] in self.toxic:
+                    least = (best[start][0], run[start:stop])
+            best.append(least)
+        found, stop = set(), len(run)
+        while stop:
+            word = best[stop][1]
+            found.add(word)
+            stop -= len(word) or 1
+        return found - {""}
+
+
 @dataclass
 class Reader:
     """Restores tokens and gives their features; remembers a bounded number of tokens."""
 
     costs: np.ndarray
+    arcs: Arcs = field(default_factory=Arcs)
     cache: dict = field(default_factory=dict)
 
     def restore(self, token: str) -> str:
         plain = token.strip(_EDGES)
-        return decode(plain, self.costs) if odd(plain) else plain
+        return decode(plain, self.costs) if odd(plain) and plain not in self.arcs.ordinary else plain
 
     def readings(self, token: str) -> set[str]:
-        """The word without marks at its edges, and with those that look like letters: ``$tupid``."""
-        found, edged = {self.restore(token)}, token.strip(_OUTER)
-        if edged != token.strip(_EDGES) and odd(edged):
+        """The word without marks at its edges as it stands and restored, and with marks that look like letters: ``$tupid``."""
+        plain, edged = token.strip(_EDGES), token.strip(_OUTER)
+        found = {plain}
+        if odd(plain):
+            found.add(decode(plain, self.costs))
+        if edged != plain and odd(edged):
             found.add(decode(edged, self.costs))
-        return found
+        return found.union(*map(self.arcs.doubled, list(found)))
 
     def features(self, token: str) -> tuple[str, ...]:
         found = self.cache.get(token)
@@ -161,9 +229,18 @@ class Reader:
             self.cache[token] = found
         return found
 
+    def split(self, run: str) -> list[str]:
+        """The words that the single signs of ``run`` spell, as the letters' model cuts them."""
+        return decode(" ".join(run), self.costs).split()
+
     def tokens(self, text: str) -> set[str]:
+        """The text's words, what its runs of single signs spell, and toxic words that its pieces join to."""
         words = text.lower().split()
-        return set(words).union(spaced(words))
+        found = set(words)
+        for run in set(spaced(words)):
+            parts = self.split(run)
+            found.update(parts, (run,), self.arcs.inside("".join(parts)), self.arcs.inside(run))
+        return found | self.arcs.joined(words)
 
 
 @dataclass(frozen=True)
@@ -171,6 +248,10 @@ class Model:
     costs: np.ndarray
     evidence: dict[str, float]
     weights: tuple[float, float, float]
+    ordinary: frozenset[str] = frozenset()
+
+    def reader(self) -> Reader:
+        return Reader(self.costs, Arcs((f[1:] for f in self.evidence if f[0] == "="), self.ordinary))
 
     def strongest(self, reader: Reader, memory: dict, text: str) -> tuple[float, float]:
         """The evidence of the two strongest different words."""
@@ -240,21 +321,24 @@ def train(
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}  # two rows
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     totals = sample.mapInPandas(count, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    totals = stored(totals, "features")
     a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
     odds = F.log(a / (n_toxic + 1)) - F.log(b / (n_clean + 1)) - F.sqrt(1 / a + 1 / b)
     strong = totals.where(F.col("toxic") >= LEAST_ROWS).withColumn("odds", odds).where("odds > 0.5")
     evidence = {r["feature"]: r["odds"] for r in strong.orderBy(F.desc("odds"), "feature").limit(FEATURES).collect()}
-    model = Model(costs, evidence, (0.0, 0.0, 0.0))
+    common = totals.where((F.col("clean") >= LEAST_ROWS) & F.col("feature").startswith("="))
+    ordinary = frozenset(r["feature"][1:] for r in common.orderBy(F.desc("clean"), "feature").limit(FEATURES).collect())
+    model = Model(costs, evidence, (0.0, 0.0, 0.0), ordinary)
 
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader, memory = Reader(costs), {}
+        reader, memory = model.reader(), {}
         for frame in frames:
             pairs = [model.strongest(reader, memory, one) for one in frame["text"]]
             yield pd.DataFrame({"one": [p[0] for p in pairs], "two": [p[1] for p in pairs], "label": frame["label"]})
 
     seen = sample.mapInPandas(measure, "one double, two double, label int").toPandas()  # at most ``rows`` rows
     seen = seen.sort_values(["one", "two", "label"])
-    return Model(costs, evidence, _fit(seen[["one", "two"]].to_numpy(float), (seen["label"].to_numpy() > 0).astype(float)))
+    return Model(costs, evidence, _fit(seen[["one", "two"]].to_numpy(float), (seen["label"].to_numpy() > 0).astype(float)), ordinary)
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
@@ -268,7 +352,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "score"
     @F.pandas_udf("double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = shared.value
-        reader, memory = Reader(own.costs), {}
+        reader, memory = own.reader(), {}
         for texts in batches:
             pairs = np.array([own.strongest(reader, memory, t) for t in texts], dtype=float).reshape(-1, 2)
             yield pd.Series(own.score(pairs))
@@ -277,19 +361,19 @@ def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "score"
 
 
 def restored(docs: DataFrame, model: Model, text: str = "text", out: str = "restored") -> DataFrame:
-    """``docs`` with the text's tokens restored, spaced words joined at the place of their first sign."""
+    """``docs`` with the text's tokens restored, ordinary words as they stand, single signs as the words that they spell."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("string")
     def of(texts: pd.Series) -> pd.Series:
-        reader = Reader(shared.value.costs)
+        reader = shared.value.reader()
 
         def one(t: str) -> str:
             words = t.lower().split()
             single = bytes([1 if len(w) == 1 else 0 for w in words])
             parts, at = [], 0
             for m in _RUNS.finditer(single):
-                parts += [*map(reader.restore, words[at : m.start()]), reader.restore("".join(words[m.start() : m.end()]))]
+                parts += [*map(reader.restore, words[at : m.start()]), *reader.split("".join(words[m.start() : m.end()]))]
                 at = m.end()
             return " ".join(p for p in [*parts, *map(reader.restore, words[at:])] if p)
 

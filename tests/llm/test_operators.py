@@ -222,6 +222,57 @@ def test_toxicity_restores(spark, toxic_model, odd_docs, no_docs):
     assert toxicity.restored(texts, model).collect()[1]["restored"].split()[1] == "idiot"
 
 
+@pytest.mark.parametrize(
+    "hidden",
+    ["s t u p i d i d i o t and a l o s e r", "stuupid iddiot looser", "stu pid idi ot", "I d u m b a s t u p i d", "1 d 1 0 t and m 0 r 0 n"],
+)
+def test_toxicity_reads_spacing_and_repetition(spark, toxic_model, hidden):
+    rows = toxicity.scored(spark.createDataFrame([(f"the of {hidden} in the",), ("the good of a feed to in",), ("a b c d e f",)], "text string"), toxic_model[2]).collect()
+    scores = {r["text"]: r["score"] for r in rows}
+    assert scores.pop(f"the of {hidden} in the") >= 0.5 and max(scores.values()) < 0.5
+
+
+def test_toxic_arcs_leave_ordinary_words():
+    arcs = toxicity.Arcs(["god", "damned", "loser", "stupid"], ["good", "lose", "r", "feed"])
+    assert arcs.doubled("looser") == ["loser"] and arcs.doubled("good") == [] and arcs.doubled("loosers") == []
+    assert arcs.joined("a stu pi d. of".split()) == {"stupid"} and arcs.joined("stu. pid".split()) == set()
+    assert arcs.joined("lose r".split()) == set() and arcs.joined("los er".split()) == {"loser"}
+    assert arcs.inside("alosershestupidx") == {"loser", "stupid"} and toxicity.Arcs().inside("ab") == set()
+    assert arcs.joined([]) == set() and arcs.inside("") == set()
+
+
+def test_decode_is_the_best_of_all_paths():
+    rng = np.random.default_rng(5)
+    costs = toxicity.letter_costs(rng.integers(0, 50, (28, 28, 28)))
+
+    def cost_of(letters):
+        codes = [0, 0, *(0 if c == " " else toxicity.sign_code(c) for c in letters), 0]
+        return sum(costs[a, b, c] for a, b, c in zip(codes, codes[1:], codes[2:], strict=False))
+
+    def paths(token):
+        found, last, times = [("", 0.0)], "", 0
+        for sign in token:
+            times, last = (times + 1 if sign == last else 1), sign
+            if sign == " ":
+                arcs = [(" ", 0.0), ("", toxicity.JOIN_COST)]
+            elif sign.isalpha():
+                arcs = [(sign, 0.0)] + ([("", toxicity.TWICE_COST if times == 2 else toxicity.AGAIN_COST)] if times > 1 else [])
+            elif sign in toxicity.LOOKS:
+                arcs = [(c, toxicity.WILD_COST if sign == "*" else toxicity.LOOK_COST) for c in toxicity.LOOKS[sign]]
+                arcs.append(("", toxicity.KEEP_COST if times == 1 and sign.isdigit() else toxicity.DROP_COST + (sign != "*")))
+            else:
+                arcs = [("", toxicity.DROP_COST)]
+            found = [(way + letter, price + own) for way, price in found for letter, own in arcs]
+        return found
+
+    for _ in range(60):
+        token = "".join(rng.choice(list("abo01$* -"), rng.integers(1, 8)))
+        prices = {}
+        for way, price in paths(token):
+            prices[way] = min(prices.get(way, math.inf), price + cost_of(way))
+        assert math.isclose(prices[toxicity.decode(token, costs)], min(prices.values()))
+
+
 def test_toxicity_without_labels(spark, odd_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["predicted"] for r in toxicity.judged(odd_docs, none).collect()} <= {0, 1}
