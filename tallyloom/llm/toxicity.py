@@ -150,9 +150,13 @@ def collapsed(word: str) -> str:
 
 
 class Arcs:
-    """Toxic words as arcs of the lattice; ``ordinary`` words are not read otherwise."""
+    """Toxic words as arcs of the lattice; ``ordinary`` words are not read otherwise.
 
-    def __init__(self, toxic: Iterable[str] = (), ordinary: Iterable[str] = ()):
+    ``evidence`` names all features that count; without it every word may matter.
+    """
+
+    def __init__(self, toxic: Iterable[str] = (), ordinary: Iterable[str] = (), evidence: Iterable[str] | None = None):
+        self.starts = None if evidence is None else {collapsed(f.removeprefix("=")) for f in evidence}
         self.toxic = {w for w in toxic if 3 < len(w) <= ARC_LETTERS}
         self.ordinary = frozenset(ordinary)
         self.begins = {w[:k] for w in self.toxic for k in range(1, len(w))}
@@ -164,6 +168,17 @@ class Arcs:
         """Toxic words that differ from ``word`` in repeated letters only."""
         return [] if word in self.ordinary else self.bare.get(collapsed(word), [])
 
+    def matters(self, word: str) -> bool:
+        """Whether leaving out repeated letters of ``word`` can show evidence.
+
+        All such readings share the word's collapsed form, so evidence of one, a word
+        or a beginning, is a beginning of that form when it is collapsed itself.
+        """
+        if word in self.ordinary:
+            return False
+        bare = collapsed(word)
+        return self.starts is None or bare in self.starts or any(bare[:k] in self.starts for k in range(1, STEMS[-1] + 1))
+
     def joined(self, words: list[str]) -> set[str]:
         """Toxic words that two or more neighbouring pieces spell."""
         begins, found = self.begins, set()
@@ -213,16 +228,18 @@ class Reader:
         """The word without marks at its edges as it stands and restored, and with marks that look like letters: ``$tupid``."""
         plain, edged = token.strip(_EDGES), token.strip(_OUTER)
         found = {plain}
-        if odd(plain):
+        if odd(plain) and (not plain.isalpha() or self.arcs.matters(plain)):
             found.add(decode(plain, self.costs))
         if edged != plain and odd(edged):
             found.add(decode(edged, self.costs))
-        return found.union(*map(self.arcs.doubled, list(found)))
+        for word in [w for w in found if _AGAIN.search(w)]:
+            found.update(self.arcs.doubled(word))
+        return found
 
     def features(self, token: str) -> tuple[str, ...]:
         found = self.cache.get(token)
         if found is None:
-            words = [w for w in self.readings(token) if w]
+            words = (token,) if token.isalpha() and not _AGAIN.search(token) else [w for w in self.readings(token) if w]
             found = tuple({f for w in words for f in (f"={w}", *(w[:k] for k in STEMS if len(w) > k))})
             if len(self.cache) >= CACHED:
                 self.cache.clear()
@@ -251,7 +268,7 @@ class Model:
     ordinary: frozenset[str] = frozenset()
 
     def reader(self) -> Reader:
-        return Reader(self.costs, Arcs((f[1:] for f in self.evidence if f[0] == "="), self.ordinary))
+        return Reader(self.costs, Arcs((f[1:] for f in self.evidence if f[0] == "="), self.ordinary, self.evidence))
 
     def strongest(self, reader: Reader, memory: dict, text: str) -> tuple[float, float]:
         """The evidence of the two strongest different words."""

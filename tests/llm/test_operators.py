@@ -238,7 +238,9 @@ def test_toxic_arcs_leave_ordinary_words():
     assert arcs.joined("a stu pi d. of".split()) == {"stupid"} and arcs.joined("stu. pid".split()) == set()
     assert arcs.joined("lose r".split()) == set() and arcs.joined("los er".split()) == {"loser"}
     assert arcs.inside("alosershestupidx") == {"loser", "stupid"} and toxicity.Arcs().inside("ab") == set()
-    assert arcs.joined([]) == set() and arcs.inside("") == set()
+    gate = toxicity.Arcs(["stupid"], ["stuub"], ["=stupid", "moro"])
+    assert all(map(gate.matters, ("stuupid", "mmooroonic"))) and not any(map(gate.matters, ("stuub", "mooss", "letter")))
+    assert arcs.matters("letter") and arcs.joined([]) == set() and arcs.inside("") == set()
 
 
 def test_decode_is_the_best_of_all_paths():
