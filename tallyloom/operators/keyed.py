@@ -37,12 +37,17 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str]
     return target.unionByName(one_each.join(target.select(*keys), list(keys), "left_anti").select(*target.columns))
 
 
-def update_by_key(target: DataFrame, changes: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Set ``columns`` of the rows named in ``changes``, which holds one row per key.
-
-    A NULL in ``changes`` is a value like any other and overwrites.
+def update_by_key(
+    target: DataFrame, changes: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str | Column] = ()
+) -> DataFrame:
+    """Set ``columns`` of the rows named in ``changes``; a target row stays one row.
+
+    Where ``changes`` repeats a key, the last row by ``order_by`` and then by the set
+    values counts.  A NULL in ``changes`` is a value like any other and overwrites.  The
+    ranking and the join share one exchange by key.
     """
-    marked = changes.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
+    last = latest_per_key(changes, keys, [*order_by, *columns])
+    marked = last.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
     joined = target.join(marked, list(keys), "left")
     picked = [
         F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)

@@ -89,6 +89,13 @@ def test_update_can_set_null(spark, rows):
     assert rows(keyed.delete_by_key(held, held.where("k = 1"), ["k"])) == [(2, "b")]
 
 
+def test_update_with_repeated_keys_keeps_one_row(spark, rows):
+    held = frame(spark, "k int, v string", (1, "a"), (2, "b"), (2, "c"))
+    changes = frame(spark, "k int, v string, at int", (2, "new", 9), (2, "old", 3), (2, None, 5), (7, "x", 1), (None, "y", 1))
+    assert rows(keyed.update_by_key(held, changes, ["k"], ["v"], ["at"])) == [(1, "a"), (2, "new"), (2, "new")]
+    assert rows(keyed.update_by_key(held, changes, ["k"], ["v"])) == [(1, "a"), (2, "old"), (2, "old")]
+
+
 def test_missing_column(spark, rows):
     df = frame(spark, "k int", (1,))
     assert rows(keyed.add_missing_column(df, "flag", F.lit(0))) == [(1, 0)]
