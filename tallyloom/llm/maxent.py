@@ -1,29 +1,33 @@
 """A hashed maximum-entropy language model with class-factored softmax.
 
 The probability of a word is that of its class after the two words before it, times that
-of the word in its class.  Words fall into groups by the frequent words that they follow
-(k-means over the most frequent words; the others by their letters), and a group's words,
-most frequent first, are cut into classes of equal mass.  Words outside the ``HEAD`` most
-frequent are one class per group, inside which their own smoothed counts, and one share
-for unseen words, apply.
+of its part of the class after the word before, times that of the word in its part.  Words
+fall into groups by the frequent words that they follow (k-means over the most frequent
+words; the others by their endings), a group's words, most frequent first, are cut into
+classes of equal mass, and a class's words into parts in the same way, so that frequent
+words are a part of their own.  Words outside the ``HEAD`` most frequent are one class per
+group, inside which their own smoothed counts, and one share for unseen words, apply.
 
 The class is a softmax over hashed features of the context: the word before (bigram),
-the word before that (skip) and both (trigram), besides a bias.  Words have buckets, so
-what the corpus says about contexts is a table of counts, gathered by all tasks; the
-weights are then fitted by gradient steps that tasks compute on their part of the table
-and the driver adds up.  The head's words and the weights have a fixed size and travel
-to every task; the counts of the other words are joined.
+the word before that (skip) and both (trigram), besides a bias.  The part is a softmax of
+its class over the word before, whose buckets grow with the training text up to ``INNER``.
+What the corpus says about contexts is a table of counts, gathered by all tasks.  The
+weights of classes are fitted by gradient steps that tasks compute on their part of the
+table and the driver adds up; those of parts by steps of one task per class, as classes do
+not share them.  The head's words and the weights have a bounded size and travel to every
+task; the counts of the other words are joined.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,14 +39,17 @@ CLASSES = 64  # the last GROUPS of them are those of the words outside the head
 GROUPS = 6
 PER_GROUP = (CLASSES - GROUPS) // GROUPS
 NEIGHBOURS, PLACED = 32, 1 << 14  # words grouped by their neighbours, and the neighbours that count
-LETTERS = 1 << 10  # hashed letter pairs
+PARTS = 64  # parts of a class
+INNER = 1 << 12  # the most buckets of the word before, for the parts
+PER_BUCKET = 1 << 17  # training tokens for each such bucket
 OWN = 63  # so many words have a context bucket of their own, the others that of their class
 BEFORE = OWN + CLASSES + 1  # buckets of the word before; the last is the text's begin
 SKIP = CLASSES + 1
 PAIRS = 1 << 12  # hashed trigram features
 ALPHA = 0.1
-STEPS, RATE, RIDGE, MOST = 12, 0.3, 5.0, 1.0
-FLUSH = 300_000  # different words a task counts before it passes them on
+STEPS, RATE, RIDGE, PART_RIDGE, MOST = 12, 0.3, 5.0, 20.0, 1.0
+FLUSH = 300_000  # rows that a task passes on at a time
+PIECE = 1 << 21  # characters whose words a task holds at a time; a longer text is a piece of its own
 END = b""  # no word is empty
 _STEP = 1.1  # width of the frequency bins that find the head
 
@@ -51,25 +58,57 @@ def held_out(key: str, folds: int = 10) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % folds == 0, F.lit(False))
 
 
-def tokens(text: str) -> list[bytes]:
-    words = text.encode().lower().split()
-    words.append(END)
-    return words
+@dataclass
+class Tokens:
+    """The words of a batch of texts, one after the other; a text is its words and one end."""
+
+    words: pa.Array
+    text: np.ndarray  # the text of each word
+    count: int  # texts
+
+    @classmethod
+    def of(cls, texts: pd.Series) -> Tokens:
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string(), from_pandas=True)))
+        words, offsets = lists.flatten().cast(pa.large_binary()), lists.offsets.to_numpy()
+        text = np.repeat(np.arange(len(texts)), np.diff(offsets))
+        kept = pc.greater(pc.binary_length(words), 0)
+        return cls(words.filter(kept), text[kept.to_numpy(zero_copy_only=False)], len(texts))
+
+    def found(self, head: pa.Array, other: int) -> np.ndarray:
+        """The place of each word in ``head``, or ``other``."""
+        return pc.fill_null(pc.index_in(self.words, value_set=head), other).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def with_ends(self, ids: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words with an end after each text, and where each text starts."""
+        out = np.full(len(ids) + self.count, end, np.int64)
+        out[np.arange(len(ids)) + self.text] = ids
+        starts = np.arange(self.count)
+        starts[1:] += np.cumsum(np.bincount(self.text, minlength=self.count))[:-1]
+        return out, starts
+
+
+def pieces(texts: pd.Series) -> Iterator[pd.Series]:
+    """The texts of a batch in order, a bounded number of characters at a time."""
+    sizes = texts.str.len().to_numpy(np.int64)
+    piece = (np.cumsum(sizes) - sizes) // PIECE
+    for one in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(piece)) + 1):
+        if len(one):
+            yield texts.iloc[one[0] : one[-1] + 1]
+    pa.default_memory_pool().release_unused()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """``(word, n)`` over all of ``text``; words as binary."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
         for frame in frames:
-            for text in frame["text"]:
-                seen.update(tokens(text))
-                if len(seen) >= FLUSH:
-                    yield pd.DataFrame({"word": list(seen.keys()), "n": list(seen.values())})
-                    seen = Counter()
-        if seen:
-            yield pd.DataFrame({"word": list(seen.keys()), "n": list(seen.values())})
+            seen = [pa.table({"word": _array([END]), "n": pa.array([len(frame)], pa.int64())})]
+            for piece in pieces(frame["text"]):
+                found = pc.value_counts(Tokens.of(piece).words)
+                seen.append(pa.table({"word": found.field("values"), "n": found.field("counts")}))
+            merged = pa.concat_tables(seen).group_by("word").aggregate([("n", "sum")])
+            for some in merged.to_batches(max_chunksize=FLUSH):
+                yield pd.DataFrame({"word": some["word"].to_pylist(), "n": some["n_sum"].to_numpy()})
 
     return docs.select(whole("text").alias("text")).mapInPandas(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -86,21 +125,23 @@ def _head_limit(counts: DataFrame, head: int) -> int:
     return limit if limit is not None else 1 << 62
 
 
-def _head_ids(words: list[bytes]):
-    return {w: i for i, w in enumerate(words)}.get
+def _array(words: list[bytes]) -> pa.Array:
+    return pa.array(words, pa.large_binary())
 
 
 def neighbour_counts(docs: DataFrame, shared) -> DataFrame:
     """``(at, n)``: how often each of the PLACED first words follows each of the NEIGHBOURS first; ``at`` joins both."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get, total = _head_ids(shared.value), np.zeros(PLACED * NEIGHBOURS, np.int64)
-        for frame in frames:
-            for text in frame["text"]:
-                toks = tokens(text)
-                ids = np.fromiter(map(get, toks, repeat(PLACED)), np.int64, len(toks))
-                pair = (ids[:-1] < NEIGHBOURS) & (ids[1:] < PLACED)
-                np.add.at(total, ids[1:][pair] * NEIGHBOURS + ids[:-1][pair], 1)
+        total = np.zeros(PLACED * NEIGHBOURS, np.int64)
+        head, end = _array(shared.value), _place(shared.value, PLACED)
+        for piece in (piece for frame in frames for piece in pieces(frame["text"])):
+            toks = Tokens.of(piece)
+            ids, starts = toks.with_ends(toks.found(head, PLACED), end)
+            before = np.append(PLACED, ids[:-1])
+            before[starts] = PLACED
+            pair = (before < NEIGHBOURS) & (ids < PLACED)
+            total += np.bincount(ids[pair] * NEIGHBOURS + before[pair], minlength=len(total))
         at = np.flatnonzero(total)
         yield pd.DataFrame({"at": at, "n": total[at]})
 
@@ -108,6 +149,11 @@ def neighbour_counts(docs: DataFrame, shared) -> DataFrame:
     return counted.groupBy("at").agg(F.sum("n").alias("n"))
 
 
+def _place(words: list[bytes], other: int) -> int:
+    """The place of the end among words, or ``other``."""
+    return words.index(END) if END in words else other
+
+
 def grouped(followed: np.ndarray) -> np.ndarray:
     """The group of each word by k-means over the shares of its neighbours; -1 for words seen after too few."""
     total = followed.sum(axis=1)
@@ -128,83 +174,118 @@ def grouped(followed: np.ndarray) -> np.ndarray:
     return out
 
 
-def _pairs(word: bytes) -> np.ndarray:
-    raw = np.frombuffer(b" " + word + b" ", np.uint8).astype(np.int64)
-    return (raw[:-1] * 37 + raw[1:] * 11) % LETTERS
-
-
 @dataclass
-class Letters:
-    """Sorts words into groups by their letter pairs."""
+class Endings:
+    """Sorts words into groups by their first, inner or last three bytes, whichever tells the group best."""
 
-    costs: np.ndarray
+    first: dict[bytes, tuple[float, int]]
+    inner: dict[bytes, tuple[float, int]]
+    last: dict[bytes, tuple[float, int]]
+    most: tuple[float, int]
 
     @classmethod
-    def of(cls, words: list[bytes], groups: np.ndarray) -> Letters:
-        seen = np.full((LETTERS, GROUPS), 0.5)
+    def of(cls, words: list[bytes], groups: np.ndarray) -> Endings:
+        seen: tuple[dict[bytes, np.ndarray], ...] = ({}, {}, {})
+        total = np.zeros(GROUPS, np.int64)
         for word, group in zip(words, groups.tolist(), strict=False):
             if group >= 0:
-                seen[_pairs(word), group] += 1
-        return cls(np.log(seen / seen.sum(axis=0)))
+                total[group] += 1
+                for own, piece in zip(seen, (word[:3], word[2:5], word[-3:]), strict=True):
+                    own.setdefault(piece, np.zeros(GROUPS, np.int64))[group] += 1
+        sure = [{piece: ((n.max() + 0.5) / (n.sum() + GROUPS / 2), int(n.argmax())) for piece, n in own.items()} for own in seen]
+        return cls(*sure, (0.0, int(total.argmax())))
 
     def group(self, word: bytes) -> int:
-        return int(self.costs[_pairs(word)].sum(axis=0).argmax())
+        most = self.most
+        return max(self.first.get(word[:3], most), self.inner.get(word[2:5], most), self.last.get(word[-3:], most))[1]
 
 
 @dataclass
 class Vocabulary:
-    """The head: words by falling count, their classes and what a word has in its class."""
+    """The head: words by falling count, their classes and parts, and what a word has in its class and in its part."""
 
     words: list[bytes]
     counts: np.ndarray
-    letters: Letters
+    endings: Endings
     classes: np.ndarray
     in_class: np.ndarray
+    parts: np.ndarray
+    in_part: np.ndarray
     base: np.ndarray
+    buckets: int
+
+    def __post_init__(self):
+        half, ids = self.buckets // 2, np.arange(len(self.classes))
+        self.outer_before = np.where(ids < OWN, ids, OWN + self.classes)
+        self.inner_before = np.where(ids < half, ids, half + mixed(ids) % (half - 1))
+        self.end = _place(self.words, len(self.words) + self.endings.group(END))
 
-    def read(self, toks: list[bytes], get, known: dict[bytes, int]) -> np.ndarray:
-        """Ids of tokens: those of the head, then one for each group of other words."""
+    def read(self, toks: Tokens, head: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of tokens, those of the head or one for each group of other words, and where each text starts."""
         size = len(self.words)
-        ids = np.fromiter(map(get, toks, repeat(size)), np.int64, len(toks))
-        for i in np.flatnonzero(ids == size).tolist():
-            group = known.get(toks[i])
-            if group is None:
-                if len(known) >= FLUSH:
-                    known.clear()
-                group = known[toks[i]] = self.letters.group(toks[i])
-            ids[i] = size + group
-        return ids
+        ids = toks.found(head, size)
+        other = np.flatnonzero(ids == size)
+        rest = toks.words.take(pa.array(other)).dictionary_encode()
+        groups = np.fromiter(map(self.endings.group, rest.dictionary.to_pylist()), np.int64, len(rest.dictionary))
+        ids[other] += groups[rest.indices.to_numpy()]
+        return toks.with_ends(ids, self.end)
+
+    def contexts(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The context number of each place: bucket of the word before and class of the one before that."""
+        before, skip = np.append(0, self.outer_before[ids[:-1]]), np.append([0, 0], self.classes[ids[:-2]])[: len(ids)]
+        before[starts] = BEFORE - 1
+        skip[starts] = SKIP - 1
+        skip[np.minimum(starts + 1, len(ids) - 1)] = SKIP - 1  # the end of an empty text is its start
+        return before * SKIP + skip
+
+    def inner_contexts(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """For each place its class and the bucket of the word before: frequent words have one alone, a text's begin the last."""
+        before = np.append(0, self.inner_before[ids[:-1]])
+        before[starts] = self.buckets - 1
+        return self.classes[ids] * self.buckets + before
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.int64)
+
+
+def buckets(n_all: int) -> int:
+    """Buckets of the word before: a power of two, one for each PER_BUCKET training tokens."""
+    return min(INNER, max(64, 1 << max(0, n_all // PER_BUCKET).bit_length()))
+
+
+def cut(counts: np.ndarray, pieces: int) -> np.ndarray:
+    """The piece of each word, by falling count, when they are cut into pieces of about equal mass."""
+    mass = np.cumsum(counts) - counts / 2
+    return np.minimum(pieces - 1, (mass / max(1, counts.sum()) * pieces).astype(np.int64))
 
 
 def vocabulary(words: list[bytes], counts: np.ndarray, groups: np.ndarray, n_all: int, n_words: int) -> Vocabulary:
     """``words`` by falling count; ``groups`` of the first ones, -1 where unknown."""
-    letters = Letters.of(words, groups)
-    group = np.array([g if g >= 0 else letters.group(w) for w, g in zip(words, [*groups.tolist(), *repeat(-1, len(words))], strict=False)], np.int64)
-    classes, smooth = np.zeros(len(words), np.int64), counts + ALPHA
+    endings = Endings.of(words, groups)
+    group = np.array([g if g >= 0 else endings.group(w) for w, g in zip(words, [*groups.tolist(), *repeat(-1, len(words))], strict=False)], np.int64)
+    classes, parts, smooth = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), counts + ALPHA
     for g in range(GROUPS):
         own = np.flatnonzero(group == g)
-        mass = np.cumsum(counts[own]) - counts[own] / 2
-        classes[own] = g * PER_GROUP + np.minimum(PER_GROUP - 1, (mass / max(1, counts[own].sum()) * PER_GROUP).astype(np.int64))
+        classes[own] = g * PER_GROUP + cut(counts[own], PER_GROUP)
+    for c in range(CLASSES - GROUPS):
+        own = np.flatnonzero(classes == c)
+        parts[own] = cut(counts[own], PARTS)
     sums = np.bincount(classes, weights=smooth, minlength=CLASSES)
     in_class = np.log10(smooth / sums[classes]) if len(words) else np.zeros(0)
+    place = classes * PARTS + parts
+    in_part = np.log10(smooth / np.bincount(place, weights=smooth)[place]) if len(words) else np.zeros(0)
     base = np.log10(smooth / (n_all + ALPHA * (n_words + 1)))
-    outside = CLASSES - GROUPS + np.arange(GROUPS)
-    return Vocabulary(words, counts, letters, np.append(classes, outside), np.append(in_class, np.zeros(GROUPS)), np.append(base, np.zeros(GROUPS)))
-
-
-def contexts(ids: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """The context number of each place: bucket of the word before and class of the one before that."""
-    n = len(ids)
-    before = np.full(n, BEFORE - 1, np.int64)
-    before[1:] = np.where(ids[:-1] < OWN, ids[:-1], OWN + classes[ids[:-1]])
-    skip = np.full(n, SKIP - 1, np.int64)
-    skip[2:] = classes[ids[:-2]]
-    return before * SKIP + skip
+    outside, none = CLASSES - GROUPS + np.arange(GROUPS), np.zeros(GROUPS)
+    return Vocabulary(
+        words, counts, endings, np.append(classes, outside), np.append(in_class, none),
+        np.append(parts, none.astype(np.int64)), np.append(in_part, none), np.append(base, none), buckets(n_all),
+    )
 
 
 def pair_feature(context: np.ndarray) -> np.ndarray:
-    x = (context.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    return ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(52)).astype(np.int64) % PAIRS
+    return mixed(context) % PAIRS
 
 
 def features(context: np.ndarray) -> np.ndarray:
@@ -213,6 +294,7 @@ def features(context: np.ndarray) -> np.ndarray:
 
 
 N_FEATURES = 1 + BEFORE + SKIP + PAIRS
+OUTER = BEFORE * SKIP * CLASSES  # cells of classes after contexts
 
 
 def log_shares(weights: np.ndarray, context: np.ndarray) -> np.ndarray:
@@ -223,21 +305,58 @@ def log_shares(weights: np.ndarray, context: np.ndarray) -> np.ndarray:
 
 
 def context_counts(docs: DataFrame, shared) -> DataFrame:
-    """``(context, class, n)`` over all of ``text``."""
+    """``(at, n)`` over all of ``text``: classes after their contexts, and from ``OUTER`` on parts after theirs."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own: Vocabulary = shared.value
-        get, known = _head_ids(own.words), {}
-        total = np.zeros(BEFORE * SKIP * CLASSES, np.int64)
-        for frame in frames:
-            for text in frame["text"]:
-                ids = own.read(tokens(text), get, known)
-                np.add.at(total, contexts(ids, own.classes) * CLASSES + own.classes[ids], 1)
+        head = _array(own.words)
+        total = np.zeros(OUTER + CLASSES * own.buckets * PARTS, np.int32)
+        for piece in (piece for frame in frames for piece in pieces(frame["text"])):
+            ids, starts = own.read(Tokens.of(piece), head)
+            for cells in (
+                own.contexts(ids, starts) * CLASSES + own.classes[ids],
+                OUTER + own.inner_contexts(ids, starts) * PARTS + own.parts[ids],
+            ):
+                at, n = np.unique(cells, return_counts=True)
+                total[at] += n.astype(np.int32)
         at = np.flatnonzero(total)
-        yield pd.DataFrame({"context": at // CLASSES, "class": at % CLASSES, "n": total[at]})
+        for some in np.array_split(at, 1 + len(at) // FLUSH):
+            yield pd.DataFrame({"at": some, "n": total[some].astype(np.int64)})
 
-    counted = docs.select(whole("text").alias("text")).mapInPandas(count, "context long, class long, n long")
-    return counted.groupBy("context", "class").agg(F.sum("n").alias("n"))
+    counted = docs.select(whole("text").alias("text")).mapInPandas(count, "at long, n long")
+    return counted.groupBy("at").agg(F.sum("n").alias("n"))
+
+
+def fit_parts(table: DataFrame, buckets: int, steps: int = STEPS) -> np.ndarray:
+    """Base-10 logarithms of a part's probability, by class and bucket; ``table`` holds ``(class, bucket, part, n)``.
+
+    Each class is fitted by one task, on at most ``buckets * PARTS`` rows: a bias and a weight per bucket.
+    """
+
+    def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        seen = np.zeros((buckets, PARTS))
+        seen[rows["bucket"].to_numpy(np.int64), rows["part"].to_numpy(np.int64)] = rows["n"].to_numpy(float)
+        used = np.flatnonzero(seen.sum(axis=0))  # a part without words has no share
+        seen = seen[:, used]
+        total, weights = seen.sum(axis=1, keepdims=True), np.zeros_like(seen)
+        bias = np.log(seen.sum(axis=0) / seen.sum())
+        for step in range(steps + 1):
+            logits = bias + weights
+            logits -= logits.max(axis=1, keepdims=True)
+            shares = logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+            if step < steps:
+                share = np.exp(shares)
+                up, bend = seen - total * share, total * share * (1 - share)
+                weights += RATE * np.clip((up - PART_RIDGE * weights) / (bend + PART_RIDGE), -MOST, MOST)
+        out = np.full((buckets, PARTS), -np.inf, np.float32)
+        out[:, used] = shares / np.log(10)
+        return pd.DataFrame({"class": [key[0]], "shares": [out.tobytes()]})
+
+    found = table.groupBy("class").applyInPandas(one, "class long, shares binary").toArrow()  # one row a class
+    out = np.zeros((CLASSES, buckets, PARTS), np.float32)
+    for c, shares in zip(found["class"].to_pylist(), found["shares"].to_pylist(), strict=True):
+        out[c] = np.frombuffer(shares, np.float32).reshape(buckets, PARTS)
+    return out.reshape(-1, PARTS)
 
 
 def fit(table: DataFrame, steps: int = STEPS) -> np.ndarray:
@@ -303,24 +422,46 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int =
     groups = grouped(followed.reshape(PLACED, NEIGHBOURS))[: len(found)]
     words = vocabulary(found, sizes, groups, n_all, n_words)
     shared = spark.sparkContext.broadcast(words)
-    table = stored(context_counts(training, shared).repartition("context"), "contexts")
-    weights = fit(table, steps)
+    table = stored(context_counts(training, shared), "contexts")
+    outer = table.where(F.col("at") < OUTER).select(F.expr(f"at div {CLASSES}").alias("context"), (F.col("at") % CLASSES).alias("class"), "n")
+    weights = fit(stored(outer.repartition("context"), "outer"), steps)
     shares = log_shares(weights, np.arange(BEFORE * SKIP)).astype(np.float64) / np.log(10)
-    ready = spark.sparkContext.broadcast((words, shares))
+    inner = table.where(F.col("at") >= OUTER).withColumn("at", F.col("at") - OUTER)
+    inner = inner.select(
+        F.expr(f"at div {PARTS * words.buckets}").alias("class"),
+        F.expr(f"at div {PARTS} % {words.buckets}").alias("bucket"),
+        (F.col("at") % PARTS).alias("part"),
+        "n",
+    )
+    part_shares = fit_parts(inner.where(F.col("class") < CLASSES - GROUPS), words.buckets, steps)
+    ready = spark.sparkContext.broadcast((words, shares, part_shares))
 
     @F.pandas_udf("n_tokens long, head long, base double, own double, words array<binary>, times array<int>")
     def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own, shares = ready.value
-        get, size, groups = _head_ids(own.words), len(own.words), {}
+        own, shares, part_shares = ready.value
+        head, size = _array(own.words), len(own.words)
+
+        def one(texts: pd.Series) -> pd.DataFrame:
+            toks = Tokens.of(texts)
+            ids, starts = own.read(toks, head)
+            value = shares[own.contexts(ids, starts), own.classes[ids]] + own.in_part[ids] + part_shares[own.inner_contexts(ids, starts), own.parts[ids]]
+            # Words outside the head, with how often each text has them.
+            other = np.flatnonzero(np.delete(ids, np.append(starts[1:], len(ids)) - 1) >= size)
+            rest = toks.words.take(pa.array(other)).dictionary_encode()
+            different = max(1, len(rest.dictionary))
+            pairs, times = np.unique(toks.text[other] * different + rest.indices.to_numpy(), return_counts=True)
+            words = np.array(rest.dictionary.to_pylist(), object)[pairs % different]
+            cuts = np.searchsorted(pairs // different, np.arange(1, toks.count))
+            rows = {
+                "n_tokens": np.diff(np.append(starts, len(ids))),
+                "head": np.add.reduceat((ids < size).astype(np.int64), starts),
+                "base": np.add.reduceat(own.base[ids], starts),
+                "own": np.add.reduceat(value, starts),
+            }
+            return pd.DataFrame(rows | {"words": [w.tolist() for w in np.split(words, cuts)], "times": np.split(times.astype(np.int32), cuts)})
+
         for texts in batches:
-            rows = []
-            for one in texts:
-                toks = tokens(one)
-                ids = own.read(toks, get, groups)
-                value = shares[contexts(ids, own.classes), own.classes[ids]].sum() + own.in_class[ids].sum()
-                rest = Counter(toks[i] for i in np.flatnonzero(ids >= size).tolist())
-                rows.append((len(toks), int((ids < size).sum()), own.base[ids].sum(), value, list(rest.keys()), list(rest.values())))
-            yield pd.DataFrame(rows, columns=["n_tokens", "head", "base", "own", "words", "times"])
+            yield pd.concat([one(piece) for piece in pieces(texts)], ignore_index=True)
 
     # The row number is fixed once it is written; it tells repeated rows apart.
     rows = docs.withColumns({"_m": measure(whole(text)), "_row": F.monotonically_increasing_id()})
@@ -331,7 +472,7 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int =
     @F.pandas_udf("int")
     def group_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for own in batches:
-            yield own.map(shared.value.letters.group).astype("int32")
+            yield own.map(shared.value.endings.group).astype("int32")
 
     mass = known.groupBy(group_of("word").alias("g")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()  # one row a group
     totals = {g: ALPHA for g in range(GROUPS)} | {r["g"]: r["n"] + ALPHA * (r["words"] + 1) for r in mass}

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -94,6 +95,40 @@ def test_language_model_is_a_distribution():
     assert np.allclose(per_class[per_class > 0], 1)
 
 
+def test_contexts_by_hand():
+    texts = ["the cat saw The\tdog", "", " odd  the", "x", "the the the"]
+    found = [b"", b"the", b"cat", b"dog"]
+    own = maxent.vocabulary(found, np.array([5, 5, 1, 1]), np.array([0, 1, 2, 2]), 12, 6)
+    ids, starts = own.read(maxent.Tokens.of(pd.Series(texts)), maxent._array(found))
+    want, outer, inner = [], [], []
+    for text in texts:
+        one = [found.index(w) if w in found else len(found) + own.endings.group(w) for w in [*text.lower().encode().split(), b""]]
+        want.append(one)
+        for at, word in enumerate(one):
+            before = one[at - 1] if at else None
+            bucket = maxent.BEFORE - 1 if before is None else before if before < maxent.OWN else maxent.OWN + own.classes[before]
+            outer.append(bucket * maxent.SKIP + (own.classes[one[at - 2]] if at > 1 else maxent.SKIP - 1))
+            inner.append(own.classes[word] * own.buckets + (own.buckets - 1 if before is None else own.inner_before[before]))
+    assert ids.tolist() == sum(want, []) and starts.tolist() == np.cumsum([0] + [len(w) for w in want[:-1]]).tolist()
+    assert own.contexts(ids, starts).tolist() == outer and own.inner_contexts(ids, starts).tolist() == inner
+
+
+def test_model_learns_pairs_and_beats_the_base(spark):
+    rng = np.random.default_rng(7)
+    kept = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 10]
+    held = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    pair = lambda i, j: f"first{i:02d} second{j:02d}"
+    draw = lambda: " ".join(pair(i, i) for i in rng.integers(0, 20, 30))
+    rows = [(i, draw()) for i in kept[:600]] + [(i, draw()) for i in held[:30]]
+    rows += [(held[40], " ".join(pair(i, i) for i in range(20))), (held[41], " ".join(pair(i, (i + 7) % 20) for i in range(20)))]
+    got = {r["doc_id"]: r for r in maxent.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    held_rows = [got[i] for i in held[:30]]
+    gain = sum(r["score"] - r["base_score"] for r in held_rows) / sum(r["n_tokens"] for r in held_rows)
+    assert gain > 0.3
+    seen, unseen = got[held[40]], got[held[41]]
+    assert seen["base_score"] == pytest.approx(unseen["base_score"]) and seen["score"] > unseen["score"] + 5
+
+
 # 4 URL lists
 
 
