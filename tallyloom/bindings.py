@@ -99,11 +99,11 @@ def line_id():
     )
 
 
-def order_lines(t: Tables, *parts: str) -> DataFrame:
-    """Order lines with their order's buyer, day and status; ``product`` adds names, brand and category."""
+def bare_lines(t: Tables) -> DataFrame:
+    """Order lines without what is known of their order and product."""
     amount = F.col("l_extendedprice").cast(MONEY)
     discount = (amount * F.col("l_discount").cast("decimal(4,2)")).cast(MONEY)
-    lines = t.lineitem.select(
+    return t.lineitem.select(
         text("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("p_partkey"),
         line_id().alias("order_item_id"),
@@ -113,8 +113,12 @@ def order_lines(t: Tables, *parts: str) -> DataFrame:
         discount.alias("discount_amount"),
         (amount - discount).cast(MONEY).alias("item_pay_amount"),
     )
+
+
+def order_lines(t: Tables, *parts: str) -> DataFrame:
+    """Order lines with their order's buyer, day and status; ``product`` adds names, brand and category."""
     heads = order_heads(t).select("order_id", "shop_id", "buyer_uid", "pay_status", "create_time")
-    lines = lines.join(heads, "order_id")
+    lines = bare_lines(t).join(heads, "order_id")
     if "product" in parts:
         products = t.part.select(
             "p_partkey",

@@ -10,7 +10,7 @@ from tallyloom.plans import marketplace as m
 from tallyloom.registry import sources as raw
 from tallyloom.registry.base import query
 from tallyloom.registry.sql import cents, clock, rounded
-from tallyloom.session import stored, work_path
+from tallyloom.session import exists, move, work_path
 from tallyloom.sources import cdc, events
 from tallyloom.sources.tables import stream_table
 from tallyloom.streaming import revising, windows
@@ -21,22 +21,28 @@ from tallyloom.streaming.run import drain, each_batch, to_files
 BATCHES = 4
 
 
-def replayed(t, df, by, label: str, writer) -> None:
+def replayed(t, df, by, label: str, writer, placed=None) -> None:
     """Run the stream that ``writer`` makes over ``df``, which arrives in ``BATCHES`` micro-batches in the order of ``by``, a number or time.
 
     Slices of about equal size are landed one after the other, each in as many files as
-    Spark writes, and the stream takes each as one batch.
+    Spark writes, and the stream takes each as one batch.  The rows are written once, in a
+    folder a slice; landing a slice renames its folder.  The slices are cut where ``placed``,
+    by default ``df``, says: rows that arrive as those of ``df`` do and cost no joins.
     """
-    place = F.col(by) if isinstance(by, str) else by
-    rows = stored(df.withColumn("_by", place.cast("double")), f"{label}-rows")
-    cuts = sorted(set(rows.approxQuantile("_by", [i / BATCHES for i in range(1, BATCHES)], 0.01)))
-    path, checkpoint = work_path(t.spark, label), work_path(t.spark, "checkpoint")
-    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
-        above = F.lit(True) if low is None else F.col("_by") > low
-        below = F.lit(True) if high is None else F.col("_by") <= high
-        unplaced = F.col("_by").isNull() & F.lit(low is None)
-        rows.where((above & below) | unplaced).drop("_by").write.mode("append").parquet(path)
-        drain(writer(stream_table(t.spark, path, df.schema)), checkpoint)
+    place = (F.col(by) if isinstance(by, str) else by).cast("double")
+    placed = (df if placed is None else placed).select(place.alias("_by"))
+    cuts = sorted(set(placed.approxQuantile("_by", [i / BATCHES for i in range(1, BATCHES)], 0.01)))
+    number = F.lit(0)  # of rows without a place, too
+    for cut in cuts:
+        number = number + F.coalesce((place > cut).cast("int"), F.lit(0))
+    path, checkpoint, waiting = (work_path(t.spark, name) for name in (label, "checkpoint", f"{label}-rows"))
+    df.withColumn("_slice", number).write.partitionBy("_slice").parquet(waiting)
+    for i in range(len(cuts) + 1):
+        if exists(t.spark, f"{waiting}/_slice={i}"):
+            move(t.spark, f"{waiting}/_slice={i}", f"{path}/slice-{i}")
+        else:
+            t.spark.createDataFrame([], df.schema).write.parquet(f"{path}/slice-{i}")
+        drain(writer(stream_table(t.spark, f"{path}/slice-*", df.schema)), checkpoint)
 
 
 @query(
@@ -215,8 +221,8 @@ def stream_changes(t):
 
 # Orders come in two versions: an open order is paid later, a finished one moves to
 # another shop, and an order on its way is called off.
-def revised_orders(t):
-    heads = b.order_heads(t, "shop", "quantity").withColumn("_round", F.explode(F.array(F.lit(0), F.lit(1))))
+def revised_orders(t, *parts: str):
+    heads = b.order_heads(t, *parts).withColumn("_round", F.explode(F.array(F.lit(0), F.lit(1))))
     again, status = F.col("_round") == 1, F.col("order_status")
     moved = ((F.col("order_id").cast("bigint") + 3) % 10).cast("string")
     return heads.withColumns(
@@ -232,13 +238,19 @@ REVISED = """(SELECT * REPLACE (CASE WHEN order_status = 'F' THEN CAST((o_orderk
               FROM heads WHERE order_status <> 'O')"""
 
 
-def revise(t, summary, rows, keys, order_by, by):
-    table = KeyedLog(work_path(t.spark, "rows"), rows.schema, keys, order_by, part=summary.part(revising.YEAR)).open_empty(t.spark)
+def revise(t, summary, rows, keys, order_by, by, placed):
+    """The log holds of each row what the summary and the keys need."""
+    needed = rows.select([c for c in rows.columns if c in {*keys, *order_by, *summary.reads}])
+    table = KeyedLog(work_path(t.spark, "rows"), needed.schema, keys, order_by, part=summary.part(revising.YEAR), gather=False).open_empty(t.spark)
     kept = revising.RevisingSummary(summary, table, work_path(t.spark, summary.table.name), b.PAID)
-    replayed(t, rows, by, "versions", lambda stream: each_batch(stream, kept.process))
+    replayed(t, rows, by, "versions", lambda stream: each_batch(stream, kept.process), placed)
     return kept.result(t.spark)
 
 
+def revise_orders(t, summary):
+    return revise(t, summary, revised_orders(t, "shop", "quantity"), ["order_id"], ["proc_time"], "proc_time", revised_orders(t))
+
+
 @query(
     "stream_upsert_agg",
     ("heads",),
@@ -251,7 +263,7 @@ def revise(t, summary, rows, keys, order_by, by):
         FROM {REVISED} GROUP BY shop_id, order_date""",
 )
 def shops_kept(t):
-    return revise(t, revising.SHOP, revised_orders(t), ["order_id"], ["proc_time"], "proc_time")
+    return revise_orders(t, revising.SHOP)
 
 
 @query(
@@ -264,13 +276,17 @@ def shops_kept(t):
         FROM {REVISED} GROUP BY order_date""",
 )
 def buyers_kept(t):
-    return revise(t, revising.BUYER, revised_orders(t), ["order_id"], ["proc_time"], "proc_time")
+    return revise_orders(t, revising.BUYER)
 
 
 # Lines of large amounts are called off in a second version.
-def revised_lines(t):
+def versions(lines):
     both = F.when(F.col("item_pay_amount") > 40000, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    lines = b.order_lines(t, "product").withColumn("version", F.explode(both))
+    return lines.withColumn("version", F.explode(both))
+
+
+def revised_lines(t):
+    lines = versions(b.order_lines(t, "product"))
     return lines.withColumn("pay_status", F.when(F.col("version") == 2, "UNPAID").otherwise(F.col("pay_status")))
 
 
@@ -282,6 +298,10 @@ def line_arrival():
     return F.col("version") + F.pmod(F.xxhash64(*LINE_KEYS), F.lit(1000)) / 1000
 
 
+def revise_lines(t, summary):
+    return revise(t, summary, revised_lines(t), LINE_KEYS, ["version"], line_arrival(), versions(b.bare_lines(t)))
+
+
 @query(
     "stream_upsert_spu",
     ("lines",),
@@ -292,7 +312,7 @@ def line_arrival():
        FROM lines WHERE pay_status = 'PAID' AND item_pay_amount <= 40000 GROUP BY spu_id, strftime(create_time, '%Y-%m-%d')""",
 )
 def spus_kept(t):
-    return revise(t, revising.SPU, revised_lines(t), LINE_KEYS, ["version"], line_arrival())
+    return revise_lines(t, revising.SPU)
 
 
 @query(
@@ -306,4 +326,4 @@ def spus_kept(t):
        GROUP BY company_category_id, strftime(create_time, '%Y-%m-%d')""",
 )
 def categories_kept(t):
-    return revise(t, revising.CATEGORY, revised_lines(t), LINE_KEYS, ["version"], line_arrival())
+    return revise_lines(t, revising.CATEGORY)

@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.parquet.compression.codec": "zstd",
+    # Compressed files are smaller than what is broadcast; plans are to know.
+    "spark.sql.sources.fileCompressionFactor": "2.0",
     # What a Python worker gets at a time, however long the texts are.
     "spark.sql.execution.arrow.maxBytesPerBatch": "16777216",
 }

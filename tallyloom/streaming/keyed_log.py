@@ -45,14 +45,17 @@ class KeyedLog:
         order_by: Sequence[str],
         by_arrival: bool = False,
         part: str | None = None,
+        gather: bool = True,
     ):
         """``order_by`` goes from old to new; leave it empty when a batch holds one row per key.
 
         ``by_arrival`` lets a later batch win whatever its order says.  ``part`` is the
-        text that batches are partitioned by; all rows of a key must have the same.
+        text that batches are partitioned by; all rows of a key must have the same.  ``gather``
+        moves a batch's rows to their partition for few files; leave it out where the
+        partitions are few and large, as years are, since it moves all rows once more.
         """
         self.path, self.keys, self.by_arrival = path.rstrip("/"), list(keys), by_arrival
-        self.schema, self.order_by, self.part = schema, list(order_by), part
+        self.schema, self.order_by, self.part, self.gather = schema, list(order_by), part, gather
 
     def open(self, rows: DataFrame) -> "KeyedLog":
         """Begin with the rows the table holds already; they count as older than any batch."""
@@ -86,7 +89,7 @@ class KeyedLog:
     def _write(self, rows: DataFrame, batch_id: int) -> None:
         rows = rows.select(*self.schema.names)
         if self.part:
-            rows = layout(rows.withColumn(PART, F.expr(self.part)), [PART])
+            rows = layout(rows.withColumn(PART, F.expr(self.part)), [PART] if self.gather else [])
         write_once(rows, f"{self.path}/batch={batch_id}", [PART] if self.part else [])
 
     def _read(self, spark: SparkSession, path: str, *more: T.StructField) -> DataFrame:
@@ -129,22 +132,22 @@ class KeyedLog:
         """
         parts = self.parts(spark, batch_id) if self.part else None
         rows = self.history(spark, batch_id + 1, parts).join(self.batch(spark, batch_id).select(*self.keys), self.keys, "left_semi")
-        newest = [F.desc_nulls_last(c) for c in self._order()]
         is_new = F.col("batch") == batch_id
-        now = F.row_number().over(Window.partitionBy(*self.keys).orderBy(*newest))
-        before = F.row_number().over(Window.partitionBy(*self.keys, "_is_new").orderBy(*newest))
-        ranked = rows.withColumn("_is_new", is_new).withColumn("_now", now).withColumn("_before", before)
+        newest = Window.partitionBy(*self.keys).orderBy(*[F.desc_nulls_last(c) for c in self._order()])
+        so_far = newest.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        older = F.sum((~is_new).cast("int")).over(so_far)
+        ranked = rows.withColumn("_now", F.row_number().over(newest)).withColumn("_older", older)
         signs = F.array_compact(
             F.array(
                 F.when(F.col("_now") == 1, F.lit(1).cast("bigint")),
-                F.when(~F.col("_is_new") & (F.col("_before") == 1), F.lit(-1).cast("bigint")),
+                F.when(~is_new & (F.col("_older") == 1), F.lit(-1).cast("bigint")),
             )
         )
         return ranked.select(*self.schema.names, F.explode(signs).alias("sign"))
 
     def fold(self, spark: SparkSession, path: str) -> "KeyedLog":
         """A new log at ``path`` that starts from the current rows of this one."""
-        return KeyedLog(path, self.schema, self.keys, self.order_by, self.by_arrival, self.part).open(self.current(spark))
+        return KeyedLog(path, self.schema, self.keys, self.order_by, self.by_arrival, self.part, self.gather).open(self.current(spark))
 
 
 def apply_change_log(log: KeyedLog, spark: SparkSession) -> DataFrame:

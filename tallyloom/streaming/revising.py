@@ -1,8 +1,9 @@
 """Daily summaries kept up to date while rows are added, changed and withdrawn.
 
 A micro-batch looks up the rows it replaces and records only the difference: the
-new rows' amounts added and the old rows' taken away, summed at the grain of the
-distinct counts.  A hot shop therefore costs what its changes cost, not its whole
+new rows' amounts and the old rows' with the opposite sign, cut to the columns that the
+summary needs.  They are summed at the grain of the distinct counts when a group is
+worked out, after one exchange.  A hot shop therefore costs what its changes cost, not its whole
 history.  Distinct counts stay exact because a buyer leaves a group when the count
 of their live rows there reaches zero.
 
@@ -14,14 +15,15 @@ exactly once.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.contracts import MARKETPLACE, Table, apply_contract
+from tallyloom.contracts import MARKETPLACE, Table
 from tallyloom.functions.scalars import ratio
 from tallyloom.operators.filters import filter_paid
 from tallyloom.sinks.tables import layout, write_once
@@ -48,6 +50,12 @@ class Summary:
         """The expression that partitions its rows by ``DAY``, ``MONTH`` or ``YEAR``; take the shortest that holds some megabytes a batch."""
         return f"left({self.stat_date}, {span})"
 
+    @property
+    def reads(self) -> set[str]:
+        """The columns of its rows that it needs."""
+        expressions = " ".join([self.stat_date, *self.sums.values()])
+        return {*self.table.keys, *self.names, *self.distinct.values(), "pay_status", *re.findall(r"\w+", expressions)}
+
     @property
     def grain(self) -> list[str]:
         seen = [*self.table.keys, *self.names, *self.distinct.values()]
@@ -120,7 +128,7 @@ class RevisingSummary:
             self.published.open_empty(spark)
         self.rows.append(batch, batch_id)
         changes = self._amounts(self.rows.replaced(spark, batch_id))
-        self._record(self._net(changes), self.path, batch_id)
+        self._record(changes, self.path, batch_id)
         self._publish(spark, batch_id)
 
     def result(self, spark: SparkSession) -> DataFrame:
@@ -130,64 +138,75 @@ class RevisingSummary:
     def fold(self, spark: SparkSession, path: str) -> "RevisingSummary":
         """The same summary at a new path, its batches so far merged into one; the stream goes on with it."""
         folded = RevisingSummary(self.summary, self.rows.fold(spark, f"{path}/rows"), path, self.paid)
-        net = self._net(self._changes(spark).drop("batch", PART)).where("_rows <> 0")
-        self._record(net, folded.path, -1)
+        current = folded.rows.current(spark).withColumn("sign", F.lit(1).cast("bigint"))
+        self._record(folded._amounts(current), folded.path, -1)
         folded.published.open(self.published.current(spark).where("live"))
         return folded
 
-    def _record(self, net: DataFrame, path: str, batch_id: int) -> None:
+    def _record(self, changes: DataFrame, path: str, batch_id: int) -> None:
         folder = f"{path}/changes/batch={batch_id}"
         if self.rows.part:
-            write_once(layout(net.withColumn(PART, F.left(DATE, F.lit(self.span))), [PART]), folder, [PART])
+            dated = changes.withColumn(PART, F.left(DATE, F.lit(self.span)))
+            write_once(layout(dated, [PART] if self.rows.gather else []), folder, [PART])
         else:
-            write_once(net, folder)
+            write_once(changes, folder)
 
     def _changes(self, spark: SparkSession) -> DataFrame:
         """All recorded differences with their ``batch``."""
         none = spark.createDataFrame([], T.StructType([*self.rows.schema, T.StructField("sign", T.LongType())]))
-        schema = self._net(self._amounts(none)).schema
+        schema = self._amounts(none).schema
         part = [T.StructField(PART, T.StringType())] if self.rows.part else []
         return spark.read.schema(T.StructType([*schema, *part, T.StructField("batch", T.LongType())])).parquet(f"{self.path}/changes")
 
     def _amounts(self, rows: DataFrame) -> DataFrame:
-        """Rows reduced to the grain and signed amounts; each amount comes with its count of values."""
+        """Rows reduced to the columns of the grain, their sign and signed amounts."""
         dated = filter_paid(rows, self.paid).withColumn(DATE, F.expr(self.summary.stat_date))
         columns: list[Column | str] = [*self.summary.grain, F.col("sign").alias("_rows")]
         for name, expression in self.summary.sums.items():
             value = F.expr(expression)
-            columns.append((F.coalesce(value, F.lit(0)) * F.col("sign")).alias(name))
-            columns.append(F.when(value.isNull(), 0).otherwise(F.col("sign")).alias(f"_n_{name}"))
+            columns.append(F.when(F.col("sign") < 0, -value).otherwise(value).alias(name))
         return dated.select(*columns)
 
     def _net(self, changes: DataFrame) -> DataFrame:
-        sums = ["_rows", *[c for name in self.summary.sums for c in (name, f"_n_{name}")]]
-        totals = [
-            F.sum(c).cast("decimal(38,2)" if isinstance(changes.schema[c].dataType, T.DecimalType) else "bigint").alias(c)
-            for c in sums
-        ]
+        """Changes summed at the grain; each amount comes with its count of values."""
+        totals = [F.sum("_rows").alias("_rows"), F.max("_new").alias("_new")]
+        for name in self.summary.sums:
+            kind = "decimal(38,2)" if isinstance(changes.schema[name].dataType, T.DecimalType) else "bigint"
+            totals.append(F.coalesce(F.sum(name).cast(kind), F.lit(0).cast(kind)).alias(name))
+            totals.append(F.sum(F.when(F.col(name).isNull(), 0).otherwise(F.col("_rows"))).alias(f"_n_{name}"))
         return changes.groupBy(*self.summary.grain).agg(*totals)
 
     def _publish(self, spark: SparkSession, batch_id: int) -> None:
-        """Work out the groups this batch touched and publish them; a group without rows is withdrawn."""
-        keys = list(self.summary.table.keys)
-        changes = self._changes(spark).where(F.col("batch") <= batch_id)
+        """Work out the groups this batch touched and publish them; a group without rows is withdrawn.
+
+        The changes move once, to a place where all sums and counts of their group can be
+        taken.  With one distinct count that is the place of the group and the counted value, so a
+        hot group is spread; with more it is the place of the group, one day's part of the table.
+        """
+        keys, counted = self.summary.table.keys, set(self.summary.distinct.values())
+        changes = self._changes(spark).where(F.col("batch") <= batch_id).dropna(subset=list(keys))
         if self.rows.part:
             changes = changes.where(of_parts(self.rows.parts(spark, batch_id)))
-        touched = changes.where(F.col("batch") == batch_id).select(*keys).distinct()
-        matched = changes.join(touched, keys, "left_semi")
-        groups = self._finish(self._net(matched).where("_rows > 0"))
-        rows = touched.join(groups.withColumn("live", F.lit(True)), keys, "left").fillna({"live": False})
-        self.published.append(rows, batch_id)
+        marked = changes.withColumn("_new", F.col("batch") == batch_id).drop("batch", PART)
+        placed = marked.repartition(*keys, *(counted if len(counted) == 1 else ()))
+        self.published.append(self._finish(self._net(placed)), batch_id)
 
     def _finish(self, net: DataFrame) -> DataFrame:
+        """The figures of each group of ``net`` with a new change; one without live rows has ``live`` false."""
         s = self.summary
-        figures = [F.max(c).alias(c) for c in s.names]
-        figures += [F.count_distinct(c).alias(out) for out, c in s.distinct.items()]
-        figures += [F.when(F.sum(f"_n_{c}") > 0, F.sum(c)).alias(c) for c in s.sums]
+        live = F.col("_rows") > 0
+        firsts = {}
+        for out, c in s.distinct.items():  # a value counts at the first of its live rows
+            order = Window.partitionBy(*s.table.keys, c).orderBy(live.desc())
+            firsts[f"_first_{out}"] = ((F.row_number().over(order) == 1) & live & F.col(c).isNotNull()).cast("bigint")
+        figures = [F.max("_new").alias("_new"), F.max(live).alias("live")]
+        figures += [F.max(F.when(live, F.col(c))).alias(c) for c in s.names]
+        figures += [F.sum(f"_first_{out}").alias(out) for out in s.distinct]
+        figures += [F.when(F.sum(F.when(live, F.col(f"_n_{c}"))) > 0, F.sum(F.when(live, F.col(c)))).alias(c) for c in s.sums]
         if s.rows:
-            figures.append(F.sum("_rows").alias(s.rows))
-        totals = net.groupBy(*s.table.keys).agg(*figures)
+            figures.append(F.sum(F.when(live, F.col("_rows"))).alias(s.rows))
+        totals = net.withColumns(firsts).groupBy(*s.table.keys).agg(*figures).where("_new")
         totals = totals.withColumns(
             {out: ratio(a, b, 2) for out, (a, b) in s.ratios.items()} | {out: F.col(c) for out, c in s.copies.items()}
         )
-        return apply_contract(totals, s.table)
+        return totals.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.published.schema))

@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.session import work_path
+from tallyloom.plans import marketplace
+from tallyloom.registry import streams
+from tallyloom.session import exists, folders, shared_folder, work_path
 from tallyloom.sinks.tables import write_once
 from tallyloom.sources import events, tables
 from tallyloom.streaming import revising, run, windows
@@ -155,3 +157,54 @@ def test_a_folder_is_written_whole_and_once(spark, rows):
         write_once(spark.range(2).select(F.raise_error(F.lit("boom")).alias("id")), path.replace("=3", "=4"))
     assert not Path(path.replace("=3", "=4")).exists()
     assert rows(spark.read.parquet(str(Path(path).parent)).select("id")) == [(0,), (1,), (2,)]
+
+
+def test_a_replayed_table_is_written_once(spark, rows):
+    """Four slices in the order of arrival, rows without a place first, from one copy of the rows."""
+    schema = T.StructType.fromDDL("id int, at int")
+    df = spark.createDataFrame([(i, None if i % 10 == 9 else 100 - i) for i in range(40)], schema)
+    seen, before = {}, set(folders(spark, shared_folder(spark))) if exists(spark, shared_folder(spark)) else set()
+    holder = type("Tables", (), {"spark": spark})
+    streams.replayed(holder, df, "at", "slices", lambda stream: run.each_batch(stream, lambda batch, n: seen.setdefault(n, rows(batch))))
+    assert sorted((r for batch in seen.values() for r in batch), key=str) == rows(df)
+    assert len(seen) == 4 and {r[0] for r in seen[0]} >= {9, 19, 29, 39}
+    placed = [[at for _, at in seen[n] if at is not None] for n in range(4)]
+    assert all(max(a) < min(b) for a, b in zip(placed, placed[1:]))
+    written = 0
+    for name in set(folders(spark, shared_folder(spark))) - before:
+        if name.startswith("slices"):
+            path = f"{shared_folder(spark)}/{name}"
+            written += spark.read.option("recursiveFileLookup", True).schema(schema).parquet(path).count()
+    assert written == df.count()
+
+
+def test_an_empty_table_is_replayed(spark):
+    seen = []
+    holder = type("Tables", (), {"spark": spark})
+    df = spark.createDataFrame([], "id int, at int")
+    streams.replayed(holder, df, "at", "nothing", lambda stream: run.each_batch(stream, lambda batch, n: seen.append(batch.count())))
+    assert sum(seen) == 0
+
+
+def test_groups_are_published_after_one_exchange(spark, monkeypatch):
+    """What a batch publishes moves its changes once, however many distinct counts a group has."""
+    schema = T.StructType.fromDDL(
+        "order_id string, order_item_id string, spu_id string, spu_name string, brand string, buyer_uid string, quantity int, "
+        "item_pay_amount decimal(16,2), discount_amount decimal(16,2), pay_status string, create_time timestamp, version int"
+    )
+    lines = [(f"o{i % 5}", f"i{i % 7}", f"p{i % 2}", "n", "b", None if i % 3 else f"b{i % 4}", None if i % 2 else 1, Decimal(i), None, "PAID", START, 1) for i in range(20)]
+    lines += [("o9", "i1", None, "n", "b", "b1", 1, Decimal(1), None, "PAID", START, 1)]
+    log = KeyedLog(work_path(spark, "rows"), schema, ["order_id", "order_item_id"], ["version"], part=revising.SPU.part(revising.YEAR), gather=False)
+    kept = revising.RevisingSummary(revising.SPU, log.open_empty(spark), work_path(spark, "spu"), ("PAID",))
+    plans = []
+    append = kept.published.append
+    monkeypatch.setattr(kept.published, "append", lambda rows, n: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), append(rows, n)))
+    kept.process(spark.createDataFrame(lines, schema), 0)
+    assert plans[0].count("Exchange hashpartitioning") == 1 and "Expand" not in plans[0]
+    latest = log.current(spark).where("spu_id IS NOT NULL")
+    again = marketplace.dws_spu_daily_sales(latest, ("PAID",), keyed=False)
+    assert sorted(map(tuple, kept.result(spark).collect()), key=str) == sorted(map(tuple, again.collect()), key=str)
+    kept.process(spark.createDataFrame([(*x[:9], "UNPAID", START, 2) for x in lines if x[2] == "p0"], schema), 1)
+    latest = log.current(spark).where("spu_id IS NOT NULL")
+    again = marketplace.dws_spu_daily_sales(latest, ("PAID",), keyed=False)
+    assert sorted(map(tuple, kept.result(spark).collect()), key=str) == sorted(map(tuple, again.collect()), key=str)
