@@ -24,10 +24,11 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by
     """Merge by key: every incoming key replaces the target's row; the last incoming row wins.
 
     The target is read once and never ranked: it is keyed already.  When the
-    incoming side is small the anti join is a broadcast and the target does not move.
+    incoming side is small the anti join is a broadcast and the target does not move.  The
+    join needs no more than the incoming keys, which are not ranked for it.
     """
     fresh = latest_per_key(incoming, keys, order_by)
-    kept = target.join(fresh.select(*keys), list(keys), "left_anti")
+    kept = target.join(incoming.select(*keys), list(keys), "left_anti")
     return kept.unionByName(fresh.select(*target.columns))
 
 

@@ -632,3 +632,16 @@ def test_line_summaries_count_alike_with_and_without_keys(spark, rows):
         assert rows(summary(df, ("PAID",))) == rows(summary(df, ("PAID",), keyed=False))
         plan = summary(df, ("PAID",))._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_ingest_decodes_its_messages_once(spark, monkeypatch):
+    """The order table and what arrives share one decoded copy, and the join ranks no message."""
+    from tallyloom.registry import sources as raw
+
+    message = '{"order_id": "%s", "total_quantity": %d, "create_time": "2024-01-0%dT00:00:00"}'
+    texts = [(message % (k, n, n),) for k, n in [("a", 1), ("a", 2), ("b", 3)]] + [(message.replace('"%s"', "null") % (1, 4),), ("no json",)]
+    monkeypatch.setattr(raw, "raw_messages", lambda t: spark.createDataFrame(texts, "value string"))
+    found = raw.ingest(None)
+    assert sorted((str(r.order_id), r.total_quantity, r.pay_status) for r in found.collect()) == [("None", 1, "PAID"), ("None", 1, "UNPAID"), ("a", 2, "PAID"), ("b", 3, "PAID")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan and plan.count("Window [") <= 2  # one in the final plan, one in the initial
