@@ -33,7 +33,8 @@ SHINGLE = 4
 BITS = 4
 SEED = 42
 HUBS = 8
-ROUNDS = 3  # of other hubs for keys with more fingerprints than that
+ROUNDS = 3  # of other hubs for keys with more nodes than that
+PRINT_ROUNDS = 1  # the same for fingerprints, whose pairs cost less to compare than a round does
 PLACE = 32  # bits of a key that hold the segment's value
 AT_ONCE = 200_000  # shingles counted at a time within one text
 
@@ -91,13 +92,13 @@ def _signed(mask: int) -> Column:
 
 
 def variants(prints: DataFrame, bits: int = BITS) -> DataFrame:
-    """``(_key, p)``: every fingerprint under each segment with one of its bits left out; the key begins with that bit."""
+    """``prints`` with ``_key``: every fingerprint ``p`` under each segment with one of its bits left out; the key begins with that bit."""
     keys = []
     for low, high, mask in segments(bits):
         for bit in range(low, high):
             kept = F.shiftrightunsigned(F.col("p").bitwiseAND(_signed(mask & ~(1 << bit))), low)
             keys.append(F.lit(bit << PLACE).bitwiseOR(kept))
-    return prints.select("p", F.explode(F.array(*keys)).alias("_key"))
+    return prints.select("*", F.explode(F.array(*keys)).alias("_key"))
 
 
 def linked(a: str, b: str, bits: int) -> Column:
@@ -116,12 +117,17 @@ def _joined(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(roots, rows["p"] == roots["node"]).drop("node").withColumnRenamed("root", "c")
 
 
+def _mixed(placed: DataFrame) -> DataFrame:
+    """The rows ``(_key, p, c)`` of keys that hold several components, with the key's largest as ``_main``."""
+    key = Window.partitionBy("_key")
+    sized = placed.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("_key", "c")))
+    ends = {"_main": F.max(F.struct("_n", "c")).over(key)["c"], "_least": F.min("c").over(key), "_most": F.max("c").over(key)}
+    return sized.withColumns(ends).where("_least < _most").drop("_n", "_least", "_most")
+
+
 def _outside(placed: DataFrame) -> DataFrame:
     """The rows ``(_key, hub, _c)`` that are outside the largest component of their key; their other columns get ``_hub`` appended."""
-    sizes = placed.groupBy("_key", "c").agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.groupBy("_key").agg(F.max(F.struct("_n", "c"))["c"].alias("_main"), F.count(F.lit(1)).alias("_parts"))
-    rows = placed.join(largest.where("_parts > 1"), "_key").where("c != _main")
-    return _as_hubs(rows.drop("_main", "_parts"))
+    return _as_hubs(_mixed(placed).where("c != _main").drop("_main"))
 
 
 def _as_hubs(rows: DataFrame) -> DataFrame:
@@ -150,17 +156,23 @@ def classes(prints: DataFrame, bits: int = BITS) -> DataFrame:
     roots = _rooted(prints, near.select(F.col("hub").alias("a"), F.col("p").alias("b")))
 
     sizes = listed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HUBS)
-    large = stored(listed.join(sizes.select("_key"), "_key"), "large")
-    for turn in range(ROUNDS + 1):
-        placed = stored(_joined(large, roots), "placed")
-        outside = stored(_outside(placed), "outside")
-        if outside.isEmpty():
+    keys = stored(sizes.select("_key"), "keys")  # whose pairs are not all compared yet
+    if keys.isEmpty():
+        return roots
+    members = stored(listed.join(keys, "_key", "left_semi").select("p").distinct(), "members")
+    for turn in range(PRINT_ROUNDS + 1):
+        # A fingerprint gets its root before it is listed under its keys, so a crowd is joined once, not once a key.
+        placed = variants(members.join(roots, members["p"] == roots["node"]).select("p", F.col("root").alias("c")), bits)
+        mixed = stored(_mixed(placed.join(keys, "_key", "left_semi").repartition("_key")), "mixed")
+        if mixed.isEmpty():
             break
-        if turn < ROUNDS:  # some of them first; the last turn takes all
+        outside = _as_hubs(mixed.where("c != _main").drop("_main"))
+        if turn < PRINT_ROUNDS:  # some of them first; the last turn takes all
             order = Window.partitionBy("_key").orderBy(F.xxhash64("hub", F.lit(turn)))
             outside = outside.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= HUBS).drop("_n")
-        near = placed.join(outside, "_key").where((F.col("c") != F.col("_c")) & linked("p", "hub", bits))
+        near = mixed.drop("_main").join(outside, "_key").where((F.col("c") != F.col("_c")) & linked("p", "hub", bits))
         roots = _merged(roots, near.select(F.col("c").alias("a"), F.col("_c").alias("b")))
+        keys, members = mixed.select("_key").distinct(), mixed.select("p").distinct()
     return roots
 
 

@@ -490,3 +490,17 @@ def test_decontamination_against_brute_force(spark, odd_docs, no_docs, limit, mo
     assert decontam.contamination(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+
+
+def test_small_links_need_no_round(spark, monkeypatch):
+    """Links that a task holds are contracted, not starred; both ways give the same roots."""
+    from tallyloom.llm import components as parts
+
+    links = spark.createDataFrame([(i, i + 1) for i in range(300) if i % 50] + [(900, 3), (7, 7)], "a long, b long").repartition(6)
+    starred = []
+    star = parts._star
+    monkeypatch.setattr(parts, "_star", lambda links, large: (starred.append(large), star(links, large))[1])
+    quick = sorted(map(tuple, components(links).collect()))
+    assert not starred
+    monkeypatch.setattr(parts, "HELD", 20)
+    assert sorted(map(tuple, components(links).collect())) == quick and starred
