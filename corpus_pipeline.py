@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more)."""
+    """One document of each group of near copies: candidates by SimHash and by minima, five-word shingles of similarity 0.8 or more."""
     return simhash.one_of_each(docs)
 
 

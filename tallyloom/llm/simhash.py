@@ -276,6 +276,12 @@ def parities(own: np.ndarray) -> list[int]:
     return np.packbits(bits.astype(np.uint8)).view(">i8").tolist()
 
 
+def print_keys(held: DataFrame) -> DataFrame:
+    """``(_key, node)``: the class of the fingerprint ``p`` of every ``_node`` of ``held`` as a key."""
+    held = stored(held, "held")
+    return held.join(classes(held.select("p").distinct()).toDF("p", "_root"), "p").select(F.xxhash64(F.lit("print"), "_root").alias("_key"), F.col("_node").alias("node"))
+
+
 def one_of_each(
     docs: DataFrame,
     text: str = "text",
@@ -286,21 +292,23 @@ def one_of_each(
     """``docs`` with one row of each group of near copies: the one with the smallest key (NULL is largest).
 
     A link stands if two sets of ``shingle``-word shingles have a Jaccard ``similarity`` or
-    more.  Candidates are sets that share a key of minima; sizes and parities then rule
-    out only pairs that cannot be as similar.
+    more.  Candidates are sets whose SimHash fingerprints are in one class of links of
+    ``BITS`` bits or fewer, found through deletion variants as by ``near_duplicates``.  Fingerprints of 64 bits
+    meet for the closest copies only, so sets that share a key of minima are candidates too.
+    Sizes and parities rule out only pairs that cannot be as similar.
     Texts without words are one group.  Of repeated rows one stays.
     """
     names = docs.columns
 
-    @F.pandas_udf("_node long, _size int, _keys array<long>, _odd array<long>")
+    @F.pandas_udf("_print long, _node long, _size int, _keys array<long>, _odd array<long>")
     def described(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = []
             for t in texts:
                 own = shingle_set(t, shingle)
                 node = xxhash.xxh64_intdigest(own.tobytes(), SEED) - (1 << 63)
-                rows.append((node, len(own), band_keys(own) if len(own) else [], parities(own)))
-            yield pd.DataFrame(rows, columns=["_node", "_size", "_keys", "_odd"])
+                rows.append((fingerprint(t), node, len(own), band_keys(own) if len(own) else [], parities(own)))
+            yield pd.DataFrame(rows, columns=["_print", "_node", "_size", "_keys", "_odd"])
 
     @F.pandas_udf("array<int>")
     def sets(texts: pd.Series) -> pd.Series:
@@ -309,7 +317,8 @@ def one_of_each(
     printed = stored(docs.withColumn("_b", described(whole(text))).select(*(F.col(f"`{c}`") for c in names), "_b.*"), "printed")
     rank = F.coalesce(F.col(key).cast("long"), F.lit(2**63 - 1))
     nodes = stored(printed.groupBy("_node").agg(F.min(rank).alias("_id"), *(F.first(c).alias(c) for c in ("_size", "_keys", "_odd"))), "nodes")
-    keyed = shared_keys(nodes.select(F.explode("_keys").alias("_key"), F.col("_node").alias("node")))
+    classed = print_keys(printed.select("_node", F.col("_print").alias("p")).distinct())
+    keyed = shared_keys(nodes.select(F.explode("_keys").alias("_key"), F.col("_node").alias("node")).unionByName(classed.distinct()))
 
     ends = keyed.select(F.col("node").alias("_node")).distinct()
     seen = printed.select("_node", rank.alias("_id"), whole(text).alias("_t")).join(nodes.select("_node", "_id"), ["_node", "_id"]).join(ends, "_node")

@@ -492,6 +492,21 @@ def test_decontamination_against_brute_force(spark, odd_docs, no_docs, limit, mo
 
 
 
+def test_fingerprints_alone_find_near_copies(spark, monkeypatch):
+    """Without a shared key of minima the deletion variants of the fingerprints bring candidates; shingles decide."""
+    words = sentence(71, 400).split()
+    near, other = list(words), list(words)
+    near[200] = "edit"
+    for i in range(0, 400, 40):
+        other[i] = f"edit{i}"
+    texts = [" ".join(words), " ".join(near), " ".join(other), sentence(72, 400)]
+    real, keys = simhash.fingerprint, simhash.band_keys
+    first = real(texts[0])
+    monkeypatch.setattr(simhash, "fingerprint", lambda t, shingle=4: first ^ 0b10010010001 if "edit" in t else real(t, shingle))  # four bits
+    monkeypatch.setattr(simhash, "band_keys", lambda own: [k ^ int(own.sum()) for k in keys(own)])
+    assert kept_places(spark, texts) == [0, 2, 3]  # 0.78 by shingles keeps 2, four bits or not
+
+
 def test_small_links_need_no_round(spark, monkeypatch):
     """Links that a task holds are contracted, not starred; both ways give the same roots."""
     from tallyloom.llm import components as parts
