@@ -19,12 +19,14 @@ place is one number: a tag of the text, its first window and how many windows it
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +39,13 @@ GRAM_BITS = (1 << 48) - 1
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers of the rolling hashes
 _FACTORS = np.array([pow(0x9FB21C651E98DF25, j + 1, 1 << 64) for j in range(64)], dtype=np.uint64)
 COUNT_BITS, TAG_SHIFT = 6, 47  # of a place: windows of the anchor below, tag of the text above
+PIECE = 1 << 18  # bytes of text that are hashed at a time
+LONG_WORD = 64  # bytes; longer words are hashed one by one
+_BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_LENGTHS = np.random.default_rng(9).integers(1 << 63, size=LONG_WORD + 1, dtype=np.uint64)  # what a word's hash begins with
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 _ANCHORS = "id long, doc long, place long, gram long, context long"
-_WINDOWS = "one long, two long, id long, doc long, place long, gram long, context long, bit int"
+_WINDOWS = "one long, two long, id long, doc long, place long, bit int"
 _RESULT = "n_words long, n_removed long, repeats array<struct<start:long,stop:long>>, kept string"
 
 
@@ -48,8 +55,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all ``texts`` in one array, the place where each text begins in it, and its length.
+
+    Words are hashed side by side, eight bytes at a time.
+    """
+    joined = b"\n".join([b"", *texts, b" " * 8])
+    data = np.frombuffer(joined, np.uint8)
+    blank = _BLANK[data]
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    begin, size = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(data) - 7, "<u8", joined, strides=(1,))  # the bytes from each place on
+    hashes = _mix(_LENGTHS[np.minimum(size, LONG_WORD)] ^ (eight[begin] & _FIRST_BYTES[np.minimum(size, 8)]))
+    more, done = np.flatnonzero((size > 8) & (size <= LONG_WORD)), 8
+    while len(more):
+        hashes[more] = _mix(hashes[more] ^ (eight[begin[more] + done] & _FIRST_BYTES[np.minimum(size[more] - done, 8)]))
+        done += 8
+        more = more[size[more] > done]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(joined[begin[i] : begin[i] + size[i]])
+    starts = np.cumsum([1] + [len(t) + 1 for t in texts])
+    return hashes, np.searchsorted(begin, starts)
 
 
 def run_hashes(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
@@ -64,41 +90,55 @@ def run_hashes(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int
     return _mix((sums[end] - sums[begin]) * up[begin])
 
 
-def anchors(hashes: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Per anchor: its first window, how many windows it has, and the hashes of its gram and context."""
+def least_places(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the first smallest of each ``width`` consecutive values."""
+    place, held = np.arange(len(values)), 1
+    while held < width:
+        step = min(held, width - held)
+        right = values[step:] < values[:-step]
+        place = np.where(right, place[step:], place[:-step])
+        values = np.where(right, values[step:], values[:-step])
+        held += step
+    return place
+
+
+def anchors(hashes: np.ndarray, begins: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Per anchor: its text, its first window there, how many windows it has, and the hashes of its gram and context."""
     n = len(hashes)
     if n < span:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int32, np.uint64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     grams = np.zeros(n - gram + 1, np.uint64)
     for j in range(gram):
         grams += hashes[j : n - gram + 1 + j] * _FACTORS[j]
     grams = _mix(grams)
-    place = sliding_window_view(grams, span - gram + 1).argmin(axis=1) + np.arange(n - span + 1)
-    first = np.concatenate(([0], np.flatnonzero(place[1:] != place[:-1]) + 1))
-    count = np.diff(np.concatenate((first, [n - span + 1])))
+    text = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+    whole_windows = np.flatnonzero(text[: n - span + 1] == text[span - 1 :])  # the others run from one text into the next
+    place = least_places(grams, span - gram + 1)[whole_windows]
+    change = np.flatnonzero(np.diff(place, prepend=-1))
+    first, count = whole_windows[change], np.diff(np.append(change, len(place)))
     context = run_hashes(hashes, first, first + count - 1 + span, _BASES[0])
-    return first, count.astype(np.int32), grams[place[first]] & np.uint64(GRAM_BITS), _mix(context + count.astype(np.uint64))
+    of = text[first]
+    return of, first - begins[of], count, grams[place[change]] & np.uint64(GRAM_BITS), _mix(context + count.astype(np.uint64))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Some rows at a time, by the bytes of their texts, with these texts."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64) + 64
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // PIECE)) + 1
+        for low, high in itertools.pairwise([0, *cuts.tolist(), len(sizes)]):
+            part = batch.slice(low, high - low)
+            yield part, part.column("text").cast(pa.binary()).to_pylist()
 
 
 def _find_anchors(span: int, gram: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for low in range(0, len(frame), 1000):
-                part, found = frame.iloc[low : low + 1000], []
-                for text in part["text"]:
-                    found.append(anchors(word_hashes(text.encode().split()), span, gram))
-                sizes = [len(f[0]) for f in found]
-                at, n, grams, context = (np.concatenate(x) for x in zip(*found, strict=True))
-                tags = np.repeat(part["tag"].to_numpy(np.int64), sizes)
-                yield pd.DataFrame(
-                    {
-                        "id": np.repeat(part["id"].to_numpy(), sizes),
-                        "doc": np.repeat(part["doc"].to_numpy(), sizes),
-                        "place": (tags << TAG_SHIFT) | (at << COUNT_BITS) | n,
-                        "gram": grams.view(np.int64),
-                        "context": context.view(np.int64),
-                    }
-                )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _pieces(batches):
+            of, at, n, grams, context = anchors(*word_hashes(texts), span, gram)
+            key, doc, tag = (part.column(c).to_numpy()[of] for c in ("id", "doc", "tag"))
+            place = (tag.astype(np.int64) << TAG_SHIFT) | (at << COUNT_BITS) | n
+            columns = {"id": key, "doc": doc, "place": place, "gram": grams.view(np.int64), "context": context.view(np.int64)}
+            yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
@@ -108,20 +148,20 @@ def _at(place):
 
 
 def _find_windows(span: int):
-    """The windows of the chosen anchors with two independent hashes of their words."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for key, doc, text, *seeds in zip(*(frame[c] for c in ("id", "doc", "text", "place", "gram", "context")), strict=True):
-                hashes = word_hashes(text.encode().split())
-                place, grams, context = (np.asarray(s, np.int64) for s in seeds)
-                at, n = _at(place), place & ((1 << COUNT_BITS) - 1)
-                bit = np.concatenate([np.arange(x) for x in n])
-                start = np.repeat(at, n) + bit
-                one, two = (run_hashes(hashes, start, start + span, base).view(np.int64) for base in _BASES)
-                tag = np.repeat(place >> TAG_SHIFT, n)
-                columns = {"one": one, "two": two, "id": key, "doc": doc, "place": (tag << TAG_SHIFT) | (start << COUNT_BITS)}
-                yield pd.DataFrame(columns | {"gram": np.repeat(grams, n), "context": np.repeat(context, n), "bit": bit.astype(np.int32)})
+    """The windows of the chosen anchors (``bit``: which of the anchor's) with two independent hashes of their words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _pieces(batches):
+            hashes, begins = word_hashes(texts)
+            place = part.column("place").flatten().to_numpy()
+            of = np.repeat(np.arange(len(texts)), part.column("place").value_lengths().to_numpy())
+            n = place & ((1 << COUNT_BITS) - 1)
+            seed = np.repeat(np.arange(len(n)), n)
+            bit = np.arange(len(seed)) - (np.cumsum(n) - n)[seed]
+            begin = begins[of[seed]] + _at(place)[seed] + bit
+            one, two = (run_hashes(hashes, begin, begin + span, base).view(np.int64) for base in _BASES)
+            key, doc = (part.column(c).to_numpy()[of[seed]] for c in ("id", "doc"))
+            yield pa.RecordBatch.from_pydict({"one": one, "two": two, "id": key, "doc": doc, "place": place[seed], "bit": bit.astype(np.int32)})
 
     return run
 
@@ -159,7 +199,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: st
     keyed = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(least)).alias("id"), whole(text).alias("text"))
     # One number a document: of its key and text.  The checksum only orders the versions of a key.
     keyed = keyed.select("id", "text", F.crc32("text").bitwiseAND(0xFFFF).alias("tag"), F.xxhash64("id", "text").alias("doc"))
-    found = keyed.mapInPandas(_find_anchors(span, gram), _ANCHORS)
+    found = keyed.mapInArrow(_find_anchors(span, gram), _ANCHORS)
     repeated = stored(found.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("gram"), "grams")
     seeds = stored(found.join(repeated, "gram"), "seeds")
 
@@ -169,20 +209,20 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, text: st
     groups = stored(groups.select("gram", "context", "first.*", "times"), "groups")
     # Grams with several contexts: extend one occurrence of each to its windows.
     several = groups.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1").select("gram")
-    extended = groups.join(several, "gram").groupBy("doc").agg(F.collect_list(F.struct("place", "gram", "context")).alias("s"))
+    extended = groups.join(several, "gram").groupBy("doc").agg(F.collect_list("place").alias("place"))
     spread = keyed.repartition("doc")
-    read = spread.join(extended, "doc").select("id", "doc", "text", "s.place", "s.gram", "s.context")
-    windows = read.mapInPandas(_find_windows(span), _WINDOWS)
-    earliest = windows.groupBy("one", "two").agg(F.min(F.struct(*order)).alias("first"))
-    late = windows.join(earliest, ["one", "two"]).where(F.struct(*order) != F.col("first"))
-    late = late.groupBy("gram", "context").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
-
-    info = groups.join(late, ["gram", "context"], "left").where("times > 1 OR mask IS NOT NULL")
-    info = info.select("gram", "context", F.col("doc").alias("_doc"), F.col("place").alias("_place"), F.coalesce("mask", F.lit(0).cast("long")).alias("mask"))
+    windows = spread.join(extended, "doc").select("id", "doc", "text", "place").mapInArrow(_find_windows(span), _WINDOWS)
+    start = F.col("place").bitwiseAND(-(1 << COUNT_BITS)) + F.shiftleft(F.col("bit").cast("long"), COUNT_BITS)
+    window = F.struct(*order[:-1], start.alias("place"))
+    earliest = windows.groupBy("one", "two").agg(F.min(window).alias("first"))
+    late = windows.join(earliest, ["one", "two"]).where(window != F.col("first")).select("doc", "place", F.expr("shiftleft(1L, bit)").alias("marks"))
+
+    repeats = groups.where("times > 1").select("gram", "context", F.col("doc").alias("_doc"), F.col("place").alias("_place"))
     is_first = (F.col("doc") == F.col("_doc")) & (F.col("place") == F.col("_place"))
     every = F.expr(f"shiftleft(1L, CAST(place & {(1 << COUNT_BITS) - 1} AS INT))") - 1
-    marked = seeds.join(info, ["gram", "context"]).select("doc", "place", F.when(is_first, F.col("mask")).otherwise(every).alias("marks"))
-    marked = marked.where("marks != 0").groupBy("doc").agg(F.collect_set(F.struct("place", "marks")).alias("marked"))
+    marked = seeds.join(repeats, ["gram", "context"]).where(~is_first).select("doc", "place", every.alias("marks"))
+    marked = marked.unionByName(late).repartition("doc").groupBy("doc", "place").agg(F.bit_or("marks").alias("marks"))
+    marked = marked.groupBy("doc").agg(F.collect_list(F.struct("place", "marks")).alias("marked"))
 
     @F.pandas_udf(_RESULT)
     def result(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -457,6 +458,37 @@ def test_substrings_of_texts_under_one_key(spark):
         assert {tuple(r) for r in substrings.remove_repeats(docs).select("doc_id", "n_words", "n_removed").collect()} == want
 
 
+def test_word_hashes_tell_words_apart():
+    rng = np.random.default_rng(5)
+    texts = ["", " \t\n\v\f\r ", *(" ".join("ab\0é"[int(i)] * int(n) for i, n in zip(rng.integers(0, 4, 200), rng.integers(1, 140, 200), strict=True)) for _ in range(5)), "", "last"]
+    hashes, begins = substrings.word_hashes([t.encode() for t in texts])
+    split = [words(t) for t in texts]
+    assert np.diff(begins).tolist() == [len(w) for w in split] and len(hashes) == begins[-1]
+    pairs = set(zip(hashes.tolist(), (w for own in split for w in own), strict=True))
+    assert len(pairs) == len({h for h, _ in pairs}) == len({w for _, w in pairs})
+
+
+def test_windows_of_many_texts_at_once(monkeypatch):
+    # A batch a text costs more than the work on a short text.
+    texts = [sentence(i, 30) for i in range(50)] + [sentence(99, 9000)]
+    place = [[3 << substrings.COUNT_BITS | 4]] * len(texts)
+    batch = pa.RecordBatch.from_pydict({"id": range(len(texts)), "doc": range(len(texts)), "text": texts, "place": place})
+    found = list(substrings._find_windows(20)(iter([batch])))
+    assert len(found) <= 2 and sum(f.num_rows for f in found) == 4 * len(texts)
+    monkeypatch.setattr(substrings, "PIECE", 200)  # however the texts are put together
+    apart = list(substrings._find_windows(20)(iter([batch])))
+    assert len(apart) > 10 and pa.Table.from_batches(apart).equals(pa.Table.from_batches(found).combine_chunks())
+
+
+def test_substrings_of_neighbouring_and_long_texts(spark):
+    # Windows do not run from a text into the next, and repeats are found across pieces and in long words.
+    a, b = sentence(31, 40).split(), " ".join("x" * (60 + i) for i in range(22))
+    texts = [" ".join(a[:30]), " ".join(a[:15]), " ".join(a[15:]), " ".join(a), f"{b} y", "", f"z {b}", sentence(32, 60_000), f"{sentence(33, 9)} {sentence(32, 60_000)[3000:90_000]}", "u v " * 40, "u v " * 11]
+    rows = list(enumerate(texts))
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).orderBy("doc_id")
+    assert [tuple(r) for r in got.select("n_words", "n_removed", "kept").collect()] == brute_repeats(rows, 20)
+
+
 # 10 decontamination
 
 
