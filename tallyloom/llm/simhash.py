@@ -117,6 +117,11 @@ def _joined(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(roots, rows["p"] == roots["node"]).drop("node").withColumnRenamed("root", "c")
 
 
+def _crowded(rows: DataFrame) -> DataFrame:
+    """The rows of keys with more than ``HUBS`` of them."""
+    return rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("_key"))).where(F.col("_n") > HUBS).drop("_n")
+
+
 def _mixed(placed: DataFrame) -> DataFrame:
     """The rows ``(_key, p, c)`` of keys that hold several components, with the key's largest as ``_main``."""
     key = Window.partitionBy("_key")
@@ -155,15 +160,14 @@ def classes(prints: DataFrame, bits: int = BITS) -> DataFrame:
     near = listed.join(hubs, "_key").where((F.col("p") > F.col("hub")) & linked("p", "hub", bits))
     roots = _rooted(prints, near.select(F.col("hub").alias("a"), F.col("p").alias("b")))
 
-    sizes = listed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HUBS)
-    keys = stored(sizes.select("_key"), "keys")  # whose pairs are not all compared yet
-    if keys.isEmpty():
+    members = stored(_crowded(listed).select("p").distinct(), "members")  # under keys whose pairs are not all compared yet
+    if members.isEmpty():
         return roots
-    members = stored(listed.join(keys, "_key", "left_semi").select("p").distinct(), "members")
     for turn in range(PRINT_ROUNDS + 1):
-        # A fingerprint gets its root before it is listed under its keys, so a crowd is joined once, not once a key.
+        # A fingerprint gets its root before it is listed under its keys, so a crowd is joined once, not once a key.  All
+        # nodes of the keys in question are members, so that counting tells these keys from the members' other ones.
         placed = variants(members.join(roots, members["p"] == roots["node"]).select("p", F.col("root").alias("c")), bits)
-        mixed = stored(_mixed(placed.join(keys, "_key", "left_semi").repartition("_key")), "mixed")
+        mixed = stored(_mixed(_crowded(placed.repartition("_key"))), "mixed")
         if mixed.isEmpty():
             break
         outside = _as_hubs(mixed.where("c != _main").drop("_main"))
@@ -172,7 +176,7 @@ def classes(prints: DataFrame, bits: int = BITS) -> DataFrame:
             outside = outside.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= HUBS).drop("_n")
         near = mixed.drop("_main").join(outside, "_key").where((F.col("c") != F.col("_c")) & linked("p", "hub", bits))
         roots = _merged(roots, near.select(F.col("c").alias("a"), F.col("_c").alias("b")))
-        keys, members = mixed.select("_key").distinct(), mixed.select("p").distinct()
+        members = mixed.select("p").distinct()
     return roots
 
 

@@ -362,6 +362,18 @@ def test_links_in_a_crowd(spark):
     assert {r["node"]: r["root"] for r in found} == dict(want)
 
 
+def test_crowds_are_told_without_a_join_of_their_keys(spark, monkeypatch):
+    # More nodes a key than hubs; the listings of a crowd are counted, not joined with the keys that are large.
+    kinds, frame = [], type(spark.range(1))
+    join = frame.join
+    monkeypatch.setattr(frame, "join", lambda self, other, on=None, how=None: (kinds.append((how, on)), join(self, other, on, how))[1])
+    rng = np.random.default_rng(21)
+    crowd = {int(c) ^ sum(1 << int(b) for b in rng.integers(0, 62, rng.integers(0, 11))) for c in rng.integers(1 << 62, size=3) for _ in range(150)}
+    found = simhash.classes(spark.createDataFrame([(x,) for x in crowd], "p long")).collect()
+    assert {r["node"]: r["root"] for r in found} == brute_classes(sorted(crowd), lambda a, b: (a ^ b).bit_count() <= 4)
+    assert len(kinds) > 4 and not any(how and "semi" in how for how, _ in kinds)
+
+
 def test_one_of_each(spark, odd_docs, no_docs):
     near = sentence(3, 3000).replace(" ", " new ", 1)
     docs = odd_docs.unionByName(spark.createDataFrame([(20, near, "e"), (21, "one", "e"), (22, "two", "e")], "doc_id long, text string, source string"), allowMissingColumns=True)
