@@ -27,6 +27,25 @@ def text(column: str):
     return F.col(column).cast("string")
 
 
+def head_columns():
+    """What an order alone tells, by name."""
+    key = F.col("o_orderkey")
+    return {
+        "order_id": text("o_orderkey"),
+        "shop_id": (key % 10).cast("string"),
+        "buyer_uid": text("o_custkey"),
+        "total_pay_amount": F.col("o_totalprice").cast(MONEY),
+        "freight_amount": F.when(key % 50 != 0, (key % 7 + 5).cast(MONEY)),
+        "total_discount_amount": (key % 13).cast(MONEY),
+        "total_amount": (F.col("o_totalprice").cast(MONEY) + (key % 13).cast(MONEY)).cast(MONEY),
+        "pay_status": F.when(F.col("o_orderstatus").isin("F", "O"), "PAID").otherwise("UNPAID"),
+        "order_status": F.col("o_orderstatus"),
+        "create_time": F.col("o_orderdate").cast("timestamp"),
+        "order_date": F.date_format("o_orderdate", "yyyy-MM-dd"),
+        "proc_time": F.timestamp_add("SECOND", (key % 86400).cast("int"), F.col("o_orderdate").cast("timestamp")),
+    }
+
+
 def order_heads(t: Tables, *parts: str) -> DataFrame:
     """Orders of the marketplace chain.
 
@@ -34,24 +53,8 @@ def order_heads(t: Tables, *parts: str) -> DataFrame:
     ``region`` (province) and ``quantity`` (units per order).  A report that does
     not read them does not pay for the join.
     """
-    key = F.col("o_orderkey")
-    orders = t.orders.select(
-        "o_orderkey",
-        "o_custkey",
-        text("o_orderkey").alias("order_id"),
-        (key % 10).alias("s_suppkey"),
-        (key % 10).cast("string").alias("shop_id"),
-        text("o_custkey").alias("buyer_uid"),
-        F.col("o_totalprice").cast(MONEY).alias("total_pay_amount"),
-        F.when(key % 50 != 0, (key % 7 + 5).cast(MONEY)).alias("freight_amount"),
-        (key % 13).cast(MONEY).alias("total_discount_amount"),
-        (F.col("o_totalprice").cast(MONEY) + (key % 13).cast(MONEY)).cast(MONEY).alias("total_amount"),
-        F.when(F.col("o_orderstatus").isin("F", "O"), "PAID").otherwise("UNPAID").alias("pay_status"),
-        F.col("o_orderstatus").alias("order_status"),
-        F.col("o_orderdate").cast("timestamp").alias("create_time"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
-        F.timestamp_add("SECOND", (key % 86400).cast("int"), F.col("o_orderdate").cast("timestamp")).alias("proc_time"),
-    )
+    columns = [c.alias(name) for name, c in head_columns().items()]
+    orders = t.orders.select("o_orderkey", "o_custkey", (F.col("o_orderkey") % 10).alias("s_suppkey"), *columns)
     if "shop" in parts:
         orders = orders.join(t.supplier.select("s_suppkey", F.col("s_name").alias("shop_name")), "s_suppkey", "left")
     if "buyer" in parts or "region" in parts:
@@ -99,26 +102,35 @@ def line_id():
     )
 
 
-def bare_lines(t: Tables) -> DataFrame:
-    """Order lines without what is known of their order and product."""
+def line_columns():
+    """What an order line alone tells."""
     amount = F.col("l_extendedprice").cast(MONEY)
     discount = (amount * F.col("l_discount").cast("decimal(4,2)")).cast(MONEY)
-    return t.lineitem.select(
+    return [
         text("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("p_partkey"),
         line_id().alias("order_item_id"),
         text("l_partkey").alias("spu_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         amount.alias("item_amount"),
         discount.alias("discount_amount"),
         (amount - discount).cast(MONEY).alias("item_pay_amount"),
-    )
+    ]
+
+
+def bare_lines(t: Tables) -> DataFrame:
+    """Order lines without what is known of their order and product."""
+    return t.lineitem.select(*line_columns())
 
 
 def order_lines(t: Tables, *parts: str) -> DataFrame:
-    """Order lines with their order's buyer, day and status; ``product`` adds names, brand and category."""
-    heads = order_heads(t).select("order_id", "shop_id", "buyer_uid", "pay_status", "create_time")
-    lines = bare_lines(t).join(heads, "order_id")
+    """Order lines with their order's buyer, day and status; ``product`` adds names, brand and category.
+
+    The stored numbers are joined and become texts afterwards, as texts take twice the room in a shuffle.
+    """
+    numbers = {"l_quantity": "int", "l_extendedprice": MONEY, "l_discount": "decimal(4,2)"}
+    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", *(F.col(c).cast(kind).alias(c) for c, kind in numbers.items()))
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    lines, heads, names = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")), head_columns(), []
     if "product" in parts:
         products = t.part.select(
             "p_partkey",
@@ -127,8 +139,8 @@ def order_lines(t: Tables, *parts: str) -> DataFrame:
             F.col("p_type").alias("company_category_id"),
             F.concat_ws(">", "p_type", "p_brand", "p_name").alias("company_category_path"),
         )
-        lines = lines.join(products, "p_partkey", "left")
-    return lines.drop("p_partkey")
+        lines, names = lines.join(products, F.col("l_partkey") == F.col("p_partkey"), "left"), products.columns[1:]
+    return lines.select(*line_columns(), *(heads[c].alias(c) for c in ("shop_id", "buyer_uid", "pay_status", "create_time")), *names)
 
 
 def parcel_messages(t: Tables) -> DataFrame:

@@ -10,7 +10,7 @@ from tallyloom.plans import marketplace as m
 from tallyloom.registry import sources as raw
 from tallyloom.registry.base import query
 from tallyloom.registry.sql import cents, clock, rounded
-from tallyloom.session import exists, move, work_path
+from tallyloom.session import exists, move, released_shuffles, work_path
 from tallyloom.sources import cdc, events
 from tallyloom.sources.tables import stream_table
 from tallyloom.streaming import revising, windows
@@ -29,20 +29,21 @@ def replayed(t, df, by, label: str, writer, placed=None) -> None:
     folder a slice; landing a slice renames its folder.  The slices are cut where ``placed``,
     by default ``df``, says: rows that arrive as those of ``df`` do and cost no joins.
     """
-    place = (F.col(by) if isinstance(by, str) else by).cast("double")
-    placed = (df if placed is None else placed).select(place.alias("_by"))
-    cuts = sorted(set(placed.approxQuantile("_by", [i / BATCHES for i in range(1, BATCHES)], 0.01)))
-    number = F.lit(0)  # of rows without a place, too
-    for cut in cuts:
-        number = number + F.coalesce((place > cut).cast("int"), F.lit(0))
-    path, checkpoint, waiting = (work_path(t.spark, name) for name in (label, "checkpoint", f"{label}-rows"))
-    df.withColumn("_slice", number).write.partitionBy("_slice").parquet(waiting)
-    for i in range(len(cuts) + 1):
-        if exists(t.spark, f"{waiting}/_slice={i}"):
-            move(t.spark, f"{waiting}/_slice={i}", f"{path}/slice-{i}")
-        else:
-            t.spark.createDataFrame([], df.schema).write.parquet(f"{path}/slice-{i}")
-        drain(writer(stream_table(t.spark, f"{path}/slice-*", df.schema)), checkpoint)
+    with released_shuffles(t.spark):
+        place = (F.col(by) if isinstance(by, str) else by).cast("double")
+        placed = (df if placed is None else placed).select(place.alias("_by"))
+        cuts = sorted(set(placed.approxQuantile("_by", [i / BATCHES for i in range(1, BATCHES)], 0.01)))
+        number = F.lit(0)  # of rows without a place, too
+        for cut in cuts:
+            number = number + F.coalesce((place > cut).cast("int"), F.lit(0))
+        path, checkpoint, waiting = (work_path(t.spark, name) for name in (label, "checkpoint", f"{label}-rows"))
+        df.withColumn("_slice", number).write.partitionBy("_slice").parquet(waiting)
+        for i in range(len(cuts) + 1):
+            if exists(t.spark, f"{waiting}/_slice={i}"):
+                move(t.spark, f"{waiting}/_slice={i}", f"{path}/slice-{i}")
+            else:
+                t.spark.createDataFrame([], df.schema).write.parquet(f"{path}/slice-{i}")
+            drain(writer(stream_table(t.spark, f"{path}/slice-*", df.schema)), checkpoint)
 
 
 @query(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,6 +85,30 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """The bytes of all files below a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of every action inside when it ends.
+
+    Spark leaves them until the driver collects its garbage, so a job of many
+    actions would hold the files of all of them at once.
+    """
+    before = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(RELEASE, before) if before is not None else spark.conf.unset(RELEASE)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 

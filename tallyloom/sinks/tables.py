@@ -43,19 +43,22 @@ def replace_table(df: DataFrame, path: str, table: Table) -> None:
     writer.parquet(path)
 
 
-def write_once(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_once(df: DataFrame | Sequence[DataFrame], path: str, partition_by: Sequence[str] = ()) -> None:
     """Write the folder ``path`` so that readers see it whole or not at all; one that is there already stays as it is.
 
     The rows go to a hidden folder beside it, which one rename puts in place.  A
-    replay therefore leaves no gap: it finds the folder complete, or nothing.
+    replay therefore leaves no gap: it finds the folder complete, or nothing.  Several
+    frames are written one after the other, so that only one of them takes room for its shuffles.
     """
-    spark = df.sparkSession
+    frames = [df] if isinstance(df, DataFrame) else list(df)
+    spark = frames[0].sparkSession
     if exists(spark, path):
         return
     parent, _ = path.rstrip("/").rsplit("/", 1)
     attempt = f"{parent}/_attempt-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(attempt)
+    for frame in frames:
+        writer = frame.write.mode("append")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(attempt)
     move(spark, attempt, path)
 
 

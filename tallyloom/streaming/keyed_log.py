@@ -6,7 +6,8 @@ once and a reader never misses a batch.  Writing never rewrites older data; read
 the last row of each key.  ``fold`` merges the batches so far into a new table, which keeps reads short over time.
 
 Batches may be partitioned, by day or by month.  A batch then looks for the rows it replaces
-among the files of its own partitions only, however long the history has become.
+among the files of its own partitions only, however long the history has become.  Where these
+are large it looks through some of them at a time (``steps``), which bounds what is shuffled at once.
 
 Batch ids count anew for every query (a query with a new checkpoint is another one), so a
 table belongs to the query that first wrote to it; another one is refused and goes on
@@ -23,11 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.operators.keyed import latest_per_key
-from tallyloom.session import exists, folders
+from tallyloom.session import exists, folders, stored_bytes
 from tallyloom.sinks.tables import layout, write_once
 
 PART = "_part"
 NO_PART = "__HIVE_DEFAULT_PARTITION__"
+STEP_BYTES = 4 << 30  # of stored rows that one step looks through; shuffled, they take about three times the room
 
 
 def of_parts(parts: Sequence[str | None]) -> Column:
@@ -59,7 +61,7 @@ class KeyedLog:
 
     def open(self, rows: DataFrame) -> "KeyedLog":
         """Begin with the rows the table holds already; they count as older than any batch."""
-        self._write(rows, -1)
+        self._write([rows], -1)
         return self
 
     def open_empty(self, spark: SparkSession) -> "KeyedLog":
@@ -79,18 +81,20 @@ class KeyedLog:
         if known is None or known[0] != query:
             raise RuntimeError(f"{self.path} is written by another query; fold it to a new path and go on there")
 
-    def append(self, batch: DataFrame, batch_id: int) -> None:
-        self._claim(batch.sparkSession)
-        self._write(latest_per_key(batch, self.keys, self.order_by) if self.order_by else batch, batch_id)
+    def append(self, batch: DataFrame | Sequence[DataFrame], batch_id: int) -> None:
+        """Write a batch; one of several frames, which share no key, is written frame by frame."""
+        frames = [batch] if isinstance(batch, DataFrame) else list(batch)
+        self._claim(frames[0].sparkSession)
+        self._write([latest_per_key(frame, self.keys, self.order_by) if self.order_by else frame for frame in frames], batch_id)
 
     def _order(self) -> list[str]:
         return ["batch", *self.order_by] if self.by_arrival else [*self.order_by, "batch"]
 
-    def _write(self, rows: DataFrame, batch_id: int) -> None:
-        rows = rows.select(*self.schema.names)
+    def _write(self, frames: Sequence[DataFrame], batch_id: int) -> None:
+        frames = [rows.select(*self.schema.names) for rows in frames]
         if self.part:
-            rows = layout(rows.withColumn(PART, F.expr(self.part)), [PART] if self.gather else [])
-        write_once(rows, f"{self.path}/batch={batch_id}", [PART] if self.part else [])
+            frames = [layout(rows.withColumn(PART, F.expr(self.part)), [PART] if self.gather else []) for rows in frames]
+        write_once(frames, f"{self.path}/batch={batch_id}", [PART] if self.part else [])
 
     def _read(self, spark: SparkSession, path: str, *more: T.StructField) -> DataFrame:
         part = [T.StructField(PART, T.StringType())] if self.part else []
@@ -105,9 +109,32 @@ class KeyedLog:
 
     def parts(self, spark: SparkSession, batch_id: int) -> list[str | None]:
         """The partitions of a batch, from the names of its folders."""
-        names = folders(spark, f"{self.path}/batch={batch_id}")
-        found = [name.removeprefix(f"{PART}=") for name in names if name.startswith(f"{PART}=")]
-        return [None if part == NO_PART else unquote(part) for part in found]
+        return list(self._held(spark, batch_id, -1))
+
+    def _held(self, spark: SparkSession, batch_id: int, before: int) -> dict[str | None, int]:
+        """The partitions of a batch, each with the bytes that the batches before ``before`` hold of it."""
+        held = {name: 0 for name in folders(spark, f"{self.path}/batch={batch_id}") if name.startswith(f"{PART}=")}
+        for batch in folders(spark, self.path):
+            if batch.startswith("batch=") and int(batch.removeprefix("batch=")) < before:
+                for name in held.keys() & set(folders(spark, f"{self.path}/{batch}")):
+                    held[name] += stored_bytes(spark, f"{self.path}/{batch}/{name}")
+        parts = [name.removeprefix(f"{PART}=") for name in held]
+        return {None if part == NO_PART else unquote(part): size for part, size in zip(parts, held.values())}
+
+    def steps(self, spark: SparkSession, batch_id: int) -> list[list[str | None] | None]:
+        """The partitions of a batch in groups of about ``STEP_BYTES`` of stored rows, for work that takes one group at a time.
+
+        No key is in two groups.  There is one group at least; it is None, for all rows, where nothing is partitioned.
+        """
+        if not self.part:
+            return [None]
+        groups, size = [[]], 0
+        for part, more in sorted(self._held(spark, batch_id, batch_id + 1).items(), key=str):
+            if groups[-1] and size + more > STEP_BYTES:
+                groups, size = [*groups, []], 0
+            groups[-1].append(part)
+            size += more
+        return groups
 
     def history(self, spark: SparkSession, before: int | None = None, parts: Sequence[str | None] | None = None) -> DataFrame:
         """All rows of all batches with their ``batch``; only the folders before ``before`` and of ``parts`` are read."""
@@ -123,15 +150,32 @@ class KeyedLog:
             rows = rows.join(of_keys.select(*self.keys), self.keys, "left_semi")
         return latest_per_key(rows, self.keys, self._order()).drop("batch").select(*self.schema.names)
 
-    def replaced(self, spark: SparkSession, batch_id: int) -> DataFrame:
+    def replaced(self, spark: SparkSession, batch_id: int, parts: Sequence[str | None] | None = None) -> DataFrame:
         """What a batch changes: the rows now current with ``sign`` 1, those current before it with -1.
 
         One pass over the history of the batch's keys, in the files of the batch's
-        partitions where it has any.  A key has at most one row per batch there, so ranking it
-        stays small.
+        partitions where it has any, or of those in ``parts``.  A key has at most one row per batch
+        there, so ranking it stays small.  In partitions that no older batch has, there is nothing to look up.
         """
-        parts = self.parts(spark, batch_id) if self.part else None
-        rows = self.history(spark, batch_id + 1, parts).join(self.batch(spark, batch_id).select(*self.keys), self.keys, "left_semi")
+        if not self.part:
+            return self._looked_up(spark, batch_id, None)
+        older = self._held(spark, batch_id, batch_id)
+        parts = list(older) if parts is None else parts
+        new = [part for part in parts if self.order_by and not older.get(part)]
+        if not new:
+            return self._looked_up(spark, batch_id, parts)
+        known = F.lit(True)
+        for key in self.keys:  # a row without a key is no version of another and changes nothing
+            known = known & F.col(key).isNotNull()
+        added = self.batch(spark, batch_id).where(of_parts(new) & known).select(*self.schema.names, F.lit(1).cast("bigint").alias("sign"))
+        rest = [part for part in parts if part not in new]
+        return added.unionByName(self._looked_up(spark, batch_id, rest)) if rest else added
+
+    def _looked_up(self, spark: SparkSession, batch_id: int, parts: Sequence[str | None] | None) -> DataFrame:
+        own = self.batch(spark, batch_id)
+        if parts is not None:
+            own = own.where(of_parts(parts))
+        rows = self.history(spark, batch_id + 1, parts).join(own.select(*self.keys), self.keys, "left_semi")
         is_new = F.col("batch") == batch_id
         newest = Window.partitionBy(*self.keys).orderBy(*[F.desc_nulls_last(c) for c in self._order()])
         so_far = newest.rowsBetween(Window.unboundedPreceding, Window.currentRow)

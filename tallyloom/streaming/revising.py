@@ -8,7 +8,8 @@ history.  Distinct counts stay exact because a buyer leaves a group when the cou
 of their live rows there reaches zero.
 
 All state is in written tables keyed by the batch id and, below it, by day, month or year.  A batch
-reads the files of the days it touches, so its cost does not grow with the history.  A replayed
+reads the files of the days it touches, so its cost does not grow with the history.  Where those are
+large it takes some of them at a time, so what it shuffles at once stays bounded, too.  A replayed
 batch reads only older batches and finds its own output in place, so the result is
 exactly once.
 """
@@ -16,7 +17,7 @@ exactly once.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -127,9 +128,9 @@ class RevisingSummary:
         if not self.published.begun(spark):
             self.published.open_empty(spark)
         self.rows.append(batch, batch_id)
-        changes = self._amounts(self.rows.replaced(spark, batch_id))
-        self._record(changes, self.path, batch_id)
-        self._publish(spark, batch_id)
+        steps = self.rows.steps(spark, batch_id)
+        self._record([self._amounts(self.rows.replaced(spark, batch_id, parts)) for parts in steps], self.path, batch_id)
+        self._publish(spark, batch_id, steps)
 
     def result(self, spark: SparkSession) -> DataFrame:
         """The summary as of the last batch."""
@@ -139,17 +140,17 @@ class RevisingSummary:
         """The same summary at a new path, its batches so far merged into one; the stream goes on with it."""
         folded = RevisingSummary(self.summary, self.rows.fold(spark, f"{path}/rows"), path, self.paid)
         current = folded.rows.current(spark).withColumn("sign", F.lit(1).cast("bigint"))
-        self._record(folded._amounts(current), folded.path, -1)
+        self._record([folded._amounts(current)], folded.path, -1)
         folded.published.open(self.published.current(spark).where("live"))
         return folded
 
-    def _record(self, changes: DataFrame, path: str, batch_id: int) -> None:
+    def _record(self, frames: Sequence[DataFrame], path: str, batch_id: int) -> None:
         folder = f"{path}/changes/batch={batch_id}"
         if self.rows.part:
-            dated = changes.withColumn(PART, F.left(DATE, F.lit(self.span)))
-            write_once(layout(dated, [PART] if self.rows.gather else []), folder, [PART])
+            dated = [changes.withColumn(PART, F.left(DATE, F.lit(self.span))) for changes in frames]
+            write_once([layout(changes, [PART] if self.rows.gather else []) for changes in dated], folder, [PART])
         else:
-            write_once(changes, folder)
+            write_once(frames, folder)
 
     def _changes(self, spark: SparkSession) -> DataFrame:
         """All recorded differences with their ``batch``."""
@@ -176,20 +177,23 @@ class RevisingSummary:
             totals.append(F.sum(F.when(F.col(name).isNull(), 0).otherwise(F.col("_rows"))).alias(f"_n_{name}"))
         return changes.groupBy(*self.summary.grain).agg(*totals)
 
-    def _publish(self, spark: SparkSession, batch_id: int) -> None:
+    def _publish(self, spark: SparkSession, batch_id: int, steps: Sequence[Sequence[str | None] | None]) -> None:
         """Work out the groups this batch touched and publish them; a group without rows is withdrawn.
 
         The changes move once, to a place where all sums and counts of their group can be
         taken.  With one distinct count that is the place of the group and the counted value, so a
         hot group is spread; with more it is the place of the group, one day's part of the table.
+        A group lies in one partition, so ``steps`` are published one after the other.
         """
         keys, counted = self.summary.table.keys, set(self.summary.distinct.values())
         changes = self._changes(spark).where(F.col("batch") <= batch_id).dropna(subset=list(keys))
-        if self.rows.part:
-            changes = changes.where(of_parts(self.rows.parts(spark, batch_id)))
-        marked = changes.withColumn("_new", F.col("batch") == batch_id).drop("batch", PART)
-        placed = marked.repartition(*keys, *(counted if len(counted) == 1 else ()))
-        self.published.append(self._finish(self._net(placed)), batch_id)
+        frames = []
+        for parts in steps:
+            own = changes if parts is None else changes.where(of_parts(parts))
+            marked = own.withColumn("_new", F.col("batch") == batch_id).drop("batch", PART)
+            placed = marked.repartition(*keys, *(counted if len(counted) == 1 else ()))
+            frames.append(self._finish(self._net(placed)))
+        self.published.append(frames if len(frames) > 1 else frames[0], batch_id)
 
     def _finish(self, net: DataFrame) -> DataFrame:
         """The figures of each group of ``net`` with a new change; one without live rows has ``live`` false."""

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tallyloom.session import released_shuffles
+
 COMMIT_INTERVAL = "10 seconds"
 
 
@@ -27,8 +29,16 @@ def drain(writer: DataStreamWriter, checkpoint: str, timeout: int | None = None)
 
 
 def each_batch(df: DataFrame, work: Callable[[DataFrame, int], None], mode: str = "append") -> DataStreamWriter:
-    """``mode`` is ``update`` for a grouped stream: a batch then holds the groups that changed."""
-    return df.writeStream.outputMode(mode).foreachBatch(work)
+    """``mode`` is ``update`` for a grouped stream: a batch then holds the groups that changed.
+
+    What an action of ``work`` shuffles leaves the disk with the action.
+    """
+
+    def released(batch: DataFrame, batch_id: int) -> None:
+        with released_shuffles(batch.sparkSession):
+            work(batch, batch_id)
+
+    return df.writeStream.outputMode(mode).foreachBatch(released)
 
 
 def to_files(df: DataFrame, path: str) -> DataStreamWriter:

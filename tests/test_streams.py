@@ -1,6 +1,7 @@
 """Windows closed by the watermark, look-ups that change, batches that read their own days only."""
 
 import json
+import time
 from datetime import datetime, timedelta
 from decimal import Decimal
 from pathlib import Path
@@ -9,12 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom import bindings
 from tallyloom.plans import marketplace
 from tallyloom.registry import streams
-from tallyloom.session import exists, folders, shared_folder, work_path
+from tallyloom.session import RELEASE, exists, folders, shared_folder, work_path
 from tallyloom.sinks.tables import write_once
 from tallyloom.sources import events, tables
-from tallyloom.streaming import revising, run, windows
+from tallyloom.streaming import keyed_log, revising, run, windows
 from tallyloom.streaming.keyed_log import PART, KeyedLog
 from tallyloom.streaming.lookup import LookupJoin
 
@@ -208,3 +210,83 @@ def test_groups_are_published_after_one_exchange(spark, monkeypatch):
     latest = log.current(spark).where("spu_id IS NOT NULL")
     again = marketplace.dws_spu_daily_sales(latest, ("PAID",), keyed=False)
     assert sorted(map(tuple, kept.result(spark).collect()), key=str) == sorted(map(tuple, again.collect()), key=str)
+
+
+def day_rows(spark, day, *prices, status="PAID"):
+    """An order a price, of two shops by turns."""
+    schema = T.StructType.fromDDL(ROW)
+    rows = [(f"{day}-{i}", f"s{i % 2}", "n", day, f"b{i}", Decimal(p), Decimal(0), Decimal(1), 1, status, 0) for i, p in enumerate(prices)]
+    return spark.createDataFrame(rows, schema)
+
+
+def shop_summary(spark):
+    log = KeyedLog(work_path(spark, "rows"), T.StructType.fromDDL(ROW), ["order_id"], ["proc_time"], part=revising.SHOP.part(revising.DAY))
+    return revising.RevisingSummary(revising.SHOP, log.open_empty(spark), work_path(spark, "shop"), ("PAID",))
+
+
+def test_large_partitions_are_taken_some_at_a_time(spark, rows, monkeypatch):
+    days = [f"2024-01-0{d}" for d in (1, 2, 3)]
+    first = day_rows(spark, days[0], 5, 6, 7).union(day_rows(spark, days[1], 1, 2)).union(day_rows(spark, days[2], 9))
+    second = day_rows(spark, days[0], 8).union(day_rows(spark, days[1], 1, 2, status="UNPAID")).union(day_rows(spark, None, 3)).withColumn("proc_time", F.lit(1))
+    found, steps = [], []
+    for size in (keyed_log.STEP_BYTES, 1):
+        monkeypatch.setattr(keyed_log, "STEP_BYTES", size)
+        kept = shop_summary(spark)
+        for n, batch in enumerate((first, second)):
+            kept.process(batch, n)
+            steps.append(kept.rows.steps(spark, n))
+        found.append(rows(kept.result(spark)))
+    assert steps == [[days], [[*days[:2], None]], [[day] for day in days], [[days[0]], [days[1]], [None]]]
+    assert found[0] == found[1] and {(r[2], r[0], r[5]) for r in found[0]} == {
+        (days[0], "s0", Decimal(15)), (days[0], "s1", Decimal(6)), (days[2], "s0", Decimal(9))
+    }
+
+
+def test_new_partitions_are_not_looked_up(spark, rows):
+    log = KeyedLog(work_path(spark, "log"), T.StructType.fromDDL("k int, n int, day string"), ["k"], ["n"], part="day").open_empty(spark)
+    schema = T.StructType.fromDDL("k int, n int, day string")
+    log.append(spark.createDataFrame([(1, 1, "a"), (1, 2, "a"), (None, 1, "a"), (2, 1, "b")], schema), 0)
+    found = log.replaced(spark, 0)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found) == [(1, 2, "a", 1), (2, 1, "b", 1)]
+    log.append(spark.createDataFrame([(1, 3, "a"), (3, 1, "c"), (2, 0, "b")], schema), 1)
+    assert rows(log.replaced(spark, 1)) == [(1, 2, "a", -1), (1, 3, "a", 1), (2, 1, "b", -1), (2, 1, "b", 1), (3, 1, "c", 1)]
+    assert rows(log.replaced(spark, 0)) == [(1, 2, "a", 1), (2, 1, "b", 1)]
+
+
+def test_shuffle_files_go_when_their_action_ends(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {p.name for folder in manager.localDirsString() for p in Path(folder).glob("*/shuffle_*")}
+
+    before, left, out = shuffled(), [], work_path(spark, "sums")
+
+    def work(batch, n):
+        batch.groupBy("kind").count().write.parquet(f"{out}-{n}")
+        for _ in range(100):
+            if not shuffled() - before:
+                break
+            time.sleep(0.1)
+        left.append(shuffled() - before)
+
+    setting = spark.conf.get(RELEASE, None)
+    run.drain(run.each_batch(feed(spark, work_path(spark, "clicks"), BATCHES[0]), work), work_path(spark, "cp"))
+    assert left == [set()] and spark.conf.get(RELEASE, None) == setting
+    assert spark.read.parquet(f"{out}-0").count() == 3
+
+
+def test_lines_become_texts_after_their_joins(spark, rows):
+    lineitem = [(1, 10, 7, 1, 2.0, 99.5, 0.1, START), (1, 11, 7, 2, 1.0, 10.0, None, None), (2, 10, 7, 1, 1.0, 1.0, 0.0, START), (None, 10, 7, 1, 1.0, 1.0, 0.0, START)]
+    t = type("Tables", (), {
+        "lineitem": spark.createDataFrame(lineitem, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_shipdate timestamp"),
+        "orders": spark.createDataFrame([(1, 5, "F", 3.0, START)], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp"),
+        "part": spark.createDataFrame([(10, "ring", None, "LARGE")], "p_partkey long, p_name string, p_brand string, p_type string"),
+    })
+    lines = bindings.order_lines(t, "product")
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat_ws(-" in plan and "concat_ws(-" not in plan[plan.index("Join"):]
+    assert rows(lines, "order_id", "order_item_id", "spu_id", "discount_amount", "shop_id", "buyer_uid", "pay_status", "spu_name", "company_category_path") == [
+        ("1", "1-10-7-9950-2-20240101", "10", Decimal("9.95"), "1", "5", "PAID", "ring", "LARGE>ring"),
+        ("1", "2-11-7-1000-1", "11", None, "1", "5", "PAID", None, None),
+    ]
