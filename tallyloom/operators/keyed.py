@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.session import released_shuffles, stored
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
     """The last row of each key.  ``order_by`` goes from oldest to newest and should be total."""
@@ -20,18 +22,39 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str |
     return df.withColumn("_position", position).where("_position = 1").drop("_position")
 
 
-def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def upsert(
+    target: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[str], keys_first: bool = False
+) -> DataFrame:
     """Merge by key: every incoming key replaces the target's row; the last incoming row wins.
 
     The target is read once and never ranked: it is keyed already.  When the
     incoming side is small the anti join is a broadcast and the target does not move.  The
     join needs no more than the incoming keys, which are not ranked for it.
+
+    ``keys_first`` is for incoming rows that replace most of a large target.  The keys that stay are then
+    found from the keys of both sides and stored; where these are few the target does not move either.
     """
     fresh = latest_per_key(incoming, keys, order_by)
-    kept = target.join(incoming.select(*keys), list(keys), "left_anti")
+    if keys_first:
+        kept = _rows_of(target, _staying(target, incoming, keys), keys)
+    else:
+        kept = target.join(incoming.select(*keys), list(keys), "left_anti")
     return kept.unionByName(fresh.select(*target.columns))
 
 
+def _staying(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target's keys that no incoming row has, keys with a NULL among them, as a stored table."""
+    with released_shuffles(target.sparkSession):
+        return stored(target.select(*keys).join(incoming.select(*keys), list(keys), "left_anti"), "staying")
+
+
+def _rows_of(target: DataFrame, some: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``target`` with a key in ``some``, where NULL is a key like any other."""
+    named = some.select(*(F.col(k).alias(f"_stays_{i}") for i, k in enumerate(keys)))
+    same = [F.col(k).eqNullSafe(F.col(f"_stays_{i}")) for i, k in enumerate(keys)]
+    return target.join(named, same, "left_semi")
+
+
 def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the incoming rows whose key the target does not hold yet."""
     one_each = latest_per_key(incoming, keys, [c for c in incoming.columns if c not in keys] or list(keys))

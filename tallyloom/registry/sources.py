@@ -10,7 +10,7 @@ from tallyloom.operators.keyed import upsert
 from tallyloom.operators.joins import number_rows
 from tallyloom.registry.base import query
 from tallyloom.registry.sql import clock
-from tallyloom.session import stored
+from tallyloom.session import discard, stored
 from tallyloom.sources import cdc, events, tables
 
 NO_NULLS = {"ignoreNullFields": "false"}
@@ -81,9 +81,10 @@ def message_summary(df):
         "total_quantity",
         "pay_status",
         "create_time",
-        F.coalesce(F.size("items"), F.lit(-1)).alias("item_cnt"),
-        F.get("items", F.lit(0)).getField("pay_amount").alias("first_pay_amount"),
-        F.get("items", F.lit(0)).getField("order_item_id").alias("first_item_id"),
+        # Of a line only these two fields are named, so that no others are read from a table or shuffled.
+        F.coalesce(F.size("items.order_item_id"), F.lit(-1)).alias("item_cnt"),
+        F.get("items.pay_amount", F.lit(0)).alias("first_pay_amount"),
+        F.get("items.order_item_id", F.lit(0)).alias("first_item_id"),
     )
 
 
@@ -96,14 +97,17 @@ def json_nested(t):
 def ingest(t):
     """Messages into the keyed order table, which already holds every order unpaid.
 
-    The messages are decoded once, for the table and for what arrives.  Both are of one
-    size, so the join that finds the untouched orders broadcasts neither.
+    The messages are decoded once, for the table and for what arrives; their texts are deleted
+    then.  Both are of one size, so the join that finds the untouched orders broadcasts neither; it
+    is a join of the keys alone, as the orders that are replaced need not move.
     """
-    decoded = events.with_proc_time(events.decode(raw_messages(t), MESSAGE.schema, events.ISO_CLOCK))
+    messages = raw_messages(t)
+    decoded = events.with_proc_time(events.decode(messages, MESSAGE.schema, events.ISO_CLOCK))
     rows = stored(decoded.select(*MARKETPLACE["ods_marketplace_order"].columns), "decoded")
+    discard(t.spark, messages)
     held = rows.withColumn("pay_status", F.lit("UNPAID"))
     arriving = rows.withColumn("pay_status", F.lit("PAID")).hint("merge")
-    return message_summary(upsert(held, arriving, ["order_id"], ["proc_time", "create_time"]))
+    return message_summary(upsert(held, arriving, ["order_id"], ["proc_time", "create_time"], keys_first=True))
 
 
 @query(

@@ -118,3 +118,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, table: DataFrame) -> None:
+    """Delete a table that ``stored`` wrote and that nothing reads any more."""
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getParent().getName() != shared_folder(spark).rsplit("/", 1)[1]:
+            raise ValueError(f"{folder} is no intermediate table")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

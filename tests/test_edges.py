@@ -1,5 +1,6 @@
 """Rows at the edges: NULLs, ties, repeats, hot groups, bad JSON, replayed batches."""
 
+import datetime as dt
 import math
 import random
 import re
@@ -15,7 +16,8 @@ from tallyloom.functions import scalars as s
 from tallyloom.operators import access, filters, guard, joins, keyed, ranking, retrieval
 from tallyloom.plans import marketplace as m
 from tallyloom.plans import metrics, terms
-from tallyloom.session import shared_folder, stored, work_path
+from tallyloom.registry import sources
+from tallyloom.session import discard, exists, folders, shared_folder, stored, work_path
 from tallyloom.sinks import tables as sinks
 from tallyloom.sources import cdc, events, tables
 from tallyloom.streaming import revising, run
@@ -645,3 +647,39 @@ def test_ingest_decodes_its_messages_once(spark, monkeypatch):
     assert sorted((str(r.order_id), r.total_quantity, r.pay_status) for r in found.collect()) == [("None", 1, "PAID"), ("None", 1, "UNPAID"), ("a", 2, "PAID"), ("b", 3, "PAID")]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "from_json" not in plan and plan.count("Window [") <= 2  # one in the final plan, one in the initial
+
+
+def test_upsert_by_keys_first_moves_no_replaced_rows(spark, rows):
+    schema = "k int, l string, v string, n int"
+    held = spark.createDataFrame([(1, "a", "old", 0), (2, "a", "old", 0), (2, "b", "old", 0), (None, "a", "old", 0), (2, None, "old", 0), (2, None, "old", 0)], schema)
+    new = spark.createDataFrame([(2, "a", "x", 1), (2, "a", "y", 2), (9, "a", "z", 1), (None, "a", "z", 1)], schema)
+    plain = keyed.upsert(held, new, ["k", "l"], ["n"])
+    first = keyed.upsert(held, new.hint("merge"), ["k", "l"], ["n"], keys_first=True)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1  # of the incoming rows
+    assert rows(first) == rows(plain) == sorted(
+        [(1, "a", "old", 0), (2, "b", "old", 0), (None, "a", "old", 0), (2, None, "old", 0), (2, None, "old", 0), (2, "a", "y", 2), (9, "a", "z", 1), (None, "a", "z", 1)], key=str
+    )
+
+
+def test_ingested_messages_move_the_fields_that_are_read(spark, rows):
+    lineitem = [(1, 10, 7, 1, 3.0, 99.5, 0.1, "R", "F", dt.datetime(2024, 1, 1)), (1, 10, 7, 2, 1.0, 5.0, 0.0, "N", "O", dt.datetime(2024, 1, 1)), (2, 10, 7, 1, 2.0, 5.0, None, "N", "O", None)]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    before = set(folders(spark, shared_folder(spark))) if exists(spark, shared_folder(spark)) else set()
+    found = sources.ingest(type("Tables", (), {"spark": spark, "lineitem": spark.createDataFrame(lineitem, schema)}))
+    kept = set(folders(spark, shared_folder(spark))) - before
+    assert sorted(name.rsplit("-", 5)[0] for name in kept) == ["decoded", "staying"]
+    scans = found._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1:]
+    assert all("sku_name" not in scan.split("\n")[0] for scan in scans)
+    assert rows(found, "pay_status", "item_cnt", "first_pay_amount", "first_item_id") == [
+        ("PAID", -1, None, None), ("PAID", 0, None, None), ("PAID", 2, D("89.55"), "1-10-7-9950-3-20240101")
+    ]
+
+
+def test_only_intermediate_tables_are_discarded(spark):
+    kept, path = stored(spark.range(3), "kept"), work_path(spark, "outside") + "/own/table"
+    spark.range(3).write.parquet(path)
+    with pytest.raises(ValueError, match="no intermediate"):
+        discard(spark, spark.read.parquet(path))
+    discard(spark, kept)
+    assert exists(spark, path) and not any(name.startswith("kept-") for name in folders(spark, shared_folder(spark)))
