@@ -104,7 +104,7 @@ def ingest(t):
     messages = raw_messages(t)
     decoded = events.with_proc_time(events.decode(messages, MESSAGE.schema, events.ISO_CLOCK))
     rows = stored(decoded.select(*MARKETPLACE["ods_marketplace_order"].columns), "decoded")
-    discard(t.spark, messages)
+    discard(messages.sparkSession, messages)
     held = rows.withColumn("pay_status", F.lit("UNPAID"))
     arriving = rows.withColumn("pay_status", F.lit("PAID")).hint("merge")
     return message_summary(upsert(held, arriving, ["order_id"], ["proc_time", "create_time"], keys_first=True))
